@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact, minhash
+from . import decontaminate, exact, minhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_dedup(_table(spark, sf_dir, "documents"))
 
@@ -19,6 +24,13 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    fold = toxicity.fold()
+    scored = toxicity.score(docs, toxicity.learn(docs, labels, fold != 0))
+    return scored.select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_sentences")
+
+
 OP8_SQL = """
 WITH g AS (
   SELECT sha256(coalesce(text, '')) AS text_sha256, max(doc_id) AS keep_id, count(*) AS group_size
@@ -30,7 +42,7 @@ FROM documents d JOIN g ON g.text_sha256 = sha256(coalesce(d.text, ''))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op5_minhash_near_dedup, op8_exact_dedup)}
+    return {f.__name__: f for f in (op1_decontamination, op5_minhash_near_dedup, op8_exact_dedup, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -45,9 +45,13 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["p"], _powers["i"]
 
 
-def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash data[starts[i]:ends[i]] for ascending, disjoint, non-empty runs."""
-    out = np.empty(len(starts), dtype=np.uint64)
+def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, heads: tuple[int, ...] = ()) -> np.ndarray:
+    """Hash data[starts[i]:ends[i]] for ascending, disjoint, non-empty runs.
+
+    With heads, a row of hashes for each run: of the run, and of its first
+    heads[0], heads[1], ... bytes (the whole run where it is shorter).
+    """
+    out = np.empty((len(starts), 1 + len(heads)), dtype=np.uint64)
     first = 0
     while first < len(starts):
         lo = int(starts[first])
@@ -58,9 +62,10 @@ def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
         sums[0] = 0
         np.cumsum((data[lo:hi].astype(np.uint64) + np.uint64(1)) * p[: hi - lo], out=sums[1:])
         a, b = starts[first:last] - lo, ends[first:last] - lo
-        out[first:last] = mix((sums[b] - sums[a]) * inv[a] + (b - a).astype(np.uint64))
+        for k, e in enumerate((b, *(np.minimum(a + h, b) for h in heads))):
+            out[first:last, k] = mix((sums[e] - sums[a]) * inv[a] + (e - a).astype(np.uint64))
         first = last
-    return out
+    return out if heads else out[:, 0]
 
 
 def encode(texts: Iterable[str | None]) -> list[bytes]:
