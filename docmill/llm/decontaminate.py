@@ -14,12 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .workspace import Workspace
+from .workspace import Workspace, bounded
 
 WINDOW = 8
 #: Items with fewer literal words than this can't be told from chance; those with fewer than WINDOW have one window, of all their words.
 LEAST = 4
-#: Benchmark windows (24 bytes each) and document ids (8 bytes) are broadcast up to so many rows, else joined by a shuffle.
+#: Benchmark windows (24 bytes each) are broadcast up to so many rows, else joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
 # Units that become slots when they follow a number.
@@ -116,8 +116,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_c
 
     # Slot values, for hits that have any.
     slotted = hits.where("has_slots").drop("has_slots").distinct()
-    ids = work.save(slotted.select("doc_id").distinct(), "slotted-ids")
-    ids = F.broadcast(ids) if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else ids
+    ids = bounded(work.save(slotted.select("doc_id").distinct(), "slotted-ids"))
     texts = own.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", _tokens(_marked(F.col("text"))).alias("tokens"))
     placed = slotted.join(texts, "doc_id").select("doc_id", "item_id", "pos", "item_pos", "size", _slots(F.col("tokens"), F.col("pos"), F.col("size")).alias("slots"))
     pairs = placed.join(wins.select("item_id", "item_pos", "size", "item_slots"), ["item_id", "item_pos", "size"])
@@ -145,4 +144,5 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_c
     """The rows of docs that share no window with the benchmark, with all their columns; rows with a null id stay."""
     work = Workspace(docs.sparkSession, "decontaminate-rows")
     gone = work.save(find_leaks(docs, benchmark, window, id_col, text_col).select(F.col(id_col).alias("__id")).distinct(), "gone")
+    gone = bounded(gone)
     return docs.join(gone, docs[id_col].cast("long") == gone["__id"], "left_anti")

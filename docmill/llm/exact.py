@@ -12,7 +12,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .workspace import Workspace
+from .workspace import Workspace, bounded
 
 SALTS = 8
 
@@ -89,12 +89,11 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
 def drop_exact_copies(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns; of repeated rows of one id and text, one stays."""
     work = Workspace(docs.sparkSession, "exact-rows")
-    verdict = work.save(exact_dedup(docs, index, id_col, text_col).where("kept"), "kept")
-    kept = verdict.select(F.col(id_col).alias("__id"), F.unhex("text_sha256").alias("__digest")).distinct()
+    verdict = work.save(exact_dedup(docs, index, id_col, text_col), "verdict")
+    gone = verdict.where("NOT kept").select(F.col(id_col).alias("__id"), F.unhex("text_sha256").alias("__hash")).distinct()
+    gone = bounded(work.save(gone, "gone"))
     rows = docs.withColumn("__digest", digest_of(F.col(text_col)))
-    on = rows[id_col].cast("long").eqNullSafe(kept["__id"]) & (rows["__digest"] == kept["__digest"])
-    out = rows.join(kept, on, "left_semi")
-    repeated = verdict.groupBy(id_col, "text_sha256").count().where("count > 1").limit(1).count()
-    if repeated:
+    out = rows.join(gone, rows[id_col].cast("long").eqNullSafe(gone["__id"]) & (rows["__digest"] == gone["__hash"]), "left_anti")
+    if verdict.where("kept").groupBy(id_col, "text_sha256").count().where("count > 1").limit(1).count():
         out = out.dropDuplicates([id_col, "__digest"])
     return out.drop("__digest")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from . import textkernel as tk
 from .graph import connected_components
-from .workspace import Workspace
+from .workspace import Workspace, bounded
 
 SYMBOLS, B_BITS, CHUNKS, ERRORS = 18, 16, 3, 2
 #: Symbols of 8 bits, compared before two full sets are; a pair of similarity 0.85 passes but once in 10 ** 6.
@@ -188,8 +188,8 @@ def near_dedup(docs: DataFrame, percent: int = 85, n: int = 5, id_col: str = "do
     total = small.agg(F.sum("total")).first()[0] or 0
     bins = max(1, min(100_000, -(-total // (BLOCK_CHARS // 8))))
     member = work.save(candidates.join(parts, "component").select(F.col("node").alias("rep"), F.col("component").alias("part"), "blocks"), "members")
-    wanted = texts.join(member, texts["doc_id"] == member["rep"], "left_semi") if _many(member) else texts.join(F.broadcast(member.select("rep")), texts["doc_id"] == F.col("rep"), "left_semi")
-    wanted = work.save(wanted.dropDuplicates(["doc_id"]), "texts")
+    ids = bounded(member.select(F.col("rep").alias("doc_id")))
+    wanted = work.save(texts.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
     placed = wanted.withColumnRenamed("doc_id", "rep").join(member, "rep").withColumn("known", F.col("rep"))
     packed = placed.where("blocks = 1").withColumn("bin", F.pmod(F.xxhash64("part"), F.lit(bins)))
     fields = ["rep", "part", "known", "text"]
@@ -208,11 +208,6 @@ def near_dedup(docs: DataFrame, percent: int = 85, n: int = 5, id_col: str = "do
     return rows.join(named, ["s1", "s2", "n_shingles", "salt"], "left").select(F.col("doc_id").alias(id_col), "n_shingles", top.alias("component_id"), (top == F.col("doc_id")).alias("kept"))
 
 
-def _many(ids: DataFrame, bound: int = 1_000_000) -> bool:
-    """Whether ids has over ``bound`` rows (8 bytes each): then it is joined by a shuffle, else broadcast."""
-    return ids.limit(bound + 1).count() > bound
-
-
 def _without_bin(run):
     return lambda rows: run(rows.assign(side=0))
 
@@ -245,4 +240,5 @@ def drop_near_copies(docs: DataFrame, percent: int = 85, n: int = 5, id_col: str
     """The rows of docs whose document stays (the smallest id of each component), with all their columns; rows with a null id stay."""
     work = Workspace(docs.sparkSession, "minhash-rows")
     gone = work.save(near_dedup(docs, percent, n, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("__id")), "gone")
+    gone = bounded(gone)
     return docs.join(gone, docs[id_col].cast("long") == gone["__id"], "left_anti")

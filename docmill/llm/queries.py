@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact, minhash, toxicity
+from . import decontaminate, exact, minhash, mixing, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.flat(mixing.mix(_table(spark, sf_dir, "documents")))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -42,7 +46,7 @@ FROM documents d JOIN g ON g.text_sha256 = sha256(coalesce(d.text, ''))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_decontamination, op5_minhash_near_dedup, op8_exact_dedup, op9_toxicity)}
+    return {f.__name__: f for f in (op1_decontamination, op5_minhash_near_dedup, op6_mixing, op8_exact_dedup, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

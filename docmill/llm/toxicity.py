@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .workspace import Workspace
+from .workspace import Workspace, bounded
 
 #: The model is fitted on at most so many labelled documents and characters, those with the smallest hashed ids.
 FIT_DOCS, FIT_CHARS = 6000, 24_000_000
@@ -210,4 +210,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.5, id_col: s
     work = Workspace(docs.sparkSession, "toxicity")
     model = learn(docs, labels, fold("doc_id") != 0, id_col, text_col)
     gone = work.save(score(docs, model, id_col=id_col, text_col=text_col).where(F.col("score") >= least).select(F.col(id_col).alias("__id")).where("__id IS NOT NULL").distinct(), "gone")
+    gone = bounded(gone)
     return docs.join(gone, docs[id_col].cast("long") == gone["__id"], "left_anti")

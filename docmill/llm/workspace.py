@@ -15,6 +15,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 KEY = "spark.checkpoint.dir"
 _roots: list[tuple[SparkSession, str]] = []
@@ -59,3 +60,12 @@ class Workspace:
 
     def drop(self, name: str) -> None:
         _delete(self.spark, self.path(name))
+
+
+#: Rows of ids that are broadcast at most (some tens of MB); a table with more is joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df, with a broadcast hint if it has at most ``rows`` rows. df should be a written table, as it is counted."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
