@@ -24,6 +24,7 @@ from .workspace import Workspace, bounded
 FIT_DOCS, FIT_CHARS = 6000, 24_000_000
 #: Besides the words, their first so many bytes are features, for words of one stem.
 HEADS = (4, 5, 6)
+FIT_SLICE = 1 << 20
 LEAST_SENTENCES, LIFT, STEPS, RATE, DECAY, SPARSITY = 4, 1.5, 400, 0.1, 2e-5, 5e-6
 
 _BREAK = np.zeros(256, dtype=bool)
@@ -87,24 +88,40 @@ def fit(raw: list[bytes], labels: np.ndarray) -> Model:
     those not LIFT times as frequent in toxic documents as documents are toxic
     on average, get no weight.
     """
-    parts, base, texts = [], 0, 0
-    for a, b in tk.slices(raw):
-        h, s, owner, _ = sentences(raw[a:b])
-        parts.append((h, s + base, owner + texts))
-        base, texts = base + len(owner), texts + b - a
-    if not parts or not base or labels.min() == labels.max():
-        share = float(labels.mean()) if len(labels) else 0.0
-        return Model(np.zeros(0, np.uint64), np.zeros(0), -20.0 if share < 0.5 else 20.0)
-    hashes, sentence, owner = (np.concatenate([p[i] for p in parts]) for i in range(3))
-    words, at, count = np.unique(hashes, return_inverse=True, return_counts=True)
+    if not len(labels) or labels.min() == labels.max():
+        return Model(np.zeros(0, np.uint64), np.zeros(0), 20.0 if len(labels) and labels.min() > 0 else -20.0)
+    labels = (labels > 0).astype(np.int64)
+    # First what each word is found in, slice by slice; then only the words that matter are kept.
+    table = np.zeros((0, 4), dtype=np.uint64)  # word, sentences, documents, toxic documents
+    for a, b in tk.slices(raw, FIT_SLICE):
+        hashes, sentence, owner, _ = sentences(raw[a:b])
+        words, at, count = np.unique(hashes, return_inverse=True, return_counts=True)
+        pairs = np.unique(at * np.int64(b - a) + owner[sentence])
+        own, doc = pairs // (b - a), pairs % (b - a)
+        found = (words, count, np.bincount(own, minlength=len(words)), np.bincount(own, labels[a:b][doc], minlength=len(words)))
+        fresh = np.stack([x.astype(np.uint64) for x in found], axis=1)
+        table = np.concatenate([table, fresh])
+        table = table[np.argsort(table[:, 0], kind="stable")]
+        new = np.ones(len(table), dtype=bool)
+        new[1:] = table[1:, 0] != table[:-1, 0]
+        merged = np.add.reduceat(table[:, 1:], np.flatnonzero(new), axis=0) if len(table) else table[:, 1:]
+        table = np.column_stack([table[new, 0], merged])
+    _, count, seen, toxic = (table[:, k].astype(np.int64) for k in range(4))
     # Words that toxic documents don't have clearly more often than others are no evidence of a toxic sentence.
-    pairs = np.unique(at * np.int64(len(labels)) + owner[sentence])
-    seen = np.bincount(pairs // len(labels), minlength=len(words))
-    toxic = np.bincount(pairs // len(labels), labels[pairs % len(labels)] > 0, minlength=len(words))
-    often = (count >= LEAST_SENTENCES) & (toxic >= 2) & (toxic >= LIFT * seen * labels.mean())
-    index = np.cumsum(often) - 1
-    keep = often[at]
-    col, row, vocabulary = index[at[keep]], sentence[keep], words[often]
+    vocabulary = table[(count >= LEAST_SENTENCES) & (toxic >= 2) & (toxic >= LIFT * seen * labels.mean()), 0]
+    del table
+    rows, cols, owners, base = [], [], [], 0
+    for a, b in tk.slices(raw, FIT_SLICE):
+        hashes, sentence, owner, _ = sentences(raw[a:b])
+        if len(vocabulary):
+            at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+            hit = vocabulary[at] == hashes
+            rows.append(sentence[hit] + base)
+            cols.append(at[hit])
+        owners.append(owner + a)
+        base += len(owner)
+    row, col = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, cols))
+    owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
     y = labels.astype(float)
     n, v = len(owner), len(vocabulary)
     x = np.zeros(v + 1)
