@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact, minhash, mixing, toxicity
+from . import chat, decontaminate, exact, lines, minhash, mixing, toxicity, urls, warc
+from .workspace import Workspace
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +17,42 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Workspace(spark, "warc").path("archives")
+    warc.write_archives(warc.to_records(_table(spark, sf_dir, "pages")), path)
+    back = warc.read_archives(spark, path).where(F.col("record_type").isin("response", "revisit"))
+    # A response's figures come from its decoded payload, a revisit's from its headers.
+    whole = F.col("record_type") == "response"
+    return back.select(
+        warc.page_of("record_id").alias("page_id"),
+        F.when(whole, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(whole, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type", warc.page_of("refers_to").alias("refers_to"), "target_uri",
+    )
+
+
+PROBE = [(-7, t, role, "</s>[INST] ok [/INST]") for t, role in enumerate(("user", "assistant"))]
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.union(spark.createDataFrame(PROBE, "conv_id long, turn long, role string, text string"))
+    made = Workspace(spark, "chat").save(chat.format_conversations(rows), "formatted")
+    text = made.select("conv_id", "valid", chat.formatted().alias("formatted"), chat.loss_text().alias("loss"))
+    back = text.select("*", chat.parse(F.col("formatted")).alias("turns"))
+    joined = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(joined, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"), "valid",
+    )
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    gone = lines.dropped_lines(lines.find_repeats(docs))
+    return docs.select("doc_id").join(gone, "doc_id", "left").select("doc_id", F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped_lines"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_dedup(_table(spark, sf_dir, "documents"))
 
@@ -24,6 +61,35 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.flat(mixing.mix(_table(spark, sf_dir, "documents")))
 
 
+RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+LISTED = [("spam-farm.example.org", "/"), ("cheap-pills.example.com", "/"), ("spam-farm.example.net", "/"), ("cheap-pills.example.org", "/")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    listed = spark.createDataFrame(LISTED, "host string, path string")
+    return urls.judge(_table(spark, sf_dir, "pages"), rules, listed)
+
+
+OP7_SQL = """
+WITH rules(host, path, verdict, is_rule) AS (VALUES
+  ('com', '/', 'allow', true), ('example.com', '/en/', 'block', true), ('www.example.com', '/en/', 'allow', true),
+  ('net', '/es/', 'block', true), ('net', '/fr/', 'block', true), ('spam-farm.example.org', '/', 'block', false),
+  ('cheap-pills.example.com', '/', 'block', false), ('spam-farm.example.net', '/', 'block', false), ('cheap-pills.example.org', '/', 'block', false)
+), cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT page_id, lower(regexp_extract(rest, '^[^/?#]*', 0)) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut
+), hits AS (
+  SELECT p.page_id, r.is_rule, r.host || r.path AS rule, r.verdict,
+         row_number() OVER (PARTITION BY p.page_id ORDER BY r.is_rule DESC, length(r.host || r.path) DESC) AS k
+  FROM p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+)
+SELECT p.page_id, p.host, p.path, CASE WHEN h.is_rule THEN h.rule END AS rule, coalesce(h.verdict, 'allow') AS verdict
+FROM p LEFT JOIN hits h ON h.page_id = p.page_id AND h.k = 1
+"""
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -46,8 +112,8 @@ FROM documents d JOIN g ON g.text_sha256 = sha256(coalesce(d.text, ''))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_decontamination, op5_minhash_near_dedup, op6_mixing, op8_exact_dedup, op9_toxicity)}
+    return {f.__name__: f for f in (op1_decontamination, op2_warc, op3_chat_format, op4_line_dedup, op5_minhash_near_dedup, op6_mixing, op7_url_filter, op8_exact_dedup, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": OP8_SQL}
+    return {"op7_url_filter": OP7_SQL, "op8_exact_dedup": OP8_SQL}
