@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact, lines, minhash, mixing, toxicity, urls, warc
+from . import chat, decontaminate, exact, lines, lm, minhash, mixing, toxicity, urls, warc
 from .workspace import Workspace
 
 
@@ -111,8 +111,12 @@ FROM documents d JOIN g ON g.text_sha256 = sha256(coalesce(d.text, ''))
 """
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 5)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_decontamination, op2_warc, op3_chat_format, op4_line_dedup, op5_minhash_near_dedup, op6_mixing, op7_url_filter, op8_exact_dedup, op9_toxicity)}
+    return {f.__name__: f for f in (op1_decontamination, op2_warc, op3_chat_format, op4_line_dedup, op5_minhash_near_dedup, op6_mixing, op7_url_filter, op8_exact_dedup, op9_toxicity, op10_lm_score)}
 
 
 def oracle_sql() -> dict[str, str]:
