@@ -55,10 +55,18 @@ def _tokens(marked: Column) -> Column:
 
 def _hashes(marked: Column) -> Column:
     """Struct of two arrays: hashes of literals alone, and of literals with the slot types before them."""
-    return F.struct(
-        F.transform(_tokens(marked), lambda t: F.xxhash64(F.substring_index(t, _CLOSE, -1))).alias("word"),
-        F.transform(_tokens(F.regexp_replace(marked, f"{_OPEN}(.)[^{_CLOSE}]*{_CLOSE}", f"{_OPEN}$1{_CLOSE}")), lambda t: F.xxhash64(t)).alias("full"),
-    )
+
+    def of(m: Column) -> Column:
+        typed = F.regexp_replace(m, f"{_OPEN}(.)[^{_CLOSE}]*{_CLOSE}", f"{_OPEN}$1{_CLOSE}")
+        return _let(
+            _tokens(typed),
+            lambda t: F.struct(
+                F.transform(t, lambda w: F.xxhash64(F.substring_index(w, _CLOSE, -1))).alias("word"),
+                F.transform(t, lambda w: F.xxhash64(w)).alias("full"),
+            ),
+        )
+
+    return _let(marked, of)
 
 
 def _windows(marked: Column, sizes: list[int], whole_below: int = 0) -> Column:
