@@ -233,7 +233,7 @@ def _field(headers: dict[str, str], column: str) -> str | None:
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path = options["path"]
-        self.types = {t.strip() for t in options.get("payload", "response").split(",")} - {"", "none"}
+        self.types = {t.strip() for t in options.get("payload", "response,revisit").split(",")} - {"", "none"}
         self.allowed: dict[str, set] = {}
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -307,13 +307,15 @@ def _row(name: str, offset: int, headers: dict[str, str], block: bytes | None) -
             size = int(parse_headers(http).get("content-length", len(payload)))
         else:
             size = len(payload)
+        if headers.get("warc-type") == "revisit":
+            payload = None  # its block is only the HTTP header, which tells the length
     return {c: _field(headers, c) for c in _COLUMNS} | {
         "payload_digest": digest or None, "payload_bytes": size, "headers": list(headers.items()), "payload": payload, "file": name, "offset": offset,
     }
 
 
 class WarcDataSource(DataSource):
-    """spark.read.format("warc"): option payload lists the record types whose blocks are decoded ("response" by default, "none" for none)."""
+    """spark.read.format("warc"): option payload lists the record types whose blocks are decoded ("response,revisit" by default, "none" for none); others have no payload and no payload_bytes."""
 
     @classmethod
     def name(cls) -> str:
@@ -336,7 +338,7 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcDataSource)
 
 
-def read_archives(spark: SparkSession, path: str, payload: str = "response") -> DataFrame:
+def read_archives(spark: SparkSession, path: str, payload: str = "response,revisit") -> DataFrame:
     register(spark)
     return spark.read.format("warc").option("payload", payload).load(path)
 
