@@ -9,6 +9,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEVANAGARI_DIGITS = "०१२३४५६७८९"
 _EDGE = r"^[\s\p{Z}\x{1C}-\x{1F}\x{85}]+|[\s\p{Z}\x{1C}-\x{1F}\x{85}]+$"
@@ -99,12 +100,12 @@ def search(columns: Sequence[Column], term: str | None) -> Column:
     return found
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFC", v))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
 
@@ -124,7 +125,7 @@ def _ordered(text: str | None) -> str | None:
     return "".join(out + sorted(marks, key=unicodedata.combining))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def order_marks(values: pd.Series) -> pd.Series:
     return values.map(_ordered)
 
@@ -136,13 +137,13 @@ def _skeleton(text: str | None) -> str | None:
     return "".join(kept)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def skeleton(values: pd.Series) -> pd.Series:
     """The Devanagari letters without vowel signs and other marks."""
     return values.map(_skeleton)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Share of characters in matching runs, from 0 to 1; null with a null side."""
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")

@@ -13,6 +13,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The letters, after the published ITRANS scheme without its case distinctions.
 VOWELS = dict(zip("अ आ इ ई उ ऊ ऋ ए ऐ ओ औ ऑ".split(), "a a i i u u ri e ai o au o".split()))
@@ -80,7 +81,7 @@ def transliterated(text: str | None) -> str | None:
     return " ".join("".join(_word(p) if "ऀ" <= p[0] <= "ॿ" else p for p in _PIECE.findall(w)) for w in text.split())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _udf(values: pd.Series) -> pd.Series:
     return values.map(transliterated)
 
