@@ -26,6 +26,21 @@ def rank_with_ties_low(order: str, group: list[str]) -> Column:
     return F.count("*").over(Window.partitionBy(*group).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow))
 
 
+def places(rows: DataFrame, value: str, unique: str) -> DataFrame:
+    """rows with their place (from 1) in the order of value, nulls last, and then unique.
+
+    Only the counts of distinct values meet in one task; rows are numbered
+    among those of their value.
+    """
+    nulls = F.col(value).isNull()
+    counts = rows.groupBy(value).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy(nulls, value).rowsBetween(Window.unboundedPreceding, -1))
+    base = counts.select(F.col(value).alias("__v"), F.coalesce(before, F.lit(0)).alias("__base"))
+    within = F.row_number().over(Window.partitionBy(value).orderBy(unique))
+    marked = rows.withColumn("__k", within)
+    return marked.join(base, marked[value].eqNullSafe(base["__v"])).withColumn("place", (F.col("__base") + F.col("__k")).cast("long")).drop("__v", "__base", "__k")
+
+
 def runs(rows: DataFrame, group: list[str], position: str) -> DataFrame:
     """Runs of neighbouring positions: start, end, length."""
     island = F.col(position) - F.row_number().over(Window.partitionBy(*group).orderBy(position))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import display, text
-from ..operators import browse, dedup, joins, progress
+from ..operators import browse, dedup, joins, progress, windows
 from .registry import query
 
 AS_OF = "TIMESTAMP '2024-01-30 18:30:00'"
@@ -178,13 +178,10 @@ def lookup_validate(t):
     return t.part.groupBy("p_brand", "p_type", "p_size").agg(F.count("*").alias("n")).where("n > 1")
 
 
-@query("SELECT k, row_number() OVER (ORDER BY v ASC NULLS LAST, k) AS place FROM (SELECT p_partkey AS k, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_size END AS v FROM part) QUALIFY place <= 2000")
+@query("SELECT k, row_number() OVER (ORDER BY v ASC NULLS LAST, k) AS place FROM (SELECT p_partkey AS k, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_size END AS v FROM part)")
 def sort_nulls(t):
-    from pyspark.sql.window import Window
-
     rows = t.part.select(F.col("p_partkey").alias("k"), F.when(F.col("p_partkey") % 7 != 0, F.col("p_size")).alias("v"))
-    top = rows.orderBy(F.col("v").asc_nulls_last(), "k").limit(2000)  # the report's 2000 rows
-    return top.select("k", F.row_number().over(Window.orderBy(F.col("v").asc_nulls_last(), "k")).cast("long").alias("place"))
+    return windows.places(rows, "v", "k").select("k", "place")
 
 
 @query("SELECT p_partkey, p_name, (SELECT greatest(1, ceil(count(*) / 100.0))::BIGINT FROM part) AS pages, 3 < (SELECT ceil(count(*) / 100.0) FROM part) AS has_more FROM part ORDER BY p_size NULLS LAST, p_partkey LIMIT 100 OFFSET 200")
