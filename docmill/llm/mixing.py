@@ -23,7 +23,7 @@ WEIGHTS, BUDGET, PASSES = (3, 1, 2), 1.5, 2
 #: More distinct sets of sources than this are refused; up to it, their totals are collected and broadcast.
 MAX_PATTERNS = 100_000
 #: Documents that one task puts in order, about.
-RUN_DOCS = 20_000
+RUN_DOCS = 2_000
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], total: float, most: float) -> list[float]:
