@@ -100,7 +100,7 @@ def judge(pages: DataFrame, rules: DataFrame, listed: DataFrame | None = None, i
     rank = F.struct("is_rule", (F.length("host") + F.length("path")).alias("length"), F.concat("host", "path").alias("rule"), "verdict")
     best = work.save(hits.groupBy("url").agg(F.max(rank).alias("best")).select("url", "best.*"), "best")
     best = best.select("url", F.when(F.col("is_rule"), F.col("rule")).alias("rule"), "verdict")
-    small = bounded(best)
+    small = bounded(best, 200_000)
     if small is best:
         best = best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         told = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(best, ["url", "salt"], "left")
