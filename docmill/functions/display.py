@@ -78,7 +78,7 @@ def ago(ts: Column, as_of: Column) -> Column:
 
 def file_size(size: Column) -> Column:
     """'4.6 MB'; null for null and 0."""
-    one = lambda x, unit: F.concat(F.format_string("%.1f", x), F.lit(f" {unit}"))
+    one = lambda x, unit: F.concat(F.format_string("%.1f", F.bround(x, 1)), F.lit(f" {unit}"))
     return (
         F.when(F.coalesce(size, F.lit(0)) == 0, F.lit(None).cast("string"))
         .when(size < 1024, F.concat(size.cast("long").cast("string"), F.lit(" bytes")))

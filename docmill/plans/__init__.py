@@ -1,6 +1,6 @@
 """Named queries and the SQL that says the same."""
 
-from . import analytics, documents, relational
+from . import analytics, documents, relational, scalars
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "analytics", "documents", "relational"]
+__all__ = ["ORACLES", "QUERIES", "analytics", "documents", "relational", "scalars"]
