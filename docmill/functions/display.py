@@ -15,6 +15,17 @@ WORDS = {"is_deleted": ("Deleted", "On the roll"), "needs_review": ("Check", "OK
 NO_HOUSE = ("-", "—", "–", "«", ",")
 
 
+# Words for states.
+STATES = {"pending": "Waiting to start", "queued": "In the queue", "processing": "Being processed", "completed": "Finished", "retry": "Retrying", "failed": "Failed",
+          "cancelled": "Stopped", "partial": "Partly finished", "paused": "Paused"}
+
+
+def state_word(state: Column) -> Column:
+    """The state in words; an unknown one with spaces for underscores."""
+    known = F.create_map(*[F.lit(x) for p in STATES.items() for x in p])
+    return F.coalesce(F.try_element_at(known, state), F.replace(state, F.lit("_"), F.lit(" ")))
+
+
 def local_time(ts: Column, pattern: str = "dd MMM yyyy, HH:mm:ss") -> Column:
     return F.concat(F.date_format(F.from_utc_timestamp(ts, ZONE), pattern), F.lit(" IST"))
 

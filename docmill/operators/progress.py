@@ -51,6 +51,28 @@ def stale(heartbeat: Column, started: Column, as_of: Column, seconds: int, unsee
     return F.coalesce(F.unix_micros(last) < F.unix_micros(as_of) - seconds * 1_000_000, F.lit(unseen))
 
 
+def live_cards(active_page: Column, page_from: Column, page_to: Column, done: Column, idle_seconds: Column, cards: Column, most_idle: float = 30.0) -> Column:
+    """A reader's card counter, if it is running, fresh, and on a page of this unit; else 0."""
+    live = ~F.coalesce(done, F.lit(False)) & (idle_seconds <= most_idle) & active_page.between(page_from, page_to)
+    return F.when(F.coalesce(live, F.lit(False)), F.coalesce(cards, F.lit(0))).otherwise(0)
+
+
+def leaves(structure: DataFrame, tree: str, path: list[str]) -> DataFrame:
+    """Rows of a nested map of maps (values: map or array of leaves) with a column per level; the last name is the leaf's."""
+    out, at = structure, F.col(tree)
+    for name in path[:-1]:
+        out = out.select(*[c for c in out.columns if c != tree], F.explode(at).alias(name, tree))
+        at = F.col(tree)
+    return out.select(*[c for c in out.columns if c != tree], F.explode(at).alias(path[-1]))
+
+
+def chunked(rows: DataFrame, group: list[str], order: list[Column], size: int = 10) -> DataFrame:
+    """rows with the number (from 1) of their chunk of ``size`` rows within the group."""
+    from .dedup import positions
+
+    return positions(rows, group, order, "__k").withColumn("chunk", (F.floor((F.col("__k") - 1) / size) + 1).cast("int")).drop("__k")
+
+
 def hourly(events: DataFrame, ts: str, as_of: Column, hours: int = 12, zone: str = "Asia/Kolkata") -> DataFrame:
     """Counts per local hour for the current hour and those before it, 0 where none, and bar heights of 4 to 100."""
     now = F.date_trunc("hour", F.from_utc_timestamp(as_of, zone))

@@ -134,3 +134,18 @@ def test_geography(spark):
     assert not got["few"].accepted and not got["bad"].accepted and not got["line"].accepted
     assert tuple(values(spark, geo.printed_coordinates(F.col("v")), ["Lat: 28.61391 Long: 77.20902"])[0]) == (28.61391, 77.20902)
     assert values(spark, geo.printed_coordinates(F.col("v")), ["Lat 28.61 Lon 77.2", "lat 98.12345 lon 1.12345"]) == [None, None]
+
+
+def test_houses(spark):
+    from docmill.functions import houses
+
+    v = F.col("v")
+    assert values(spark, houses.cleaned(v), ["हाऊस 5", "नं इ", "12, 13"]) == ["हाउस 5", "नं 1", "12 13"]
+    assert values(spark, houses.is_noise(v), ["1(1+578182", "23(डी)", "124", "KHASRA #4", None]) == [True, False, False, False, False]
+    df = spark.createDataFrame([(["132/10", "132 / 10", "x/9 1"],), (["/044", "/044"],), (["132/10", "133/10"],), (["इ 1/8", "इ 1/8"],), ([],)], "r array<string>")
+    assert [r[0] for r in df.select(houses.slash_number(F.col("r"))).collect()] == ["132/10", "1/044", None, None, None]
+    rows = [("124 KHASRA NUMBER", "124 khasra number"), ("KHASRA 4 AB", "KHASRA 4"), ("KHOLI", "KHOL"), ("1 24 KHASRA", "124 KHASRA"), ("UTTAR PRADESH", "UTTAR PRADESH"), ("", "x")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    assert [r[0] for r in df.select(houses.agreed_line(F.col("a"), F.col("b"))).collect()] == ["124 KHASRA NUMBER", "KHASRA 4", None, "124 KHASRA", None, None]
+    assert values(spark, houses.latin(v), ["इ-897", "47-ई-7", "12"]) == ["E-897", "47-E-7", "12"]
+    assert values(spark, display.state_word(v), ["retry", "odd_one", None]) == ["Retrying", "odd one", None]

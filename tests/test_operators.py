@@ -131,3 +131,15 @@ def test_layout(spark):
     labels = spark.createDataFrame([("L", "name", 1, 2.0, 3.0), ("L", "name", 2, 4.0, 5.0), ("L", "rare", 1, 0.0, 0.0)], "layout string, label string, card int, dx double, dy double")
     cards = spark.createDataFrame([("L", i) for i in (1, 2, 3)], "layout string, card int")
     assert [(r.label, r.dx, r.dy) for r in layout.compiled_template(labels, "layout", cards).collect()] == [("name", 4.0, 5.0)]
+
+
+def test_live_counter_and_chunks(spark):
+    rows = [(5, 3, 12, False, 4.0, 9), (13, 3, 12, False, 4.0, 9), (5, 3, 12, True, 4.0, 9), (5, 3, 12, False, 40.0, 9), (None, 3, 12, False, 1.0, 9)]
+    df = spark.createDataFrame(rows, "p int, a int, b int, done boolean, idle double, cards int")
+    got = df.select(progress.live_cards(F.col("p"), F.col("a"), F.col("b"), F.col("done"), F.col("idle"), F.col("cards")).alias("n"))
+    assert [r.n for r in got.collect()] == [9, 0, 0, 0, 0]
+    tree = spark.createDataFrame([("S1", {"D1": {"A1": list(range(23))}, "D2": {"A2": [1]}})], "state string, tree map<string,map<string,array<int>>>")
+    flat = progress.leaves(tree, "tree", ["district", "ac", "part"])
+    assert flat.columns == ["state", "district", "ac", "part"] and flat.count() == 24
+    chunks = progress.chunked(flat, ["ac"], [F.col("part")]).groupBy("ac", "chunk").count().collect()
+    assert {(r.ac, r.chunk): r["count"] for r in chunks} == {("A1", 1): 10, ("A1", 2): 10, ("A1", 3): 3, ("A2", 1): 1}
