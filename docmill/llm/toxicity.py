@@ -18,13 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .workspace import Workspace, bounded
+from .workspace import Workspace, bounded, small_batches
 
 #: The model is fitted on at most so many labelled documents and characters, those with the smallest hashed ids.
 FIT_DOCS, FIT_CHARS = 6000, 24_000_000
 #: Besides the words, their first so many bytes are features, for words of one stem.
 HEADS = (4, 5, 6)
-FIT_SLICE = 1 << 20
+FIT_SLICE = SCORE_SLICE = 1 << 20
 LEAST_SENTENCES, LIFT, STEPS, RATE, DECAY, SPARSITY = 4, 1.5, 400, 0.1, 2e-5, 5e-6
 
 _BREAK = np.zeros(256, dtype=bool)
@@ -34,10 +34,10 @@ _OUTSIDE[list(range(48, 58)) + list(range(65, 91)) + list(range(97, 123)) + list
 
 
 def sentences(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct features of each sentence: its words and their heads.
+    """Features of each sentence: its words and their heads.
 
-    Returns feature hashes, the sentence of each, the text of each sentence,
-    and each sentence's first byte in its text. Words are runs of letters,
+    Returns feature hashes (a row for each word), the sentence of each word, the
+    text of each sentence, and each sentence's first byte in its text. Words are runs of letters,
     digits and bytes over 127, A-Z lower-cased; sentences end at . ! ? and line
     ends. Sentences without words don't count.
     """
@@ -52,14 +52,28 @@ def sentences(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     hashes = tk.hash_runs(tk._LOWER[data], starts, ends, HEADS)
     for k in range(1, 1 + len(HEADS)):
         hashes[:, k] ^= np.uint64(k)
-    hashes, sentence = hashes.ravel(), np.repeat(sentence, 1 + len(HEADS))
     begins = starts[fresh]
     owner = np.searchsorted(offsets, begins, side="right") - 1
-    order = np.lexsort((hashes, sentence))
-    hashes, sentence = hashes[order], sentence[order]
-    keep = np.ones(len(hashes), dtype=bool)
-    keep[1:] = (hashes[1:] != hashes[:-1]) | (sentence[1:] != sentence[:-1])
-    return hashes[keep], sentence[keep], owner, begins - offsets[owner]
+    return hashes, sentence, owner, begins - offsets[owner]
+
+
+def distinct(values: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each value once per sentence."""
+    order = np.lexsort((values, sentence))
+    values, sentence = values[order], sentence[order]
+    keep = np.ones(len(values), dtype=bool)
+    keep[1:] = (values[1:] != values[:-1]) | (sentence[1:] != sentence[:-1])
+    return values[keep], sentence[keep]
+
+
+def known(vocabulary: np.ndarray, hashes: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the vocabulary of the features of each sentence, once each, and their sentences."""
+    if not len(vocabulary):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    flat = hashes.ravel()
+    at = np.minimum(np.searchsorted(vocabulary, flat), len(vocabulary) - 1)
+    hit = np.flatnonzero(vocabulary[at] == flat)
+    return distinct(at[hit], sentence[hit // hashes.shape[1]])
 
 
 @dataclass
@@ -69,11 +83,8 @@ class Model:
     bias: float
 
     def logits(self, hashes: np.ndarray, sentence: np.ndarray, n: int) -> np.ndarray:
-        if not len(self.vocabulary):
-            return np.full(n, self.bias)
-        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        hit = np.flatnonzero(self.vocabulary[at] == hashes)
-        return self.bias + np.bincount(sentence[hit], self.weights[at[hit]], minlength=n)
+        at, own = known(self.vocabulary, hashes, sentence)
+        return self.bias + np.bincount(own, self.weights[at], minlength=n)
 
 
 def _soft(z: np.ndarray) -> np.ndarray:
@@ -95,6 +106,7 @@ def fit(raw: list[bytes], labels: np.ndarray) -> Model:
     table = np.zeros((0, 4), dtype=np.uint64)  # word, sentences, documents, toxic documents
     for a, b in tk.slices(raw, FIT_SLICE):
         hashes, sentence, owner, _ = sentences(raw[a:b])
+        hashes, sentence = distinct(hashes.ravel(), np.repeat(sentence, hashes.shape[1]))
         words, at, count = np.unique(hashes, return_inverse=True, return_counts=True)
         pairs = np.unique(at * np.int64(b - a) + owner[sentence])
         own, doc = pairs // (b - a), pairs % (b - a)
@@ -113,11 +125,9 @@ def fit(raw: list[bytes], labels: np.ndarray) -> Model:
     rows, cols, owners, base = [], [], [], 0
     for a, b in tk.slices(raw, FIT_SLICE):
         hashes, sentence, owner, _ = sentences(raw[a:b])
-        if len(vocabulary):
-            at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-            hit = vocabulary[at] == hashes
-            rows.append(sentence[hit] + base)
-            cols.append(at[hit])
+        at, own = known(vocabulary, hashes, sentence)
+        rows.append(own + base)
+        cols.append(at)
         owners.append(owner + a)
         base += len(owner)
     row, col = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, cols))
@@ -181,7 +191,7 @@ def _score(model, spans: bool, least: float):
         m: Model = model.value
         for batch in batches:
             raw = tk.encode(batch["text"])
-            for a, b in tk.slices(raw):
+            for a, b in tk.slices(raw, SCORE_SLICE):
                 part = raw[a:b]
                 hashes, sentence, owner, begin = sentences(part)
                 z = m.logits(hashes, sentence, len(owner))
@@ -212,6 +222,7 @@ def score(docs: DataFrame, model: Model, spans: bool = False, least: float = 0.5
     rows and other columns are allowed; an empty table gives an empty result.
     Texts of any length are scored whole.
     """
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = "doc_id long, score double, n_sentences long" + (f", spans {SPAN}" if spans else "")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

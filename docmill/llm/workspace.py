@@ -62,6 +62,14 @@ class Workspace:
         _delete(self.spark, self.path(name))
 
 
+#: Texts reach Python in batches of about so many bytes, whatever their number of rows.
+BATCH_BYTES = "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 #: Rows of ids that are broadcast at most (some tens of MB); a table with more is joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
