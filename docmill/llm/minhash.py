@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from . import textkernel as tk
 from .graph import connected_components
-from .workspace import Workspace, bounded
+from .workspace import Workspace, bounded, small_batches
 
 SYMBOLS, B_BITS, CHUNKS, ERRORS = 18, 16, 3, 2
 #: Symbols of 8 bits, compared before two full sets are; a pair of similarity 0.85 passes but once in 10 ** 6.
@@ -41,7 +41,7 @@ def _signatures(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             raw = tk.encode(batch["text"])
-            for a, b in tk.slices(raw):
+            for a, b in tk.slices(raw, 1 << 20):
                 values, at = tk.shingle_sets(raw[a:b], n)
                 size = np.diff(at)
                 sig = (tk.min_hashes(values, at, SYMBOLS) & np.uint64((1 << B_BITS) - 1)).astype(np.uint16)
@@ -166,6 +166,7 @@ def near_dedup(docs: DataFrame, percent: int = 85, n: int = 5, id_col: str = "do
     """
     spark = docs.sparkSession
     work = Workspace(spark, "minhash")
+    small_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL")
     sigs = work.save(texts.mapInPandas(_signatures(n), SIGNATURE_SCHEMA), "signatures")
 
@@ -197,6 +198,7 @@ def near_dedup(docs: DataFrame, percent: int = 85, n: int = 5, id_col: str = "do
 
     if large.limit(1).count():
         found = _large_parts(placed.where("blocks > 1"), fields, found, work, percent, n)
+    work.drop("texts")
     linked = connected_components(found, work, "links")
     labels = linked.select(F.col("node").alias("rep"), F.col("component").alias("top"))
 
