@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .workspace import Workspace
+from .workspace import Workspace, small_batches
 
 #: Bytes of text in a batch, and n-gram hashes that one counting task holds, about.
 BATCH_BYTES, GROUP_KEYS = 4 << 20, 2_000_000
@@ -257,6 +257,7 @@ def score(docs: DataFrame, fold: Column, id_col: str = "doc_id", text_col: str =
     cut into two batches.
     """
     work = Workspace(docs.sparkSession, "lm")
+    small_batches(docs.sparkSession)
     # 0: no id, 1: held out, 2: training, 3: training whose tokens EM runs on.
     role = F.when(F.col(id_col).isNull(), 0).when(fold == 1, 1).when(fold == 2, 3).otherwise(2)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), role.cast("int").alias("fold"))
@@ -271,6 +272,7 @@ def score(docs: DataFrame, fold: Column, id_col: str = "doc_id", text_col: str =
     told = replies.where("batch >= 0").groupBy("batch").agg(F.collect_list(F.struct("ngram", "part", "train", "dev")).alias("replies"))
     joined = work.save(batches.select("batch", "ids", "folds", "sizes", "text").join(told, "batch"), "joined")
     work.drop("batches")
+    work.drop("replies")
 
     cells = joined.select("folds", "sizes", "text", "replies").mapInPandas(_cells(n - facts["dev_tokens"], v), "cell long, n long, p2 double, p1 double")
     cells = cells.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("n", "p2", "p1")]).toPandas().sort_values("cell")
