@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from . import textkernel as tk
 from .workspace import Workspace, bounded, small_batches
 
@@ -222,6 +223,7 @@ def score(docs: DataFrame, model: Model, spans: bool = False, least: float = 0.5
     rows and other columns are allowed; an empty table gives an empty result.
     Texts of any length are scored whole.
     """
+    ship(docs.sparkSession)
     small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = "doc_id long, score double, n_sentences long" + (f", spans {SPAN}" if spans else "")

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualNullSafe, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 
+from ..shipping import ship
 from .workspace import Workspace, bounded
 
 SCHEMA = (
@@ -334,6 +335,7 @@ class WarcDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
 

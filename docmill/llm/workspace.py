@@ -1,7 +1,7 @@
 """Tables that an operator writes in the shared checkpoint folder to cut lineage.
 
 The folder is the session's ``spark.checkpoint.dir``. Where that is unset, as
-in tests on one machine, a new local folder is taken and set. Every table is
+in tests on one machine, a new local folder is taken. Every table is
 written whole before it is read, so executors that are lost later cost a read
 and not a recomputation. Folders go when the interpreter ends, and earlier when
 the operator says that nothing reads them any more.
@@ -17,15 +17,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 KEY = "spark.checkpoint.dir"
 _roots: list[tuple[SparkSession, str]] = []
+_own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get(KEY, None) or spark.sparkContext.getConf().get(KEY)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="docmill-checkpoint-")
-        spark.conf.set(KEY, base)
+        # One folder per application; the setting itself can't be changed in a running session.
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = "file://" + tempfile.mkdtemp(prefix="docmill-checkpoint-")
+        base = _own[app]
     return base.rstrip("/")
 
 
@@ -46,6 +52,7 @@ class Workspace:
     """A folder of one run of one operator."""
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/docmill-{name}-{uuid.uuid4().hex}"
         _roots.append((spark, self.root))
