@@ -115,9 +115,55 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(_table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 5)
 
 
+OP2_SQL = """
+WITH p AS (
+  SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top
+  FROM pages
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND top <> page_id THEN top END AS refers_to, url AS target_uri
+FROM p
+"""
+
+#: Escapes make a text longer by one character for each backslash and two for each control string.
+OP3_SQL = """
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+  SELECT *, length(role) + length(text) + 24 + length(text) - length(replace(text, chr(92), '')) + 2 * list_sum(list_transform(
+    ['<|im_start|>', '<|im_end|>', '<|endoftext|>', '<s>', '</s>', '[INST]', '[/INST]', '<<SYS>>', '<</SYS>>'],
+    lambda k: (length(text) - length(replace(text, k, ''))) // length(k))) AS chars
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       length(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars,
+       regexp_full_match(string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE '?' END, '' ORDER BY turn), 's?(ua)+') AS valid
+FROM e GROUP BY conv_id
+"""
+
+OP5_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+                                      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * i >= 85 * (a.n + b.n - i)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT y, c FROM r JOIN both_ways ON x = r.doc_id),
+top AS (SELECT doc_id, min(c) AS c FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, top.c AS component_id, top.c = d.doc_id AS kept
+FROM documents d JOIN top ON top.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_decontamination, op2_warc, op3_chat_format, op4_line_dedup, op5_minhash_near_dedup, op6_mixing, op7_url_filter, op8_exact_dedup, op9_toxicity, op10_lm_score)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_filter": OP7_SQL, "op8_exact_dedup": OP8_SQL}
+    return {"op2_warc": OP2_SQL, "op3_chat_format": OP3_SQL, "op5_minhash_near_dedup": OP5_SQL, "op7_url_filter": OP7_SQL, "op8_exact_dedup": OP8_SQL}
