@@ -4,8 +4,10 @@ Documents with the same set of sources form a pattern, and only the patterns'
 totals reach the driver. Each pattern offers its words once per pass, and pass
 r costs r a word (so repetition costs grow convexly). A min-cost maximum flow
 routes words from patterns to the quotas of their sources. Within a pattern,
-documents stand in a seeded order, and the pattern's share of the mix takes
-them from the front, as often as the flow says.
+documents stand in the order of a seeded hash, and the pattern's share of the
+mix takes them from the front, as often as the flow says. Only documents in the
+few buckets of that order where a share ends are put in order one by one; what
+becomes of all others follows from their bucket.
 """
 
 from __future__ import annotations
@@ -17,13 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .workspace import Workspace
+from .workspace import Workspace, bounded
 
 WEIGHTS, BUDGET, PASSES = (3, 1, 2), 1.5, 2
 #: More distinct sets of sources than this are refused; up to it, their totals are collected and broadcast.
 MAX_PATTERNS = 100_000
-#: Documents that one task puts in order, about.
-RUN_DOCS = 2_000
+#: Each pattern's documents fall into 2 ** BUCKET_BITS buckets by their seeded hash.
+BUCKET_BITS = 12
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], total: float, most: float) -> list[float]:
@@ -133,6 +135,98 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def _membership(docs: DataFrame, source_col: str) -> Column:
+    """Sorted distinct sources of a row; null is a source."""
+    if docs.schema[source_col].dataType.typeName() != "array":
+        return F.array(F.col(source_col))
+    return F.coalesce(F.array_sort(F.array_distinct(F.col(source_col))), F.array(F.lit(None).cast("string")))
+
+
+def _pattern(members: Column) -> Column:
+    return F.to_json(members)
+
+
+def _rank(doc_id: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), doc_id.cast("string"))
+
+
+def _bucket(rank: Column) -> Column:
+    return F.shiftrightunsigned(rank, 64 - BUCKET_BITS) if BUCKET_BITS else F.lit(0).cast("long")
+
+
+def _overlap(start: Column, end: Column, c: Column, size: Column, passes: int) -> Column:
+    """Words of the stretch from start to end that fall into a cut, over all passes."""
+    zero = F.lit(0).cast("long")
+    return sum((F.greatest(zero, F.least(end + r * size, c["hi"]) - F.greatest(start + r * size, c["lo"])) for r in range(passes)), zero)
+
+
+class _Plan:
+    """What a mix does: zones per pattern (broadcast), and exact shares of the rows in buckets where a share ends."""
+
+    def __init__(self, docs: DataFrame, weights, budget: float, passes: int, seed: int, id_col: str, text_col: str, source_col: str, work: Workspace):
+        spark = docs.sparkSession
+        rows = docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("size"), _membership(docs, source_col).alias("members"))
+        rows = rows.withColumn("pattern", _pattern(F.col("members"))).withColumn("rank", _rank(F.col("doc_id"), seed)).withColumn("bucket", _bucket(F.col("rank")))
+        self.rows = work.save(rows, "rows")
+
+        found = self.rows.groupBy("pattern").agg(F.first("members").alias("members"), F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
+        if len(found) > MAX_PATTERNS:
+            raise ValueError(f"over {MAX_PATTERNS} distinct sets of sources")
+        found.sort(key=lambda r: r["pattern"])
+        sources = sorted({s for r in found for s in r["members"]}, key=lambda s: (s is None, s or ""))
+        index = {s: i for i, s in enumerate(sources)}
+        members = [[index[s] for s in r["members"]] for r in found]
+        sizes = [0] * len(sources)
+        for r, own in zip(found, members):
+            for s in own:
+                sizes[s] += r["size"]
+        weight = [weights(s) if callable(weights) else weights[i % len(weights)] for i, s in enumerate(sources)]
+        goal = targets(sizes, weight, budget * sum(r["size"] for r in found), passes)
+        sent = min_cost_flow([r["size"] for r in found], members, [round(g) for g in goal], passes)
+
+        # Each pattern's words in the mix, 0 to F, are cut into one stretch per source.
+        table = []
+        for r, own, out in zip(found, members, sent):
+            lo, cuts = 0, []
+            for s in own:
+                cuts.append((sources[s], sizes[s], goal[s], lo, lo + out.get(s, 0)))
+                lo += out.get(s, 0)
+            table.append((r["pattern"], r["size"], cuts))
+        plan = spark.createDataFrame(table, "pattern string, pattern_size long, cuts array<struct<source:string,source_size:long,target:double,lo:long,hi:long>>")
+
+        sums = self.rows.groupBy("pattern", "bucket").agg(F.sum("size").alias("words"))
+        before = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        placed = sums.withColumn("base", F.coalesce(F.sum("words").over(before), F.lit(0))).join(F.broadcast(plan), "pattern")
+        placed = placed.where("words > 0")  # others hold documents without words, of which nothing can be taken
+        end = F.col("base") + F.col("words")
+        # A bucket lies in a cut as a whole, in some passes, or a cut's end lies within it.
+        within = F.transform("cuts", lambda c: _overlap(F.col("base"), end, c, F.col("pattern_size"), passes))
+        times = F.transform(within, lambda w: F.floor(w / F.col("words")).cast("int"))
+        whole = F.forall(within, lambda w: w % F.col("words") == 0)
+        zones = work.save(placed.select("pattern", "bucket", "base", (~whole).alias("split"), times.alias("times")), "buckets")
+        even = zones.where("NOT split").groupBy("pattern", "times").agg(F.min("bucket").alias("first"), F.max("bucket").alias("last"))
+        split = zones.where("split").select("pattern", F.lit(None).cast("array<int>").alias("times"), F.col("bucket").alias("first"), F.col("bucket").alias("last"))
+        listed = even.unionByName(split).groupBy("pattern").agg(F.collect_list(F.struct(F.col("times").isNull().alias("split"), "first", "last", "times")).alias("zones"))
+        empty = F.array().cast("array<struct<split:boolean,first:bigint,last:bigint,times:array<int>>>")
+        self.zones = work.save(plan.join(F.broadcast(listed), "pattern", "left").withColumn("zones", F.coalesce("zones", empty)), "zones")
+
+        hard = self.rows.join(F.broadcast(zones.where("split").select("pattern", "bucket", "base")), ["pattern", "bucket"])
+        ordered = Window.partitionBy("pattern", "bucket").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+        hard = hard.withColumn("start", F.col("base") + F.coalesce(F.sum("size").over(ordered), F.lit(0))).join(F.broadcast(plan), "pattern")
+        taken = F.transform("cuts", lambda c: _overlap(F.col("start"), F.col("start") + F.col("size"), c, F.col("pattern_size"), passes))
+        self.hard = work.save(hard.select("doc_id", "size", "cuts", taken.alias("taken")), "split-rows")
+
+    def zoned(self, rows: DataFrame) -> DataFrame:
+        """rows (pattern, bucket) with their zone: split, times, and the pattern's cuts."""
+        fits = F.filter("zones", lambda z: (F.col("bucket") >= z["first"]) & (F.col("bucket") <= z["last"]))
+        none = F.struct(F.lit(False).alias("split"), F.col("bucket").alias("first"), F.col("bucket").alias("last"), F.transform("cuts", lambda c: F.lit(0)).alias("times"))
+        return rows.join(F.broadcast(self.zones), "pattern").withColumn("zone", F.coalesce(F.get(fits, F.lit(0)), none))
+
+
+def _shares(cuts: Column, taken: Column) -> Column:
+    return F.zip_with(cuts, taken, lambda c, n: F.struct(c["source"].alias("source"), c["source_size"].alias("source_size"), c["target"].alias("target"), n.cast("long").alias("taken")))
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] | Callable[[str | None], float] = WEIGHTS,
@@ -158,61 +252,12 @@ def mix(
     rows each count; a null id is ordered like an id. An empty table gives an
     empty result. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    work = Workspace(spark, "mixing")
-    is_array = docs.schema[source_col].dataType.typeName() == "array"
-    own = F.array_sort(F.array_distinct(F.col(source_col))) if is_array else F.array(F.col(source_col))
-    own = F.coalesce(own, F.array(F.lit(None).cast("string"))) if is_array else own
-    rows = docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("size"), own.alias("members"))
-    rows = rows.withColumn("pattern", F.to_json("members")).withColumn("rank", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")))
-    rows = work.save(rows, "rows")
-
-    found = rows.groupBy("pattern").agg(F.first("members").alias("members"), F.sum("size").alias("size"), F.count("*").alias("docs")).limit(MAX_PATTERNS + 1).collect()
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"over {MAX_PATTERNS} distinct sets of sources")
-    found.sort(key=lambda r: r["pattern"])
-    sources = sorted({s for r in found for s in r["members"]}, key=lambda s: (s is None, s or ""))
-    index = {s: i for i, s in enumerate(sources)}
-    members = [[index[s] for s in r["members"]] for r in found]
-    sizes = [0] * len(sources)
-    for r, own_ in zip(found, members):
-        for s in own_:
-            sizes[s] += r["size"]
-    weight = [weights(s) if callable(weights) else weights[i % len(weights)] for i, s in enumerate(sources)]
-    total = sum(r["size"] for r in found)
-    goal = targets(sizes, weight, budget * total, passes)
-    sent = min_cost_flow([r["size"] for r in found], members, [round(g) for g in goal], passes)
-
-    # Each pattern's words in the mix, 0 to F, are cut into one stretch per source.
-    table = []
-    for r, own_, out in zip(found, members, sent):
-        lo, cuts = 0, []
-        for s in own_:
-            cuts.append((sources[s], sizes[s], goal[s], lo, lo + out.get(s, 0)))
-            lo += out.get(s, 0)
-        table.append((r["pattern"], r["size"], cuts))
-    plan = spark.createDataFrame(table, "pattern string, pattern_size long, cuts array<struct<source:string,source_size:long,target:double,lo:long,hi:long>>")
-
-    most = max((r["docs"] for r in found), default=0)
-    bits = max(0, (most // RUN_DOCS).bit_length())
-    bucket = F.shiftrightunsigned(F.col("rank"), 64 - bits) if bits else F.lit(0).cast("long")
-    rows = rows.withColumn("bucket", bucket)
-    sums = rows.groupBy("pattern", "bucket").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("pattern", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("pattern", "bucket").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("ahead", F.coalesce(F.sum("size").over(within), F.lit(0))).join(sums, ["pattern", "bucket"])
-    placed = placed.join(F.broadcast(plan), "pattern").withColumn("start", F.col("base") + F.col("ahead"))
-
-    def taken(c: Column) -> Column:
-        return sum(
-            F.greatest(F.lit(0).cast("long"), F.least(F.col("start") + F.col("size") + r * F.col("pattern_size"), c["hi"]) - F.greatest(F.col("start") + r * F.col("pattern_size"), c["lo"]))
-            for r in range(passes)
-        )
-
-    shares = F.transform("cuts", lambda c: F.struct(c["source"].alias("source"), c["source_size"].alias("source_size"), c["target"].alias("target"), taken(c).alias("taken")))
-    out = placed.select(F.col("doc_id").alias(id_col), "size", shares.alias("shares"))
-    return out.select(id_col, "size", F.aggregate("shares", F.lit(0).cast("long"), lambda a, c: a + c["taken"]).alias("taken"), "shares")
+    plan = _Plan(docs, weights, budget, passes, seed, id_col, text_col, source_col, Workspace(docs.sparkSession, "mixing"))
+    easy = plan.zoned(plan.rows).where("NOT zone.split")
+    easy = easy.select("doc_id", "size", _shares(F.col("cuts"), F.transform("zone.times", lambda n: n * F.col("size"))).alias("shares"))
+    hard = plan.hard.select("doc_id", "size", _shares(F.col("cuts"), F.col("taken")).alias("shares"))
+    both = easy.unionByName(hard)
+    return both.select(F.col("doc_id").alias(id_col), "size", F.aggregate("shares", F.lit(0).cast("long"), lambda a, c: a + c["taken"]).alias("taken"), "shares")
 
 
 def flat(mixed: DataFrame) -> DataFrame:
@@ -220,15 +265,32 @@ def flat(mixed: DataFrame) -> DataFrame:
     return mixed.withColumns({"source_size": F.col("shares")[0]["source_size"], "target": F.col("shares")[0]["target"]}).drop("shares")
 
 
-def take(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs that the mix takes, with size, taken, source_size and target of the mix beside their columns.
+def take(
+    docs: DataFrame,
+    weights: Sequence[float] | Callable[[str | None], float] = WEIGHTS,
+    budget: float = BUDGET,
+    passes: int = PASSES,
+    seed: int = 0,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """The rows of docs that the mix takes, for documents with one source each, with size, taken, source_size and target beside their columns.
 
-    Columns of docs with those names give way to the mix's. Rows of one id get
-    the largest of their counts; a null id is an id.
+    Columns of docs with those names give way to the mix's. Rows of one id in a
+    bucket where a share ends get the largest of their counts; a null id is an
+    id. Texts aren't shuffled, but for rows of such buckets if they are many.
     """
     work = Workspace(docs.sparkSession, "mixing-rows")
-    mixed = flat(mix(docs, id_col=id_col, **options)).where("taken > 0").withColumnRenamed(id_col, "__id")
-    names = [c for c in mixed.columns if c != "__id"]
-    chosen = work.save(mixed.groupBy("__id").agg(*[F.max(c).alias(c) for c in names]), "taken")
-    rows = docs.drop(*names)
-    return rows.join(chosen, rows[id_col].eqNullSafe(chosen["__id"])).drop("__id")
+    plan = _Plan(docs, weights, budget, passes, seed, id_col, text_col, source_col, work)
+    names = ["size", "taken", "source_size", "target"]
+    cols = [c for c in docs.columns if c not in names]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), _pattern(_membership(docs, source_col)).alias("pattern"), _bucket(_rank(F.col(id_col), seed)).alias("bucket"))
+    rows = plan.zoned(rows)
+    facts = [F.col("cuts")[0]["source_size"].alias("source_size"), F.col("cuts")[0]["target"].alias("target")]
+    easy = rows.where("NOT zone.split AND exists(zone.times, n -> n > 0)").withColumn("size", words(F.col("__text"))).where("size > 0")
+    easy = easy.select("row.*", "size", (F.aggregate("zone.times", F.lit(0), lambda a, n: a + n) * F.col("size")).alias("taken"), *facts)
+    counts = plan.hard.groupBy(F.col("doc_id").alias("__key")).agg(F.max(F.aggregate("taken", F.lit(0).cast("long"), lambda a, n: a + n)).alias("taken"), F.max("size").alias("size"))
+    counts = bounded(work.save(counts.where("taken > 0"), "split-counts"))
+    hard = rows.where("zone.split").join(counts, F.col("__id").eqNullSafe(F.col("__key")))
+    return easy.unionByName(hard.select("row.*", "size", "taken", *facts))

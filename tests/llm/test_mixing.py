@@ -1,6 +1,7 @@
 import itertools
 
 import pytest
+from pyspark.sql import functions as F
 
 from docmill.llm import mixing
 
@@ -31,8 +32,9 @@ def test_targets_against_a_water_level():
         assert got == pytest.approx(filled(sizes, weights, 1.5 * sum(sizes), 2), abs=1e-6)
 
 
-def test_mix_against_targets(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "RUN_DOCS", 20)
+@pytest.mark.parametrize("bits", [0, 3, 12])
+def test_mix_against_targets(spark, monkeypatch, bits):
+    monkeypatch.setattr(mixing, "BUCKET_BITS", bits)
     rows, df = rows_of(spark)
     out = mixing.flat(mixing.mix(df)).join(df, "doc_id").collect()
     assert len(out) == len(rows)
@@ -48,6 +50,8 @@ def test_mix_against_targets(spark, monkeypatch):
     assert all(sum(bool(r.size) and r.taken % r.size > 0 for r in out if r.source == n) <= 1 for n in names)
     again = mixing.flat(mixing.mix(df.repartition(3))).join(df, "doc_id").collect()
     assert {(r.doc_id, r.taken) for r in again} == {(r.doc_id, r.taken) for r in out}
+    kept = {r.doc_id: r for r in mixing.take(df.withColumn("size", F.lit("x"))).collect()}
+    assert {(i, r.taken, r.size, r.source_size, r.target, r.source) for i, r in kept.items()} == {(r.doc_id, r.taken, r.size, r.source_size, r.target, r.source) for r in out if r.taken}
     other = mixing.flat(mixing.mix(df, seed=1)).collect()
     assert {(r.doc_id, r.taken) for r in other} != {(r.doc_id, r.taken) for r in out}
 
