@@ -34,6 +34,10 @@ class DigestIndex:
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{where}'"
         )
 
+    def forget(self) -> None:
+        """Take the name out of this session's catalog; the digests stay where they are."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
     def read(self) -> DataFrame:
         self.spark.catalog.refreshTable(self.table)
         return self.spark.table(self.table)
@@ -65,6 +69,7 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
     """
     spark = docs.sparkSession
     work = Workspace(spark, "exact")
+    own = index is None
     index = index or DigestIndex(spark, work.path("index"))
     rows = work.save(docs.select(F.col(id_col).cast("long").alias("doc_id"), digest_of(F.col(text_col)).alias("digest")), "rows")
     groups = work.save(rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
@@ -72,6 +77,8 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
     # Written before the append: afterwards the index also has this call's rows.
     known = work.save(groups.join(held.hint("merge"), "digest"), "known")
     index.append(groups.join(index.read().hint("merge"), "digest", "left_anti"))
+    if own:
+        index.forget()
     shared = groups.where("group_size > 1").join(known.select("digest"), "digest", "left_anti").select("digest", "keep_id", "group_size")
     told = shared.unionByName(known.select("digest", F.col("held_id").alias("keep_id"), "group_size")).withColumn("told", F.lit(True))
     told = told.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
