@@ -28,10 +28,10 @@ from .graph import connected_components
 from .workspace import Workspace, bounded, small_batches
 
 SYMBOLS, B_BITS, CHUNKS, ERRORS = 18, 16, 3, 2
-#: Symbols of 8 bits, compared before two full sets are; a pair of similarity 0.85 passes but once in 10 ** 6.
+#: Symbols of 8 bits, compared before two full sets are; a pair of similarity 0.85 fails twice in 10 ** 6.
 LANES, LANES_LEAST = 64, 40
 #: Documents and characters that one task compares at most; larger parts are cut into blocks.
-BLOCK_DOCS, BLOCK_CHARS = 4096, 24 << 20
+BLOCK_DOCS, BLOCK_CHARS = 1024, 8 << 20
 SALTS = 8
 
 SIGNATURE_SCHEMA = "doc_id long, n_shingles long, chars long, s1 long, s2 long, sig binary"
