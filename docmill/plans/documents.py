@@ -234,7 +234,7 @@ def validate_envelope(t):
     return validated(rows, "payload", "page_from", "page_to").select("name", F.col("error.code").alias("code"), F.col("error.retryable").alias("retryable"))
 
 
-@query("""SELECT * FROM (VALUES (3, 1, 'Ram Lal', 'Ram', '—', 'Lal', 0.75, 30, true, ''), (3, 2, '—', '—', '—', '—', 1.0, 200, false, 'age outside 0–120,confidence outside 0–1,name missing'),
+@query("""SELECT * FROM (VALUES (3, 1, 'Ram Lal', 'Ram', '—', 'Lal', 0.75::DOUBLE, 30, true, ''), (3, 2, '—', '—', '—', '—', 1.0::DOUBLE, 200, false, 'age outside 0–120,confidence outside 0–1,name missing'),
   (4, 1, 'A B C D', 'A', 'B C', 'D', NULL, NULL, false, 'confidence not a number')) v(page_number, source_row_number, name_hi, voter_first_name_hi, voter_middle_name_hi, voter_sur_name_hi, confidence, age, is_valid, errors)""")
 def normalize_record(t):
     from .fixtures import ENVELOPES

@@ -109,7 +109,7 @@ def review_flags(t):
     return t.part.select("p_partkey", F.concat(F.lit("["), F.array_join(flags, ", "), F.lit("]")).alias("flags"))
 
 
-@query("SELECT c_custkey, round((c_acctbal / 1000 - 5) * 111320 * cos(radians(20.0)), 3) AS east, round((c_custkey % 90 - 20) * 111320.0, 3) AS north FROM customer")
+@query("SELECT c_custkey, round((c_acctbal / 1000 - 5) * 111320 * cos(radians(20.0)), 3) AS east, round((c_custkey % 90 - 20) * 111320.0, 3)::DOUBLE AS north FROM customer")
 def local_metres(t):
     p = geo.east_north((F.col("c_custkey") % 90).cast("double"), F.col("c_acctbal") / 1000, F.lit(20.0), F.lit(5.0))
     return t.customer.select("c_custkey", F.round(p["east"], 3).alias("east"), F.round(p["north"], 3).alias("north"))
