@@ -197,8 +197,6 @@ def _score(model, spans: bool, least: float):
                 hashes, sentence, owner, begin = sentences(part)
                 z = m.logits(hashes, sentence, len(owner))
                 score = -np.expm1(-np.bincount(owner, _soft(z), minlength=b - a))
-                worst = np.full(b - a, -np.inf)
-                np.maximum.at(worst, owner, z)
                 out = pd.DataFrame({"doc_id": batch["doc_id"].iloc[a:b].to_numpy(), "score": score, "n_sentences": np.bincount(owner, minlength=b - a)})
                 if spans:
                     found: list[list[dict]] = [[] for _ in part]
