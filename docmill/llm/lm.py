@@ -36,7 +36,8 @@ EM_ROUNDS = 60
 END = np.uint64(0x454E44)
 _STEP = 4  # cells of the statistics for EM, per factor of two
 
-BATCH_SCHEMA = "batch long, ids array<long>, folds array<int>, sizes array<long>, text binary, tokens long, train_tokens long, dev_tokens long"
+# Ids cross as text: pandas would hold whole numbers among nulls as floats.
+BATCH_SCHEMA = "batch long, ids array<string>, folds array<int>, sizes array<long>, text binary, tokens long, train_tokens long, dev_tokens long"
 
 
 def _squeeze(data: bytes) -> bytes:
@@ -59,7 +60,7 @@ def _batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in batches:
         raw = tk.encode(frame["text"])
         folds = frame["fold"].fillna(-1).astype(int).to_numpy()
-        ids = [None if pd.isna(i) else int(i) for i in frame["doc_id"]]
+        ids = [None if pd.isna(i) else i for i in frame["doc_id"]]
         for a, b in tk.slices(raw, BATCH_BYTES):
             count = tk.word_counts(raw[a:b]) + 1
             train, dev = folds[a:b] >= 2, folds[a:b] == 3
@@ -232,7 +233,7 @@ def _score(n: int, v: int, weights: np.ndarray):
                 p = w[:, 0] * c2[at2] / np.maximum(before, 1) + w[:, 1] * here / max(n, 1) + w[:, 2] / (v + 1)
                 at = t.first[:-1]
                 yield pd.DataFrame({
-                    "doc_id": pd.array([None if pd.isna(i) else int(i) for i in row.ids], dtype="Int64"), "fold": row.folds, "n_tokens": np.diff(t.first),
+                    "doc_id": list(row.ids), "fold": row.folds, "n_tokens": np.diff(t.first),
                     "n_known": np.add.reduceat((here > 0).astype(np.int64), at), "base_score": np.add.reduceat(np.log10((here + 0.5) / (n + 0.5 * (v + 1))), at),
                     "score": np.add.reduceat(np.log10(p), at),
                 })
@@ -240,7 +241,7 @@ def _score(n: int, v: int, weights: np.ndarray):
     return run
 
 
-SCORE_SCHEMA = "doc_id long, fold int, n_tokens long, n_known long, base_score double, score double"
+SCORE_SCHEMA = "doc_id string, fold int, n_tokens long, n_known long, base_score double, score double"
 
 
 def score(docs: DataFrame, fold: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -260,7 +261,7 @@ def score(docs: DataFrame, fold: Column, id_col: str = "doc_id", text_col: str =
     small_batches(docs.sparkSession)
     # 0: no id, 1: held out, 2: training, 3: training whose tokens EM runs on.
     role = F.when(F.col(id_col).isNull(), 0).when(fold == 1, 1).when(fold == 2, 3).otherwise(2)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), role.cast("int").alias("fold"))
+    rows = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("text"), role.cast("int").alias("fold"))
     batches = work.save(rows.mapInPandas(_batches, BATCH_SCHEMA), "batches")
     facts = batches.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "train_tokens", "dev_tokens")]).first()
     n = facts["train_tokens"]
@@ -279,4 +280,4 @@ def score(docs: DataFrame, fold: Column, id_col: str = "doc_id", text_col: str =
     count = cells["n"].to_numpy(dtype=float)
     weights = learn_weights(cells["cell"].to_numpy(dtype=np.int64) >> 16, count, cells["p2"].to_numpy(dtype=float) / np.maximum(count, 1), cells["p1"].to_numpy(dtype=float) / np.maximum(count, 1), 1 / (v + 1))
     scored = joined.select("ids", "folds", "sizes", "text", "replies").mapInPandas(_score(n, v, weights), SCORE_SCHEMA)
-    return scored.select(F.col("doc_id").alias(id_col), F.col("fold").isin(0, 1).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    return scored.select(F.col("doc_id").cast("long").alias(id_col), F.col("fold").isin(0, 1).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

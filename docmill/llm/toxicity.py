@@ -224,9 +224,10 @@ def score(docs: DataFrame, model: Model, spans: bool = False, least: float = 0.5
     ship(docs.sparkSession)
     small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = "doc_id long, score double, n_sentences long" + (f", spans {SPAN}" if spans else "")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(_score(sent, spans, least), schema).withColumnRenamed("doc_id", id_col)
+    # Ids cross as text: pandas would hold whole numbers among nulls as floats.
+    schema = "doc_id string, score double, n_sentences long" + (f", spans {SPAN}" if spans else "")
+    rows = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInPandas(_score(sent, spans, least), schema).withColumn("doc_id", F.col("doc_id").cast("long")).withColumnRenamed("doc_id", id_col)
 
 
 def fold(id_col: str = "doc_id") -> Column:

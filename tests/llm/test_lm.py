@@ -94,3 +94,9 @@ def test_odd_rows(spark):
 def test_packing():
     for values in (np.zeros(0), np.array([0, 1, 255, 1 << 40]), np.arange(1000)):
         assert (lm._unpack(lm._pack(values.astype(np.uint64))) == values.astype(np.uint64)).all()
+
+
+def test_large_ids_beside_a_null_id(spark):
+    ids = [2**60 + 1, 2**53 + 1, None, -(2**61) - 1]
+    docs = spark.createDataFrame([(i, "a b c") for i in ids], "doc_id long, text string").coalesce(1)
+    assert {r.doc_id for r in lm.score(docs, column()).collect()} == set(ids)

@@ -67,3 +67,10 @@ def test_hash_is_the_same_for_any_batch():
     alone = [tk.words([r])[0] for r in raw]
     assert all((w[at[i] : at[i + 1]] == alone[i]).all() for i in range(4))
     assert (alone[0] == alone[3]).all() and len(alone[1]) == 0 and len(alone[2]) == 2
+
+
+def test_large_ids_beside_a_null_id(spark):
+    ids = [2**60 + 1, 2**53 + 1, None, -(2**61) - 1]
+    docs = spark.createDataFrame([(i, "a b c") for i in ids], "doc_id long, text string").coalesce(1)
+    model = toxicity.Model(np.zeros(0, np.uint64), np.zeros(0), -1.0)
+    assert {r.doc_id for r in toxicity.score(docs, model).collect()} == set(ids)
