@@ -4,9 +4,9 @@ A text becomes a template: numbers, units after numbers, and capitalised words
 turn into typed slots, and each slot is glued to the literal word that follows
 it. A window is a run of WINDOW literal words with the slot types before all
 but the first of them. Windows of documents and benchmark items are joined on
-their hash. Where windows have slots, the values that stand in them must map
-one-to-one between item and document along an alignment, so that a question
-with other numbers or names is caught and a chance likeness isn't.
+their hash. Where windows have slots, the values that stand in them must be
+consistent along an alignment, so that a question with other numbers or names is
+caught and a chance likeness isn't: see _conflict.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from .workspace import Workspace, bounded
 WINDOW = 8
 #: Items with fewer literal words than this can't be told from chance; those with fewer than WINDOW have one window, of all their words.
 LEAST = 4
+#: So many slot-free windows of one alignment (13 words in the same places) are a copy, whatever stands in the slots of others.
+VERBATIM = 6
 #: Benchmark windows (24 bytes each) are broadcast up to so many rows, else joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -91,6 +93,16 @@ def _slots(tokens: Column, pos: Column, size: Column) -> Column:
     return F.regexp_extract_all(F.array_join(F.slice(tokens, pos + 2, size - 1), " "), F.lit(f"{_OPEN}([^{_CLOSE}]*){_CLOSE}"), F.lit(1))
 
 
+def _conflict(values: Column) -> Column:
+    """Whether slots contradict each other: one unit stands for two, or one name was changed to two others.
+
+    Numbers are free, since equal ones needn't be the same quantity, and a name
+    that was kept in one place says nothing against a change in another.
+    """
+    bound = F.filter(values, lambda v: v["a"].startswith("u") | (v["a"].startswith("p") & (v["a"] != v["b"])))
+    return F.size(bound) != F.size(F.array_distinct(F.transform(bound, lambda v: v["a"])))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """One row per document and benchmark item that share a template window with consistent slots.
 
@@ -133,14 +145,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_c
     plain = hits.where("NOT has_slots").drop("has_slots").distinct().withColumn("values", F.array().cast("array<struct<a:string,b:string>>"))
 
     every = filled.unionByName(plain).withColumn("shift", F.col("pos") - F.col("item_pos"))
+    plain_pos, last = F.when(F.size("values") == 0, F.col("pos")), F.col("pos") + F.col("size") - 1
     runs = every.groupBy("doc_id", "item_id", "shift").agg(
-        F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"), F.min("pos").alias("first"), F.max(F.col("pos") + F.col("size") - 1).alias("last")
-    )
-    one_to_one = (F.size("values") == F.size(F.array_distinct("values.a"))) & (F.size("values") == F.size(F.array_distinct("values.b")))
+        F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"), F.min("pos").alias("first"), F.max(last).alias("last"),
+        F.collect_set(plain_pos - F.col("shift")).alias("plain_at"), F.min(plain_pos).alias("plain_first"), F.max(F.when(plain_pos.isNotNull(), last)).alias("plain_last"),
+    )
+    runs = runs.withColumn("conflict", _conflict(F.col("values"))).where(f"NOT conflict OR size(plain_at) >= {VERBATIM}")
+    # Of a run with a conflict, only the windows without slots count.
+    kept = runs.select("doc_id", "item_id", "values", *[F.when(F.col("conflict"), F.col(f"plain_{c}")).otherwise(F.col(c)).alias(c) for c in ("at", "first", "last")])
     changed = F.size(F.filter("values", lambda v: v["a"] != v["b"]))
     totals = wins.groupBy("item_id").agg(F.count("*").alias("item_windows"))
     totals = F.broadcast(totals) if rows <= BROADCAST_ROWS else totals
-    kept = runs.where(one_to_one).withColumn("changed", changed)
+    kept = kept.withColumn("changed", changed)
     out = kept.groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("windows"), F.min("changed").cast("long").alias("changed"),
         F.min("first").cast("long").alias("first_word"), F.max("last").cast("long").alias("last_word"),

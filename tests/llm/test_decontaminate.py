@@ -32,6 +32,18 @@ def test_slots_must_map_one_to_one(spark):
     assert (1, 0) not in got
 
 
+def test_one_conflict_leaves_the_rest_of_a_copy(spark):
+    tail = "walks slowly along the narrow river path while many small birds sing above green fields and quiet farms until evening falls"
+    item = f"every single morning Kate greets Kate and Paul then {tail}"
+    one = item.replace("Kate", "Eve", 1)  # of two equal names one was changed
+    two = item.replace("Kate", "Eve", 1).replace("Kate", "Mary", 1)  # names contradict, but 20 words are verbatim
+    same = ITEM.replace("12", "9").replace("7", "9").replace("5", "9")  # new numbers coincide
+    got = run(spark, [one, two, same, ITEM], [item, ITEM, same])
+    assert got[0, 0].windows == got[0, 0].item_windows and got[0, 0].changed == 1
+    assert 6 <= got[1, 0].windows < got[1, 0].item_windows
+    assert (2, 1) in got and (3, 2) in got  # (3, 2): the old numbers coincide
+
+
 def test_units_and_numbers_are_typed(spark):
     item = "a train drives 30 km through the long valley and then 45 km along the wide river bank"
     got = run(spark, [item.replace("30 km", "99 miles").replace("45 km", "8 miles"), item.replace("30 km", "red"), item.replace("km", "miles", 1)], [item])
