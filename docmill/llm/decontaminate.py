@@ -7,6 +7,10 @@ but the first of them. Windows of documents and benchmark items are joined on
 their hash. Where windows have slots, the values that stand in them must be
 consistent along an alignment, so that a question with other numbers or names is
 caught and a chance likeness isn't: see _conflict.
+
+What is a name depends on its case. So that copies in another case are found,
+there are windows of WINDOW plain words too, names and numbers included, in one
+case; they count where the document's case isn't the item's.
 """
 
 from __future__ import annotations
@@ -88,6 +92,26 @@ def _windows(marked: Column, sizes: list[int], whole_below: int = 0) -> Column:
     return _let(_hashes(marked), lambda x: F.concat(*[of(x, F.lit(s)) for s in sizes]))
 
 
+def _plain(text: Column) -> Column:
+    """All words without punctuation, in their own case."""
+    return F.array_remove(F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}\p{N}\s]+", ""), r"\s+"), "")
+
+
+def _plain_windows(text: Column, sizes: list[int], whole_below: int = 0) -> Column:
+    """As _windows, over all words in one case; their sizes are negative, which tells them from template windows."""
+    empty = F.array().cast("array<struct<pos:int,size:int,hash:long>>")
+
+    def of(h: Column, size: Column) -> Column:
+        made = F.transform(F.sequence(F.lit(0), F.size(h) - size), lambda i: F.struct(i.cast("int").alias("pos"), (-size).cast("int").alias("size"), F.xxhash64(F.slice(h, i + 1, size)).alias("hash")))
+        return F.when((size <= F.size(h)) & (size > 0), made).otherwise(empty)
+
+    # A sharp s has two letters in upper case.
+    hashes = F.transform(_plain(F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))), lambda w: F.xxhash64(w))
+    if whole_below:
+        return _let(hashes, lambda h: of(h, F.when(F.size(h) < LEAST, 0).otherwise(F.least(F.size(h), F.lit(whole_below)))))
+    return _let(hashes, lambda h: F.concat(*[of(h, F.lit(s)) for s in sizes]))
+
+
 def _slots(tokens: Column, pos: Column, size: Column) -> Column:
     """Typed values of the slots inside a window."""
     return F.regexp_extract_all(F.array_join(F.slice(tokens, pos + 2, size - 1), " "), F.lit(f"{_OPEN}([^{_CLOSE}]*){_CLOSE}"), F.lit(1))
@@ -104,35 +128,42 @@ def _conflict(values: Column) -> Column:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """One row per document and benchmark item that share a template window with consistent slots.
+    """One row per document and benchmark item that share a template window with consistent slots, or a plain window in another case.
 
     Returns id, item_id, windows (of the item, found), item_windows, changed
     (slots whose value differs from the item's; 0 for a literal copy), first_word
-    and last_word (the literal words of the document that the match spans).
+    and last_word (the literal words of the document that the match spans). Where
+    only plain windows are shared, all words count, and windows are plain ones.
     Null texts count as empty and match nothing; rows with a null id on either
     side are left out. Repeated rows count once. Empty tables give an empty
     result. Other columns are ignored. Texts are read whole.
 
     Documents are neither shuffled nor collected: their windows stream past the
     benchmark's, which are broadcast up to BROADCAST_ROWS, counted first. Only
-    documents with matching windows that have slots are read again.
+    documents with matching windows that have slots, or plain ones alone, are read again.
     """
     work = Workspace(docs.sparkSession, "decontaminate")
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col("text" if text_col not in benchmark.columns else text_col).alias("text"))
     items = items.where("item_id IS NOT NULL").distinct().withColumn("marked", _marked(F.col("text")))
+    plain = items.select("item_id", _plain(F.col("text")).alias("words"), F.explode(_plain_windows(F.col("text"), [], window)).alias("w"))
+    cased = F.array_join(F.slice("words", F.col("w.pos") + 1, -F.col("w.size")), " ")
+    plain = plain.select("item_id", F.col("w.pos").alias("item_pos"), "w.size", "w.hash", F.array().cast("array<string>").alias("item_slots"), cased.alias("item_words"))
     wins = items.select("item_id", _tokens(F.col("marked")).alias("tokens"), F.explode(_windows(F.col("marked"), [], window)).alias("w"))
-    wins = wins.select("item_id", F.col("w.pos").alias("item_pos"), "w.size", "w.hash", _slots(F.col("tokens"), F.col("w.pos"), F.col("w.size")).alias("item_slots"))
-    wins = work.save(wins, "benchmark-windows")
+    wins = wins.select("item_id", F.col("w.pos").alias("item_pos"), "w.size", "w.hash", _slots(F.col("tokens"), F.col("w.pos"), F.col("w.size")).alias("item_slots"), F.lit(None).cast("string").alias("item_words"))
+    wins = work.save(wins.unionByName(plain), "benchmark-windows")
     rows = wins.count()
-    sizes = sorted(r[0] for r in wins.select("size").distinct().limit(window + 1).collect())
+    lengths = sorted(r[0] for r in wins.select("size").distinct().limit(2 * window + 2).collect())
+    sizes, plain_sizes = [n for n in lengths if n > 0], [-n for n in lengths if n < 0]
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL")
-    found = own.select("doc_id", F.explode(_windows(_marked(F.col("text")), sizes)).alias("w")).select("doc_id", F.col("w.pos").alias("pos"), "w.size", "w.hash") if sizes else (
+    both = [_windows(_marked(F.col("text")), sizes)] * bool(sizes) + [_plain_windows(F.col("text"), plain_sizes)] * bool(plain_sizes)
+    found = own.select("doc_id", F.explode(F.concat(*both)).alias("w")).select("doc_id", F.col("w.pos").alias("pos"), "w.size", "w.hash") if both else (
         own.select("doc_id", F.lit(0).alias("pos"), F.lit(0).alias("size"), F.lit(0).cast("long").alias("hash")).limit(0)
     )
     slim = wins.select("item_id", "item_pos", "size", "hash", (F.size("item_slots") > 0).alias("has_slots"))
     slim = F.broadcast(slim) if rows <= BROADCAST_ROWS else slim.hint("merge")
-    hits = work.save(found.join(slim, ["hash", "size"]).select("doc_id", "item_id", "pos", "item_pos", "size", "has_slots"), "hits")
+    all_hits = work.save(found.join(slim, ["hash", "size"]).select("doc_id", "item_id", "pos", "item_pos", "size", "has_slots"), "hits")
+    hits = all_hits.where("size > 0")
 
     # Slot values, for hits that have any.
     slotted = hits.where("has_slots").drop("has_slots").distinct()
@@ -154,14 +185,26 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_c
     # Of a run with a conflict, only the windows without slots count.
     kept = runs.select("doc_id", "item_id", "values", *[F.when(F.col("conflict"), F.col(f"plain_{c}")).otherwise(F.col(c)).alias(c) for c in ("at", "first", "last")])
     changed = F.size(F.filter("values", lambda v: v["a"] != v["b"]))
-    totals = wins.groupBy("item_id").agg(F.count("*").alias("item_windows"))
-    totals = F.broadcast(totals) if rows <= BROADCAST_ROWS else totals
-    kept = kept.withColumn("changed", changed)
-    out = kept.groupBy("doc_id", "item_id").agg(
+    template = kept.withColumn("changed", changed).groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("windows"), F.min("changed").cast("long").alias("changed"),
         F.min("first").cast("long").alias("first_word"), F.max("last").cast("long").alias("last_word"),
     )
-    return out.join(totals, "item_id").select(F.col("doc_id").alias(id_col), "item_id", "windows", "item_windows", "changed", "first_word", "last_word")
+    template = work.save(template, "template-leaks")
+
+    # Plain windows in another case than the item's, for documents that templates don't give away.
+    other = work.save(all_hits.where("size < 0").drop("has_slots").distinct().join(template.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_anti"), "plain-hits")
+    ids = bounded(work.save(other.select("doc_id").distinct(), "plain-ids"))
+    texts = own.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", _plain(F.col("text")).alias("words"))
+    told = other.join(wins.where("size < 0").select("item_id", "item_pos", "size", "item_words"), ["item_id", "item_pos", "size"]).join(texts, "doc_id")
+    told = told.where(F.array_join(F.slice("words", F.col("pos") + 1, -F.col("size")), " ") != F.col("item_words"))
+    cased = told.groupBy("doc_id", "item_id").agg(
+        F.count_distinct("item_pos").alias("windows"), F.lit(0).cast("long").alias("changed"),
+        F.min("pos").cast("long").alias("first_word"), F.max(F.col("pos") - F.col("size") - 1).cast("long").alias("last_word"),
+    )
+    totals = wins.groupBy("item_id", (F.col("size") > 0).alias("by_template")).agg(F.count("*").alias("item_windows"))
+    totals = F.broadcast(totals) if rows <= BROADCAST_ROWS else totals
+    out = template.withColumn("by_template", F.lit(True)).unionByName(cased.withColumn("by_template", F.lit(False)))
+    return out.join(totals, ["item_id", "by_template"]).select(F.col("doc_id").alias(id_col), "item_id", "windows", "item_windows", "changed", "first_word", "last_word")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -44,6 +44,16 @@ def test_one_conflict_leaves_the_rest_of_a_copy(spark):
     assert (2, 1) in got and (3, 2) in got  # (3, 2): the old numbers coincide
 
 
+def test_copies_in_another_case(spark):
+    filler = " ".join(prose(1, 60))
+    names = "In March Anna Lee and Paul Roth met Rosa Klein at the Grand Hotel in Old Vienna"
+    copies = [f"{filler} {c} {filler}" for item in (ITEM, names) for c in (item.upper(), item.title(), item.lower())]
+    got = run(spark, [*copies, filler, "Straße der grünen Bäume"], [ITEM, names, "STRASSE DER GRÜNEN BÄUME"])
+    assert set(got) == {(0, 0), (1, 0), (2, 0), (3, 1), (4, 1), (5, 1), (7, 2)}
+    assert all(r.windows <= r.item_windows for r in got.values())
+    assert (got[3, 1].first_word, got[3, 1].last_word) == (60, 76)
+
+
 def test_units_and_numbers_are_typed(spark):
     item = "a train drives 30 km through the long valley and then 45 km along the wide river bank"
     got = run(spark, [item.replace("30 km", "99 miles").replace("45 km", "8 miles"), item.replace("30 km", "red"), item.replace("km", "miles", 1)], [item])
