@@ -1,6 +1,7 @@
 """Near-duplicate documents by a multi-index Hamming join over b-bit MinHash signatures.
 
-Signature: SYMBOLS MinHash values of B_BITS bits each, cut into CHUNKS chunks.
+Signature: SYMBOLS MinHash values of B_BITS bits each, cut into CHUNKS chunks; for
+similarities below 0.85 there are more chunks of the same width (chunks_for).
 Two signatures with at most CHUNKS * (ERRORS + 1) - 1 differing symbols agree,
 in at least one chunk, in all but ERRORS symbols (pigeonhole). Every choice of
 ERRORS positions of every chunk is enumerated; the other symbols of the chunk
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -28,8 +30,10 @@ from .graph import connected_components
 from .workspace import Workspace, bounded, small_batches
 
 SYMBOLS, B_BITS, CHUNKS, ERRORS = 18, 16, 3, 2
-#: Symbols of 8 bits, compared before two full sets are; a pair of similarity 0.85 fails twice in 10 ** 6.
+#: Symbols of 8 bits, compared before two full sets are; LANES_LEAST must agree at most, and as many that a pair of the wanted similarity fails about twice in 10 ** 6.
 LANES, LANES_LEAST = 64, 40
+#: Chances at which a pair that is just similar enough may share no key, and be passed over by the lanes.
+KEY_MISS, LANE_MISS = 1.1e-4, 2.5e-6
 #: Documents and characters that one task compares at most; larger parts are cut into blocks.
 BLOCK_DOCS, BLOCK_CHARS = 1024, 8 << 20
 SALTS = 8
@@ -37,14 +41,36 @@ SALTS = 8
 SIGNATURE_SCHEMA = "doc_id long, n_shingles long, chars long, s1 long, s2 long, sig binary"
 
 
-def _signatures(n: int):
+def chunks_for(percent: int) -> int:
+    """Chunks of a signature, CHUNKS at least, with which a pair of that similarity shares no key with a chance of KEY_MISS at most."""
+    wide, p = SYMBOLS // CHUNKS, percent / 100
+    fails = sum(comb(wide, k) * (1 - p) ** k * p ** (wide - k) for k in range(ERRORS + 1, wide + 1))
+    chunks = CHUNKS
+    while fails**chunks > KEY_MISS and chunks < 64:
+        chunks += 1
+    return chunks
+
+
+def lanes_least(percent: int) -> int:
+    """Lanes that must agree, LANES_LEAST at most, so that a pair of that similarity is passed over with a chance of LANE_MISS at most."""
+    p = percent / 100 + (1 - percent / 100) / 256
+    below, k = 0.0, 0
+    while k < LANES_LEAST:
+        below += comb(LANES, k) * p**k * (1 - p) ** (LANES - k)
+        if below > LANE_MISS:
+            break
+        k += 1
+    return k
+
+
+def _signatures(n: int, symbols: int = SYMBOLS):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             raw = tk.encode(batch["text"])
             for a, b in tk.slices(raw, 1 << 20):
                 values, at = tk.shingle_sets(raw[a:b], n)
                 size = np.diff(at)
-                sig = (tk.min_hashes(values, at, SYMBOLS) & np.uint64((1 << B_BITS) - 1)).astype(np.uint16)
+                sig = (tk.min_hashes(values, at, symbols) & np.uint64((1 << B_BITS) - 1)).astype(np.uint16)
                 s1, s2 = (np.zeros(b - a, dtype=np.uint64) for _ in range(2))
                 full = np.flatnonzero(size)
                 if len(full):
@@ -62,7 +88,7 @@ def bucket_keys(sig: np.ndarray) -> np.ndarray:
     """For each row of symbols, the keys of all chunks and error positions."""
     wide = SYMBOLS // CHUNKS
     out, tag = [], 0
-    for c in range(CHUNKS):
+    for c in range(sig.shape[1] // wide):
         for kept in combinations(range(wide), wide - ERRORS):
             tag += 1
             key = np.full(len(sig), tag, dtype=np.uint64)
@@ -75,7 +101,7 @@ def bucket_keys(sig: np.ndarray) -> np.ndarray:
 def _buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         if len(batch):
-            sig = np.frombuffer(b"".join(batch["sig"]), dtype=np.uint16).reshape(-1, SYMBOLS).astype(np.uint64)
+            sig = np.frombuffer(b"".join(batch["sig"]), dtype=np.uint16).reshape(len(batch), -1).astype(np.uint64)
             keys = bucket_keys(sig)
             yield pd.DataFrame({"key": keys.ravel().view(np.int64), "rep": np.repeat(batch["rep"].to_numpy(), keys.shape[1])})
 
@@ -109,7 +135,7 @@ def link_within(raw: list[bytes], known: np.ndarray, percent: int, n: int, acros
     lanes = np.concatenate([tk.min_hashes(v, o, LANES, seed=2).astype(np.uint8) for v, o in parts]) if parts else np.zeros((0, LANES), np.uint8)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     order = np.argsort(sizes, kind="stable")
-    lanes, ranked = lanes[order], sizes[order]
+    lanes, ranked, least = lanes[order], sizes[order], lanes_least(percent)
     for x in range(len(order)):
         i = int(order[x])
         if not sizes[i]:
@@ -118,7 +144,7 @@ def link_within(raw: list[bytes], known: np.ndarray, percent: int, n: int, acros
         if hi <= x + 1:
             continue
         alike = (lanes[x + 1 : hi] == lanes[x]).sum(axis=1)
-        near = np.flatnonzero(alike >= LANES_LEAST)
+        near = np.flatnonzero(alike >= least)
         for y in near[np.argsort(-alike[near], kind="stable")].tolist():
             j = int(order[x + 1 + y])
             if across is not None and not (across[i] or across[j]):
@@ -168,7 +194,7 @@ def near_dedup(docs: DataFrame, percent: int = 85, n: int = 5, id_col: str = "do
     work = Workspace(spark, "minhash")
     small_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL")
-    sigs = work.save(texts.mapInPandas(_signatures(n), SIGNATURE_SCHEMA), "signatures")
+    sigs = work.save(texts.mapInPandas(_signatures(n, SYMBOLS // CHUNKS * chunks_for(percent)), SIGNATURE_SCHEMA), "signatures")
 
     full = sigs.where("n_shingles > 0")
     classes = work.save(full.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("chars").alias("chars"), F.first("sig").alias("sig")), "classes")

@@ -52,6 +52,22 @@ def test_parts_of_several_blocks(spark, monkeypatch, block):
     check(spark, list(enumerate(texts)))
 
 
+def test_pipeline_drops_pairs_from_80_percent(spark):
+    import corpus_pipeline
+
+    rows = []
+    for s in range(20):
+        base = prose(s, 300, 10**6)
+        edited = [f"x{s}" if k in range(20, 290, 45) else w for k, w in enumerate(base)]  # 6 words, 30 shingles
+        rows += [(2 * s, " ".join(base)), (2 * s + 1, " ".join(edited))]
+    a, b = shingles(rows[0][1]), shingles(rows[1][1])
+    assert 0.8 <= len(a & b) / len(a | b) < 0.85
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 40, 2))
+    assert (minhash.chunks_for(85), minhash.lanes_least(85)) == (minhash.CHUNKS, minhash.LANES_LEAST)
+    assert (minhash.chunks_for(80), minhash.lanes_least(80)) == (4, 35)
+
+
 def test_pigeonhole():
     import numpy as np
 
