@@ -158,8 +158,10 @@ def fit(raw: list[bytes], labels: np.ndarray) -> Model:
 def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on labelled rows of docs for which ``usable`` (over the id) holds.
 
-    Of more than FIT_DOCS documents or FIT_CHARS characters, those with the
-    smallest hashed ids are taken. Rows with a null id, text or label don't
+    Of more than FIT_DOCS documents, those with the smallest hashed ids are
+    taken. Texts of over FIT_CHARS characters are none of them, and a text that
+    doesn't fit in what is left of FIT_CHARS is passed over for the next. Where
+    there are labelled texts and none fits, ValueError is raised. Rows with a null id, text or label don't
     count, and of an id with several labels the largest counts.
     """
     told = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("doc_id IS NOT NULL AND label IS NOT NULL")
@@ -168,14 +170,15 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_c
     told = told.groupBy("doc_id").agg(F.max("label").alias("label"))
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
     sizes = own.select("doc_id", F.length("text").alias("size")).join(told, "doc_id").dropDuplicates(["doc_id"])
-    head = sizes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCS).collect()
+    head = sizes.where(F.col("size") <= FIT_CHARS).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCS).collect()
     total, chosen = 0, {}
     for r in head:
-        total += r["size"]
-        if total > FIT_CHARS:
-            break
-        chosen[r["doc_id"]] = r["label"]
+        if total + r["size"] <= FIT_CHARS:
+            total += r["size"]
+            chosen[r["doc_id"]] = r["label"]
     if not chosen:
+        if sizes.limit(1).count():
+            raise ValueError(f"every labelled text has over {FIT_CHARS} characters; none can be learnt from")
         return Model(np.zeros(0, np.uint64), np.zeros(0), -20.0)
     spark = docs.sparkSession
     ids = spark.createDataFrame([(i,) for i in chosen], "doc_id long")

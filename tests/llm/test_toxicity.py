@@ -1,6 +1,8 @@
 import random
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from docmill.llm import textkernel as tk
 from docmill.llm import toxicity
@@ -38,6 +40,21 @@ def test_held_out_accuracy_and_place(spark):
                 assert "vileword" in s.text or "asty" in s.text
 
 
+def test_a_text_beyond_the_bound_leaves_the_others(spark, monkeypatch):
+    rows = corpus(200)
+    big = "x " * 100_000
+    where = {i: big if i % 9 == 0 else t for i, t, _ in rows}
+    monkeypatch.setattr(toxicity, "FIT_CHARS", 190_000)
+    docs = spark.createDataFrame(list(where.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    taken = []
+    monkeypatch.setattr(toxicity, "fit", lambda raw, y: taken.append(len(raw)))
+    toxicity.learn(docs, labels)
+    assert taken == [sum(t is not big for t in where.values())]
+    with pytest.raises(ValueError):
+        toxicity.learn(docs.where(F.length("text") > 190_000), labels)
+
+
 def test_noisy_or_matches_its_definition():
     model = toxicity.Model(np.zeros(0, np.uint64), np.zeros(0), -1.0)
     hashes, sentence, owner, begin = toxicity.sentences([b"One two. Three!\nFour", b"", b"... !"])
