@@ -208,8 +208,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_c
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that share no window with the benchmark, with all their columns; rows with a null id stay."""
+    """The rows of docs that share no window with the benchmark, with all their columns.
+
+    A row is judged by its text, found again by a 64-bit hash; null and repeated ids make no difference.
+    """
     work = Workspace(docs.sparkSession, "decontaminate-rows")
-    gone = work.save(find_leaks(docs, benchmark, window, id_col, text_col).select(F.col(id_col).alias("__id")).distinct(), "gone")
-    gone = bounded(gone)
-    return docs.join(gone, docs[id_col].cast("long") == gone["__id"], "left_anti")
+    texts = docs.select(F.xxhash64(text_col).alias(id_col), text_col)
+    gone = bounded(work.save(find_leaks(texts, benchmark, window, id_col, text_col).select(F.col(id_col).alias("__text")).distinct(), "gone"))
+    return docs.join(gone, F.xxhash64(docs[text_col]) == gone["__text"], "left_anti")

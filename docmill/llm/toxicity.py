@@ -238,9 +238,12 @@ def fold(id_col: str = "doc_id") -> Column:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that score below ``least``, with all their columns; rows with a null id stay."""
+    """The rows of docs that score below ``least``, with all their columns.
+
+    A row is judged by its text, found again by a 64-bit hash; null and repeated ids make no difference.
+    """
     work = Workspace(docs.sparkSession, "toxicity")
     model = learn(docs, labels, fold("doc_id") != 0, id_col, text_col)
-    gone = work.save(score(docs, model, id_col=id_col, text_col=text_col).where(F.col("score") >= least).select(F.col(id_col).alias("__id")).where("__id IS NOT NULL").distinct(), "gone")
-    gone = bounded(gone)
-    return docs.join(gone, docs[id_col].cast("long") == gone["__id"], "left_anti")
+    texts = docs.select(F.xxhash64(text_col).alias("doc_id"), F.col(text_col).alias("text"))
+    gone = bounded(work.save(score(texts, model).where(F.col("score") >= least).select(F.col("doc_id").alias("__text")).distinct(), "gone"))
+    return docs.join(gone, F.xxhash64(docs[text_col]) == gone["__text"], "left_anti")

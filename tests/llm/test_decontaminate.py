@@ -82,3 +82,9 @@ def test_odd_rows(spark):
     assert out.columns == docs.columns and out.count() == docs.count() - 4
     assert decontaminate.find_leaks(docs.limit(0), items).count() == 0
     assert decontaminate.find_leaks(docs, items.limit(0)).count() == 0
+
+
+def test_null_and_repeated_ids_get_the_verdict_of_their_text(spark):
+    docs = spark.createDataFrame([(None, ITEM), (None, "fine"), (1, ITEM), (1, "fine too"), (2, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert {r.text for r in decontaminate.drop_leaks(docs, items).collect()} == {"fine", "fine too", None}

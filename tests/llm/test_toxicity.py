@@ -91,3 +91,11 @@ def test_large_ids_beside_a_null_id(spark):
     docs = spark.createDataFrame([(i, "a b c") for i in ids], "doc_id long, text string").coalesce(1)
     model = toxicity.Model(np.zeros(0, np.uint64), np.zeros(0), -1.0)
     assert {r.doc_id for r in toxicity.score(docs, model).collect()} == set(ids)
+
+
+def test_null_and_repeated_ids_get_the_verdict_of_their_text(spark, monkeypatch):
+    word = tk.hash_runs(np.frombuffer(b"vileword", np.uint8), np.array([0]), np.array([8]), toxicity.HEADS)[:, 0]
+    monkeypatch.setattr(toxicity, "learn", lambda *a: toxicity.Model(word, np.array([20.0]), -10.0))
+    docs = spark.createDataFrame([(None, "a vileword b"), (None, "a b"), (1, "vileword"), (1, "fine"), (2, None)], "doc_id long, text string")
+    kept = toxicity.drop_toxic(docs, docs.limit(0))
+    assert sorted(map(str, (tuple(r) for r in kept.collect()))) == sorted(map(str, [(None, "a b"), (1, "fine"), (2, None)]))
