@@ -81,6 +81,23 @@ def small_batches(spark: SparkSession) -> None:
 BROADCAST_ROWS = 1_000_000
 
 
+#: A key with more than one in so many of all rows is hot; there are fewer hot keys than this.
+HOT_KEYS = 4096
+
+
+def hot_join(rows: DataFrame, facts: DataFrame, key: list[str], count: str, total: int) -> DataFrame:
+    """rows joined (inner) with facts, which has each key once and in ``count`` how many of the ``total`` rows have it.
+
+    Rows of hot keys never meet in a task: the facts of hot keys, HOT_KEYS at
+    most whatever the total, are broadcast, and only rows of other keys are
+    shuffled. Null keys match nothing.
+    """
+    least = total // HOT_KEYS
+    hot = F.broadcast(facts.where(F.col(count) > least))
+    rest = rows.join(F.broadcast(facts.where(F.col(count) > least).select(*key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(rest.join(facts.where(F.col(count) <= least), key))
+
+
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df, with a broadcast hint if it has at most ``rows`` rows. df should be a written table, as it is counted."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
