@@ -2,7 +2,7 @@
 
 A text becomes a template: numbers, units after numbers, and capitalised words
 turn into typed slots, and each slot is glued to the literal word that follows
-it. A window is a run of WINDOW literal words with the slot types before all
+it. Punctuation is left out before that. A window is a run of WINDOW literal words with the slot types before all
 but the first of them. Windows of documents and benchmark items are joined on
 their hash. Where windows have slots, the values that stand in them must be
 consistent along an alignment, so that a question with other numbers or names is
@@ -36,19 +36,75 @@ UNITS = (
     "dollar dollars cent cents euro euros usd eur gbp mph kmh degrees celsius fahrenheit watt watts kw kwh volts hz mb gb tb"
 )
 _OPEN, _CLOSE = "\u0001", "\u0002"
-_PUNCT = r"[^\p{L}\p{N}\s" + _OPEN + _CLOSE + "]*"
+_GAP, _START = r"[\s\p{Z}]", r"(?<![^\s\p{Z}])"
+_NUMBER, _NAME, _UNIT = r"\p{Nd}+\p{Ll}{0,4}", r"\p{Lu}[\p{L}\p{M}]+", UNITS.replace(" ", "|")
+
+
+def _bare(text: Column) -> Column:
+    """The text without punctuation, symbols and controls."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}\p{M}\p{N}\s\p{Z}]+", "")
 
 
 def _marked(text: Column) -> Column:
     """The text in lower case without punctuation, each slot as OPEN type value CLOSE before the next word."""
-    s = F.concat(F.translate(F.coalesce(text, F.lit("")), _OPEN + _CLOSE, "  "), F.lit(" "))
-    s = F.regexp_replace(s, r"(?<!\S)" + _PUNCT + r"(\p{Nd}[\p{Nd}.,:/]*\p{Ll}{0,4})" + _PUNCT + r"\s+", _OPEN + "n$1" + _CLOSE)
-    s = F.regexp_replace(s, f"(?<={_CLOSE})({UNITS.replace(' ', '|')}){_PUNCT}\\s+", _OPEN + "u$1" + _CLOSE)
-    s = F.regexp_replace(s, f"(?<![^\\s{_CLOSE}]){_PUNCT}(\\p{{Lu}}\\p{{L}}+){_PUNCT}\\s+", _OPEN + "p$1" + _CLOSE)
-    s = F.regexp_replace(s, f"({_OPEN}[^{_CLOSE}]*{_CLOSE})|[^\\p{{L}}\\p{{N}}\\s{_OPEN}{_CLOSE}]+", "$1")
+    s = F.concat(_bare(text), F.lit(" "))
+    s = F.regexp_replace(s, f"{_START}({_NUMBER}){_GAP}+", _OPEN + "n$1" + _CLOSE)
+    s = F.regexp_replace(s, f"(?<={_CLOSE})({_UNIT}){_GAP}+", _OPEN + "u$1" + _CLOSE)
+    s = F.regexp_replace(s, f"(?<![^\\s\\p{{Z}}{_CLOSE}])({_NAME}){_GAP}+", _OPEN + "p$1" + _CLOSE)
     return F.lower(s)
 
 
+def _parts(s: Column) -> Column:
+    return F.filter(F.split(s, _GAP + "+"), lambda w: w != "")
+
+
+def _literals(bare: Column) -> Column:
+    """The literal words of _marked, in one pass and without the slots."""
+    slot = f"(?=[\\p{{Nd}}\\p{{Lu}}]){_START}(?:{_NUMBER}{_GAP}+(?:(?:{_UNIT}){_GAP})?|{_NAME}{_GAP})"
+    return _parts(F.lower(F.regexp_replace(F.concat(bare, F.lit(" ")), slot, " ")))
+
+
+def _folded(bare: Column) -> Column:
+    """All words in one case; a sharp s has two letters in upper case."""
+    return _parts(F.replace(F.lower(bare), F.lit("ß"), F.lit("ss")))
+
+
+def _anchors(words: Column, window: int, least: int) -> Column:
+    """For each window of the words: its hash, its size, and the place and hash of its two neighbouring words with the most letters."""
+
+    def of(w: Column) -> Column:
+        n = F.size(w)
+        size = F.when(n < least, 0).otherwise(F.least(n, F.lit(window)))
+
+        def made(i: Column) -> Column:
+            pair = F.array_max(F.transform(F.sequence(i, i + size - 2), lambda j: F.struct((F.length(F.get(w, j)) + F.length(F.get(w, j + 1))).alias("letters"), (i - j).alias("back"))))["back"]
+            return F.struct(
+                F.xxhash64(F.get(w, i - pair), F.get(w, i - pair + 1)).alias("key"), (-pair).cast("int").alias("offset"), size.cast("int").alias("size"), F.xxhash64(F.slice(w, i + 1, size)).alias("hash")
+            )
+
+        return F.when(size > 1, F.transform(F.sequence(F.lit(0), n - size), made)).otherwise(F.array().cast("array<struct<key:long,offset:int,size:int,hash:long>>"))
+
+    return _let(words, of)
+
+
+def _suspects(own: DataFrame, items: DataFrame, window: int, least: int, work: Workspace) -> DataFrame:
+    """Ids of documents that have the literal words of some template window in a row, or some plain window.
+
+    No other document can have a leak. A document's neighbouring words are
+    looked up in compiled code; its windows are hashed only around a pair of
+    words that some window of the benchmark is known by.
+    """
+    found = None
+    for name, words in (("literal", _literals), ("plain", _folded)):
+        anchors = work.save(items.select(F.explode(_anchors(words(_bare(F.col("text"))), window, least)).alias("a")).select("a.*").distinct(), f"anchors-{name}")
+        anchors = F.broadcast(anchors) if anchors.count() <= BROADCAST_ROWS else anchors.hint("merge")
+        pairs = own.select("doc_id", words(_bare(F.col("text"))).alias("words")).select("doc_id", "words", F.posexplode("words").alias("pos", "word"))
+        met = pairs.withColumn("key", F.xxhash64("word", F.get("words", F.col("pos") + 1))).join(anchors, "key")
+        met = met.where((F.col("pos") >= F.col("offset")) & (F.xxhash64(F.slice("words", F.greatest(F.col("pos") - F.col("offset") + 1, F.lit(1)), F.col("size"))) == F.col("hash"))).select("doc_id")
+        found = met if found is None else found.unionByName(met)
+    return work.save(found.distinct(), "suspects")
+
+
 def _let(value: Column, body) -> Column:
     """body(value) with value computed once, also where body's lambdas use it."""
     return F.transform(F.array(value), body)[0]
@@ -75,7 +131,7 @@ def _hashes(marked: Column) -> Column:
     return _let(marked, of)
 
 
-def _windows(marked: Column, sizes: list[int], whole_below: int = 0) -> Column:
+def _windows(marked: Column, sizes: list[int], whole_below: int = 0, least: int = LEAST) -> Column:
     """Array of (pos, size, hash); with whole_below, one window of all words where there are fewer words than that."""
     empty = F.array().cast("array<struct<pos:int,size:int,hash:long>>")
 
@@ -88,16 +144,16 @@ def _windows(marked: Column, sizes: list[int], whole_below: int = 0) -> Column:
         return F.when((size <= count) & (size > 0), made).otherwise(empty)
 
     if whole_below:
-        return _let(_hashes(marked), lambda x: of(x, F.when(F.size(x["word"]) < LEAST, 0).otherwise(F.least(F.size(x["word"]), F.lit(whole_below)))))
+        return _let(_hashes(marked), lambda x: of(x, F.when(F.size(x["word"]) < least, 0).otherwise(F.least(F.size(x["word"]), F.lit(whole_below)))))
     return _let(_hashes(marked), lambda x: F.concat(*[of(x, F.lit(s)) for s in sizes]))
 
 
 def _plain(text: Column) -> Column:
     """All words without punctuation, in their own case."""
-    return F.array_remove(F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}\p{N}\s]+", ""), r"\s+"), "")
+    return _parts(_bare(text))
 
 
-def _plain_windows(text: Column, sizes: list[int], whole_below: int = 0) -> Column:
+def _plain_windows(text: Column, sizes: list[int], whole_below: int = 0, least: int = LEAST) -> Column:
     """As _windows, over all words in one case; their sizes are negative, which tells them from template windows."""
     empty = F.array().cast("array<struct<pos:int,size:int,hash:long>>")
 
@@ -105,10 +161,9 @@ def _plain_windows(text: Column, sizes: list[int], whole_below: int = 0) -> Colu
         made = F.transform(F.sequence(F.lit(0), F.size(h) - size), lambda i: F.struct(i.cast("int").alias("pos"), (-size).cast("int").alias("size"), F.xxhash64(F.slice(h, i + 1, size)).alias("hash")))
         return F.when((size <= F.size(h)) & (size > 0), made).otherwise(empty)
 
-    # A sharp s has two letters in upper case.
-    hashes = F.transform(_plain(F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))), lambda w: F.xxhash64(w))
+    hashes = F.transform(_folded(_bare(text)), lambda w: F.xxhash64(w))
     if whole_below:
-        return _let(hashes, lambda h: of(h, F.when(F.size(h) < LEAST, 0).otherwise(F.least(F.size(h), F.lit(whole_below)))))
+        return _let(hashes, lambda h: of(h, F.when(F.size(h) < least, 0).otherwise(F.least(F.size(h), F.lit(whole_below)))))
     return _let(hashes, lambda h: F.concat(*[of(h, F.lit(s)) for s in sizes]))
 
 
@@ -127,7 +182,7 @@ def _conflict(values: Column) -> Column:
     return F.size(bound) != F.size(F.array_distinct(F.transform(bound, lambda v: v["a"])))
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", least: int = LEAST) -> DataFrame:
     """One row per document and benchmark item that share a template window with consistent slots, or a plain window in another case.
 
     Returns id, item_id, windows (of the item, found), item_windows, changed
@@ -138,17 +193,21 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_c
     side are left out. Repeated rows count once. Empty tables give an empty
     result. Other columns are ignored. Texts are read whole.
 
-    Documents are neither shuffled nor collected: their windows stream past the
-    benchmark's, which are broadcast up to BROADCAST_ROWS, counted first. Only
-    documents with matching windows that have slots, or plain ones alone, are read again.
+    Items with fewer than ``least`` words (2 at the least) have no window: they
+    would be found in any text on their subject. Set it to 2 to have them found,
+    as one window of all their words.
+
+    Documents are neither shuffled nor collected: their pairs of words stream
+    past the benchmark's, which are broadcast up to BROADCAST_ROWS, counted
+    first (see _suspects). Only documents with all words of a window are marked.
     """
     work = Workspace(docs.sparkSession, "decontaminate")
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col("text" if text_col not in benchmark.columns else text_col).alias("text"))
     items = items.where("item_id IS NOT NULL").distinct().withColumn("marked", _marked(F.col("text")))
-    plain = items.select("item_id", _plain(F.col("text")).alias("words"), F.explode(_plain_windows(F.col("text"), [], window)).alias("w"))
+    plain = items.select("item_id", _plain(F.col("text")).alias("words"), F.explode(_plain_windows(F.col("text"), [], window, least)).alias("w"))
     cased = F.array_join(F.slice("words", F.col("w.pos") + 1, -F.col("w.size")), " ")
     plain = plain.select("item_id", F.col("w.pos").alias("item_pos"), "w.size", "w.hash", F.array().cast("array<string>").alias("item_slots"), cased.alias("item_words"))
-    wins = items.select("item_id", _tokens(F.col("marked")).alias("tokens"), F.explode(_windows(F.col("marked"), [], window)).alias("w"))
+    wins = items.select("item_id", _tokens(F.col("marked")).alias("tokens"), F.explode(_windows(F.col("marked"), [], window, least)).alias("w"))
     wins = wins.select("item_id", F.col("w.pos").alias("item_pos"), "w.size", "w.hash", _slots(F.col("tokens"), F.col("w.pos"), F.col("w.size")).alias("item_slots"), F.lit(None).cast("string").alias("item_words"))
     wins = work.save(wins.unionByName(plain), "benchmark-windows")
     rows = wins.count()
@@ -156,6 +215,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_c
     sizes, plain_sizes = [n for n in lengths if n > 0], [-n for n in lengths if n < 0]
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL")
+    own = own.join(bounded(_suspects(own, items, window, least, work)), "doc_id", "left_semi")
     both = [_windows(_marked(F.col("text")), sizes)] * bool(sizes) + [_plain_windows(F.col("text"), plain_sizes)] * bool(plain_sizes)
     found = own.select("doc_id", F.explode(F.concat(*both)).alias("w")).select("doc_id", F.col("w.pos").alias("pos"), "w.size", "w.hash") if both else (
         own.select("doc_id", F.lit(0).alias("pos"), F.lit(0).alias("size"), F.lit(0).cast("long").alias("hash")).limit(0)

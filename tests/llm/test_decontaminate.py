@@ -88,3 +88,26 @@ def test_null_and_repeated_ids_get_the_verdict_of_their_text(spark):
     docs = spark.createDataFrame([(None, ITEM), (None, "fine"), (1, ITEM), (1, "fine too"), (2, None)], "doc_id long, text string")
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     assert {r.text for r in decontaminate.drop_leaks(docs, items).collect()} == {"fine", "fine too", None}
+
+
+def test_short_items_on_request(spark):
+    d = spark.createDataFrame([(0, "say alpha beta gamma now"), (1, "alpha beta"), (2, "beta alpha")], "doc_id long, text string")
+    b = spark.createDataFrame([(0, "alpha beta gamma"), (1, "alpha beta"), (2, "alpha")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(d, b, least=2).collect()} == {(0, 0), (0, 1), (1, 1)}
+
+
+def test_suspects_lose_nothing(spark, monkeypatch):
+    """The same leaks as when every document is marked, by brute force over windows of literal words."""
+    import random
+
+    r = random.Random(3)
+    items = [" ".join(r.choice(["Tom", "Anna", "12", "km", "7", *prose(k, 5, 50)]) for _ in range(30)) for k in range(6)]
+    docs = []
+    for i in range(80):
+        w = " ".join(prose(1000 + i, 30, 50)).split()
+        part = items[i % 6].split()[i % 10 : i % 10 + 14]
+        part = [r.choice(["Bert", "9"]) if x in ("Tom", "12") and r.random() < 0.5 else x for x in part]
+        docs.append(" ".join(w[:10] + part + w[10:]))
+    some = run(spark, docs, items)
+    monkeypatch.setattr(decontaminate, "_suspects", lambda own, *a: a[-1].save(own.select("doc_id").distinct(), "suspects"))
+    assert run(spark, docs, items) == some and len(some) > 40
