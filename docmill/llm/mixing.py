@@ -146,8 +146,13 @@ def _pattern(members: Column) -> Column:
     return F.to_json(members)
 
 
-def _rank(doc_id: Column, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), doc_id.cast("string"))
+def _mark(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
+def _rank(doc_id: Column, mark: Column, seed: int) -> Column:
+    """The place in a pattern's order; the text's hash spreads rows whose id is null or repeats."""
+    return F.xxhash64(F.lit(seed), doc_id.cast("string"), mark)
 
 
 def _bucket(rank: Column) -> Column:
@@ -165,8 +170,8 @@ class _Plan:
 
     def __init__(self, docs: DataFrame, weights, budget: float, passes: int, seed: int, id_col: str, text_col: str, source_col: str, work: Workspace):
         spark = docs.sparkSession
-        rows = docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("size"), _membership(docs, source_col).alias("members"))
-        rows = rows.withColumn("pattern", _pattern(F.col("members"))).withColumn("rank", _rank(F.col("doc_id"), seed)).withColumn("bucket", _bucket(F.col("rank")))
+        rows = docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("size"), _mark(F.col(text_col)).alias("mark"), _membership(docs, source_col).alias("members"))
+        rows = rows.withColumn("pattern", _pattern(F.col("members"))).withColumn("rank", _rank(F.col("doc_id"), F.col("mark"), seed)).withColumn("bucket", _bucket(F.col("rank")))
         self.rows = work.save(rows, "rows")
 
         found = self.rows.groupBy("pattern").agg(F.first("members").alias("members"), F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
@@ -211,10 +216,12 @@ class _Plan:
         self.zones = work.save(plan.join(F.broadcast(listed), "pattern", "left").withColumn("zones", F.coalesce("zones", empty)), "zones")
 
         hard = self.rows.join(F.broadcast(zones.where("split").select("pattern", "bucket", "base")), ["pattern", "bucket"])
-        ordered = Window.partitionBy("pattern", "bucket").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+        ordered = Window.partitionBy("pattern", "bucket").orderBy("rank", "doc_id", "size", "mark").rowsBetween(Window.unboundedPreceding, -1)
         hard = hard.withColumn("start", F.col("base") + F.coalesce(F.sum("size").over(ordered), F.lit(0))).join(F.broadcast(plan), "pattern")
         taken = F.transform("cuts", lambda c: _overlap(F.col("start"), F.col("start") + F.col("size"), c, F.col("pattern_size"), passes))
-        self.hard = work.save(hard.select("doc_id", "size", "cuts", taken.alias("taken")), "split-rows")
+        # Rows with one id and text are told apart by their number.
+        equal = F.row_number().over(Window.partitionBy("doc_id", "mark").orderBy("start"))
+        self.hard = work.save(hard.select("doc_id", "mark", equal.alias("number"), "size", "cuts", taken.alias("taken")), "split-rows")
 
     def zoned(self, rows: DataFrame) -> DataFrame:
         """rows (pattern, bucket) with their zone: split, times, and the pattern's cuts."""
@@ -277,20 +284,24 @@ def take(
 ) -> DataFrame:
     """The rows of docs that the mix takes, for documents with one source each, with size, taken, source_size and target beside their columns.
 
-    Columns of docs with those names give way to the mix's. Rows of one id in a
-    bucket where a share ends get the largest of their counts; a null id is an
-    id. Texts aren't shuffled, but for rows of such buckets if they are many.
+    Columns of docs with those names give way to the mix's. Every row has the
+    size of its own text and the count that mix gives a row with its id and
+    text; null and repeated ids are allowed. Texts aren't shuffled, but for rows
+    of buckets where a share ends.
     """
     work = Workspace(docs.sparkSession, "mixing-rows")
     plan = _Plan(docs, weights, budget, passes, seed, id_col, text_col, source_col, work)
     names = ["size", "taken", "source_size", "target"]
     cols = [c for c in docs.columns if c not in names]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), _pattern(_membership(docs, source_col)).alias("pattern"), _bucket(_rank(F.col(id_col), seed)).alias("bucket"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col(id_col).alias("__id"), _mark(F.col(text_col)).alias("__mark"), F.col(text_col).alias("__text"), _pattern(_membership(docs, source_col)).alias("pattern"))
+    rows = rows.withColumn("bucket", _bucket(_rank(F.col("__id"), F.col("__mark"), seed)))
     rows = plan.zoned(rows)
     facts = [F.col("cuts")[0]["source_size"].alias("source_size"), F.col("cuts")[0]["target"].alias("target")]
     easy = rows.where("NOT zone.split AND exists(zone.times, n -> n > 0)").withColumn("size", words(F.col("__text"))).where("size > 0")
     easy = easy.select("row.*", "size", (F.aggregate("zone.times", F.lit(0), lambda a, n: a + n) * F.col("size")).alias("taken"), *facts)
-    counts = plan.hard.groupBy(F.col("doc_id").alias("__key")).agg(F.max(F.aggregate("taken", F.lit(0).cast("long"), lambda a, n: a + n)).alias("taken"), F.max("size").alias("size"))
+    counts = plan.hard.select(F.col("doc_id").alias("__key"), F.col("mark").alias("__mark"), F.col("number").alias("__number"), "size", F.aggregate("taken", F.lit(0).cast("long"), lambda a, n: a + n).alias("taken"))
     counts = bounded(work.save(counts.where("taken > 0"), "split-counts"))
-    hard = rows.where("zone.split").join(counts, F.col("__id").eqNullSafe(F.col("__key")))
+    equal = F.row_number().over(Window.partitionBy("__id", "__mark").orderBy(F.to_json("row")))
+    hard = rows.where("zone.split").withColumn("__number", equal)
+    hard = hard.join(counts, F.col("__id").eqNullSafe(F.col("__key")) & (hard["__mark"] == counts["__mark"]) & (hard["__number"] == counts["__number"]))
     return easy.unionByName(hard.select("row.*", "size", "taken", *facts))

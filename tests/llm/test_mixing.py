@@ -102,3 +102,14 @@ def test_odd_rows(spark):
     assert taken.where("doc_id = 6").select("size").distinct().collect()[0][0] == 120_000
     assert set(docs.columns) <= set(taken.columns) and taken.where("taken = 0").count() == 0
     assert mixing.mix(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("bits", [0, 12])
+def test_take_gives_each_row_what_mix_does(spark, monkeypatch, bits):
+    monkeypatch.setattr(mixing, "BUCKET_BITS", bits)
+    rows = [(1, "a b c d e", "s"), (1, "a", "s"), (2, "x y z", "s"), (2, "x y z", "s"), (None, "p q", "s"), (None, "p q r s", "s"), (3, "k l m n", "t"), (3, "k l m n", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = sorted((r.doc_id or 0, r.size, r.taken) for r in mixing.flat(mixing.mix(docs)).collect() if r.taken)
+    taken = mixing.take(docs).collect()
+    assert sorted((r.doc_id or 0, r.size, r.taken) for r in taken) == mixed
+    assert all(r.size == len(r.text.split()) and r.taken <= 2 * r.size for r in taken)
