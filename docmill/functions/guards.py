@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Translations of names by their meaning.
-MEANINGS = (
-    "the sky|joy|imagination|relax|peace|wealth|the moon|sun|lord|goddess|flower|the earth|student|teacher|king|queen|brave|new|the best|red|lotus|prince|hero|blessings|shoots|alphabetic|"
-    "secret|jokey|god|rise|knowledge|archer|smell|saints|descendants|the world|the poor|the feast|the light|value|ask for|donation|the men's|husband|father|mother|woman|man|sunny|satisfaction|"
-    "diamond|hajj|line|huge|faith|green|truth|victory|dream|dreaming|wish|light|death|life|money|gold|water|fire|wind|stone"
-).split("|")
+#: A piece of two letters or more three times in a row, or one character five times.
+REPEATS = (r"(\S.{1,29}?)\1\1", r"(.)\1\1\1\1")
+
 
+def reasons(source: Column, answer: Column, meanings: Sequence[str] = ()) -> Column:
+    """Array of reasons; empty for a usable answer. A blank source switches the length and digit rules off.
 
-def reasons(source: Column, answer: Column) -> Column:
-    """Array of reasons; empty for a usable answer. A blank source switches the length and digit rules off."""
+    meanings lists words (lower case) that a name's meaning is translated to,
+    as the caller's language needs them; an answer that begins with "the" counts always.
+    """
     out = F.coalesce(answer, F.lit(""))
     src = F.coalesce(source, F.lit(""))
     plain = F.trim(F.regexp_replace(F.lower(F.trim(out)), r"[^\p{L}\p{N}\s]", ""))
@@ -22,8 +24,8 @@ def reasons(source: Column, answer: Column) -> Column:
     checks = (
         (out.rlike("[ऀ-ॿ]"), "devanagari residue"),
         (out.rlike(r"[\p{Mn}\p{Mc}À-ÖØ-öø-ɏḀ-ỿ]"), "orphan combining marks"),
-        (out.rlike(r"(.{2,30}?)\1{2,}") | out.rlike(r"(.)\1{4,}"), "degenerate repetition"),
-        (plain.isin(*MEANINGS) | plain.startswith("the "), "meaning drift"),
+        (out.rlike(REPEATS[0]) | out.rlike(REPEATS[1]), "degenerate repetition"),
+        ((plain.isin(*meanings) if meanings else F.lit(False)) | plain.startswith("the "), "meaning drift"),
         ((src != "") & (F.length(out) > 3 * F.greatest(F.length(src), F.lit(4))), "runaway length"),
         (F.size(lost) > 0, "digits lost"),
     )

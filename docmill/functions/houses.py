@@ -8,16 +8,21 @@ from pyspark.sql import functions as F
 from .text import collapse, fold_digits, strip
 from .transliterate import transliterate
 
-# Usual misreadings.
-MISREAD = (("^पाटकबबः\\s*[व-ॿ]*\\s*", ""), ("हाऊस", "हाउस"), ("न॑", "नं"), ("नें\\.", "नं."), ("नं इ", "नं 1"), ("\\s*[,،]\\s*", " "))
+# Words as they are misread, and as they are printed; and what is read from a frame beside the number.
+SPELLINGS = {"हाऊस": "हाउस", "न॑": "नं", "नें.": "नं.", "नं इ": "नं 1"}
+FRAME = "पाटकबबः"
 NO_HOUSE = ("UTTARPRADESH",)
 
 
 def cleaned(value: Column) -> Column:
-    out = value
-    for pattern, word in MISREAD:
-        out = F.regexp_replace(out, pattern, word)
-    return strip(out)
+    """The number without a read frame and its next Devanagari word, commas as spaces, and usual misreadings put right."""
+    words = F.split(strip(F.translate(value, ",،", "  ")), r"\s+")
+    framed = F.get(words, F.lit(0)).startswith(FRAME)
+    first = F.when(~framed, 1).when(F.coalesce(F.get(words, F.lit(1)), F.lit("")).rlike("^[व-ॿ]"), 3).otherwise(2)
+    out = F.array_join(F.filter(words, lambda w, i: i + 1 >= first), " ")
+    for read, printed in SPELLINGS.items():
+        out = F.replace(out, F.lit(read), F.lit(printed))
+    return out
 
 
 def is_noise(value: Column) -> Column:
