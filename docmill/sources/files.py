@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 from pathlib import PurePosixPath
 
@@ -73,7 +74,12 @@ def _members(data: bytes, most: int) -> Iterator[tuple[str | None, bytes | None,
         elif info.file_size > most:
             yield info.filename, None, "too large"
         else:
-            body = archive.read(info)
+            try:
+                body = archive.read(info)
+            except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError) as e:
+                yield info.filename, None, f"damaged: {e}"[:200]
+                seen.add(info.filename)
+                continue
             problem = "bad magic" if not body.startswith(MAGIC) else "size differs" if len(body) != info.file_size else None
             yield info.filename, None if problem else body, problem
         seen.add(info.filename)
@@ -88,8 +94,9 @@ def archive_members(archives: DataFrame, most: int = 512 << 20) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for path, content in zip(frame["path"], frame["content"]):
-                rows = [(path, n, None if b is None else len(b), None if b is None else hashlib.sha256(b).hexdigest(), b, p) for n, b, p in _members(content, most)]
-                yield pd.DataFrame(rows, columns=[c.split()[0] for c in MEMBER_SCHEMA.split(", ")])
+                for n, b, p in _members(content, most):
+                    row = (path, n, None if b is None else len(b), None if b is None else hashlib.sha256(b).hexdigest(), b, p)
+                    yield pd.DataFrame([row], columns=[c.split()[0] for c in MEMBER_SCHEMA.split(", ")])
 
     return archives.select("path", "content").mapInPandas(run, MEMBER_SCHEMA)
 
@@ -117,6 +124,12 @@ def checked_uploads(files: DataFrame, most_file: int, most_batch: int) -> DataFr
     return marked.withColumn("accepted", F.count("problem").over(Window.partitionBy("batch")) == 0)
 
 
+def active_states(states: DataFrame) -> DataFrame:
+    """States (state_code, state_name, is_active) of a catalogue with a code like S24 or U05, and its number; only "N" makes one inactive."""
+    kept = states.where(F.col("state_code").rlike(r"^[SU]\d{2}$") & ~F.coalesce(F.upper(F.trim("is_active")) == "N", F.lit(False)))
+    return kept.select(F.col("state_code").alias("state_cd"), "state_name", F.substring("state_code", 2, 2).alias("code"))
+
+
 CATALOGUE_KEYS = ("source_filename", "state_code", "ac_code", "booth_code", "roll_revision", "section_number", "section_name_hi", "source_url")
 
 

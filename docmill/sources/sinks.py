@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import display
+from ..operators import browse
+from .workbook import Workbook
 
 BOM = "﻿"
 
@@ -36,19 +38,35 @@ def workbook_rows(df: DataFrame, labels: dict[str, str], deleted: str | None = N
         yield tuple(row)
 
 
-def write_workbook(df: DataFrame, path: str, labels: dict[str, str] | None = None, deleted: str | None = None, progress: Callable[[int], None] | None = None) -> int:
-    """An .xlsx file with one sheet, streamed; needs openpyxl. progress is told every 250 rows."""
-    from openpyxl import Workbook
-
-    book = Workbook(write_only=True)
-    sheet = book.create_sheet("Records")
-    n = -1
-    for n, row in enumerate(workbook_rows(df, labels or {}, deleted)):
-        sheet.append(row[:-1])
+def _told(rows: Iterator[tuple], progress: Callable[[int], None] | None) -> Iterator[tuple]:
+    for n, row in enumerate(rows):
         if progress and n and n % 250 == 0:
             progress(n)
-    book.save(path)
-    return max(n, 0)
+        yield row
+
+
+def write_workbook(df: DataFrame, path: str, labels: dict[str, str] | None = None, deleted: str | None = None, progress: Callable[[int], None] | None = None) -> int:
+    """An .xlsx file with one sheet, streamed; deleted rows are red. progress is told every 250 rows. Returns the number of records."""
+    return Workbook(path).add("Records", _told(workbook_rows(df, labels or {}, deleted), progress)).close()[0] - 1
+
+
+def write_documents_workbook(documents: dict[str, DataFrame], review: DataFrame, path: str, columns: list[str], deleted: str | None = None) -> dict[str, int]:
+    """An .xlsx file with a sheet of the chosen columns per document, and a sheet "Review summary". Returns the number of records by document."""
+    book = Workbook(path)
+    for name, df in documents.items():
+        flag = [deleted] if deleted and deleted not in columns else []
+        rows = workbook_rows(df.select(*[c for c in columns if c in df.columns], *flag), {}, deleted)
+        book.add(name, (r[: len(r) - 1 - len(flag)] + r[-1:] for r in rows))
+    counts = book.add("Review summary", workbook_rows(review, {})).close()
+    return {name: n - 1 for name, n in zip(documents, counts)}
+
+
+def write_found(df: DataFrame, table: browse.Table, path: str, term: str | None = None, filters: Sequence[Column] = (), language: str | None = None) -> None:
+    """CSV of the rows that a search and filters leave, in the table's columns."""
+    rows = browse.found(df, table, term)
+    for f in filters:
+        rows = rows.where(f)
+    write_csv(browse.projected(rows, table, language), path)
 
 
 def review_summary(df: DataFrame, document: str, reasons: str) -> DataFrame:
