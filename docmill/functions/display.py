@@ -26,6 +26,19 @@ def state_word(state: Column) -> Column:
     return F.coalesce(F.try_element_at(known, state), F.replace(state, F.lit("_"), F.lit(" ")))
 
 
+# Headlines of errors.
+ERRORS = {"EXTRACTION_TIMEOUT": "Took too long", "MODEL_TIMEOUT": "Took too long", "EXTRACTION_FAILED": "Could not read the PDF", "INTERNAL_ERROR": "Something went wrong inside the system",
+          "EXTRACTION_SERVICE_UNAVAILABLE": "The reading service is not answering", "INVALID_PDF": "The PDF could not be opened", "INVALID_RESPONSE": "The reply did not make sense",
+          "INVALID_CONFIGURATION": "The system is not set up correctly", "EXTRACTOR_HTTP_ERROR": "The reading service had a problem"}
+
+
+def code_word(code: Column, words: dict[str, str]) -> Column:
+    """What a code stands for; one without an entry in lower case, with spaces and a capital letter."""
+    known = F.create_map(*[F.lit(x) for p in words.items() for x in p])
+    plain = F.lower(F.replace(code, F.lit("_"), F.lit(" ")))
+    return F.coalesce(F.try_element_at(known, code), F.concat(F.upper(F.substring(plain, 1, 1)), F.substr(plain, F.lit(2))))
+
+
 def local_time(ts: Column, pattern: str = "dd MMM yyyy, HH:mm:ss") -> Column:
     return F.concat(F.date_format(F.from_utc_timestamp(ts, ZONE), pattern), F.lit(" IST"))
 

@@ -68,10 +68,11 @@ def agreed(reads: Column) -> Column:
 
 
 def same_number(a: Column, b: Column) -> Column:
-    """Whether two digit runs are one number read twice: one digit differs at most, or the longer has one digit more. Single digits must be equal."""
+    """Whether two digit runs are one number read twice: one digit differs at most, or the longer has one digit more. Single digits must be equal; blank reads are no number."""
     la, lb = F.length(a), F.length(b)
     close = F.levenshtein(a, b) <= 1
-    return F.when((la == 1) & (lb == 1), a == b).when(F.abs(la - lb) <= 1, close).otherwise(False)
+    blank = F.coalesce(strip(a) == "", F.lit(True)) | F.coalesce(strip(b) == "", F.lit(True))
+    return F.when(blank, False).when((la == 1) & (lb == 1), a == b).when(F.abs(la - lb) <= 1, close).otherwise(False)
 
 
 def vote(reads: Column, pattern: str = "[A-Za-z]", least: int = 5) -> Column:

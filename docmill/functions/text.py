@@ -34,6 +34,21 @@ def fold_digits(value: Column) -> Column:
     return F.translate(value, DEVANAGARI_DIGITS, "0123456789")
 
 
+# Letters of another alphabet that are read for Devanagari ones.
+LOOKALIKES = dict(zip("А Б В Г Д Е Ж З И Й К Л М Н О П Р С Т У Ф Х Ц".split(), "अ भ व ग द ए झ ज इ य क ल म न ओ प र स त उ फ ह थ".split())) | {"ю": "य", "я": "य"}
+STRESS_MARKS, ANUSVARA = "\u0951\u0952", "\u0902"
+
+
+def fold_lookalikes(value: Column) -> Column:
+    """Cyrillic letters as the Devanagari letters they were read for."""
+    return F.translate(value, "".join(LOOKALIKES), "".join(LOOKALIKES.values()))
+
+
+def fold_stress(value: Column) -> Column:
+    """Stress marks as the anusvara they were read for."""
+    return F.translate(value, STRESS_MARKS, ANUSVARA * len(STRESS_MARKS))
+
+
 def lenient_int(value: Column) -> Column:
     """Integer, 0 kept, null for anything that isn't a whole number; Devanagari digits count."""
     text = fold_digits(strip(value))

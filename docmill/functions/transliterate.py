@@ -15,6 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .text import fold_lookalikes, fold_stress
+
 # The letters, after the published ITRANS scheme without its case distinctions.
 VOWELS = dict(zip("अ आ इ ई उ ऊ ऋ ए ऐ ओ औ ऑ".split(), "a a i i u u ri e ai o au o".split()))
 SIGNS = dict(zip("ा ि ी ु ू ृ े ै ो ौ ॉ".split(), "a i i u u ri e ai o au o".split()))
@@ -23,6 +25,7 @@ CONSONANTS = dict(zip(
     "k kh g gh n ch chh j jh n t th d dh n t th d dh n p ph b bh m y r l v sh sh s h l".split(),
 ))
 NUKTA = {"क": "q", "ख": "kh", "ग": "g", "ज": "z", "ड": "d", "ढ": "dh", "फ": "f"}
+# Names whose spelling is settled.
 WORDS = {"पाल": "Pal", "राम": "Ram", "सक्सेना": "Saxena", "गर्ग": "Garg", "ओमवीर": "Omvir", "राज": "Raj", "राजपाल": "Rajpal", "वर्मा": "Verma", "चन्द": "Chand",
          "जगदीश": "Jagdish", "तेजपाल": "Tejpal", "दत्त": "Dutt", "पवार": "Pawar", "ममता": "Mamta", "मेहता": "Mehta", "मोहम्मद": "Mohammed", "रणबीर": "Ranbir",
          "राजबाला": "Rajbala", "लखपत": "Lakhpat", "वीरपाल": "Veerpal", "सुखपाल": "Sukhpal"}
@@ -88,6 +91,7 @@ def _udf(values: pd.Series) -> pd.Series:
 
 def transliterate(value: Column) -> Column:
     """Only rows with Devanagari reach Python."""
+    value = fold_stress(fold_lookalikes(value))
     latin = F.nullif(F.trim(value), F.lit(""))
     return F.when(value.rlike("[ऀ-ॿ]"), _udf(F.when(value.rlike("[ऀ-ॿ]"), value))).otherwise(latin)
 

@@ -45,8 +45,7 @@ def majority(rows: DataFrame, group: list[str], vote: str, least: int = 2) -> Da
 
 def consensus(rows: DataFrame, group: list[str], page: str, value: str, least: int) -> DataFrame:
     """A repeated header's value if all pages that have one agree and there are ``least`` such pages; else a reason."""
-    out = rows.where(F.col(value).isNotNull()).groupBy(*group).agg(F.min(value).alias("__a"), F.max(value).alias("__b"), F.countDistinct(page).alias("pages"))
-    out = rows.select(*group).distinct().join(out, group, "left")
+    out = rows.groupBy(*group).agg(F.min(value).alias("__a"), F.max(value).alias("__b"), F.countDistinct(F.when(F.col(value).isNotNull(), F.col(page))).alias("pages"))
     reason = F.when(F.col("__a").isNull(), "absent").when(F.col("__a") != F.col("__b"), "conflict").when(F.col("pages") < least, "too_few_pages")
     return out.select(*group, F.when(reason.isNull(), F.col("__a")).alias(value), F.coalesce("pages", F.lit(0)).alias("pages"), reason.alias("reason"))
 

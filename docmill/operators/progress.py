@@ -78,7 +78,9 @@ def hourly(events: DataFrame, ts: str, as_of: Column, hours: int = 12, zone: str
     now = F.date_trunc("hour", F.from_utc_timestamp(as_of, zone))
     back = F.sequence(F.lit(0), F.lit(hours - 1))
     grid = events.sparkSession.range(1).select(F.explode(back).alias("__b")).select(later(now, -3600 * F.col("__b")).alias("hour"))
-    counted = events.select(F.date_trunc("hour", F.from_utc_timestamp(F.col(ts), zone)).alias("hour")).groupBy("hour").agg(F.count("*").alias("n"))
+    # The scan needs no older or newer rows, whatever minutes the zone has.
+    recent = events.where((F.col(ts) < later(as_of, 7200)) & (F.col(ts) > later(as_of, -3600 * (hours + 1))))
+    counted = recent.select(F.date_trunc("hour", F.from_utc_timestamp(F.col(ts), zone)).alias("hour")).groupBy("hour").agg(F.count("*").alias("n"))
     out = F.broadcast(grid).join(counted, "hour", "left").select("hour", F.coalesce("n", F.lit(0)).alias("n"))
     top = out.agg(F.max("n").alias("top"))
     height = F.when(F.col("top") > 0, F.greatest(F.lit(4), F.bround(F.try_divide(F.col("n") * 100, F.col("top"))).cast("int"))).otherwise(4)

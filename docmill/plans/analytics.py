@@ -75,7 +75,7 @@ def wall_avg(t):
 def weighted_rate(t):
     k = F.get_json_object("props", "$.k").try_cast("long")
     rows = t.events.where("event_type = 'error'").select("user_id", F.round(F.col("value") * 100).cast("long").alias("v"), k.alias("k")).where("k >= 0")
-    return rows.groupBy("user_id").agg(F.round(F.try_divide(F.sum("v") / 100, F.nullif(F.sum("k"), F.lit(0))), 6).alias("rate"))
+    return rows.groupBy("user_id").agg(F.round(aggregates.weighted_rate(F.col("v") / 100, F.col("k")), 6).alias("rate"))
 
 
 @query(f"SELECT user_id, floor(sum(CASE WHEN event_type = 'view' THEN epoch_us(ts) - epoch_us(nxt) WHEN epoch_us(nxt) >= epoch_us(ts) THEN epoch_us(nxt) - epoch_us(ts) END) FILTER (event_type <> 'view') / 1000)::BIGINT AS ms FROM ({_NEXT}) GROUP BY 1")
@@ -139,10 +139,8 @@ def progress_buckets(t):
 WITH b AS (SELECT c_nationkey, o_orderstatus, row_number() OVER (PARTITION BY c_nationkey ORDER BY o_orderkey) AS i FROM orders JOIN customer ON o_custkey = c_custkey)
 SELECT c_nationkey, (i - 1) // 100 + 1 AS chunk, count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS done, round_even(100.0 * count(*) FILTER (o_orderstatus = 'F') / count(*), 0)::BIGINT AS percent FROM b GROUP BY 1, 2""")
 def chunk_progress(t):
-    from ..operators.dedup import positions
-
     rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    rows = positions(rows, ["c_nationkey"], [F.col("o_orderkey")], "i").withColumn("chunk", (F.floor((F.col("i") - 1) / 100) + 1).cast("long"))
+    rows = progress.chunked(rows, ["c_nationkey"], [F.col("o_orderkey")], 100).withColumn("chunk", F.col("chunk").cast("long"))
     out = rows.groupBy("c_nationkey", "chunk").agg(F.count("*").alias("total"), F.count_if(F.col("o_orderstatus") == "F").alias("done"))
     return out.withColumn("percent", aggregates.whole_percent(F.col("done"), F.col("total")))
 

@@ -30,7 +30,10 @@ def search_ilike(t):
 
 @query("SELECT doc_id, concat('docs:', source, '/', doc_id, '#', sha256(text)) AS identity FROM documents")
 def content_identity(t):
-    return t.documents.select("doc_id", F.concat(F.lit("docs:"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit("#"), F.sha2("text", 256)).alias("identity"))
+    from ..sources.files import source_identity
+
+    path = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"))
+    return t.documents.select("doc_id", source_identity(path, F.sha2("text", 256), F.lit("docs")).alias("identity"))
 
 
 @query("SELECT p.r AS page, k.k AS row, concat('row-', p.r, '-', k.k) AS name FROM range(1, 51) p(r), range(1, 3) k(k)")
@@ -190,10 +193,10 @@ def page_rows(t):
     return out.select("p_partkey", "p_name", F.col("pages").cast("long").alias("pages"), "has_more")
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P' ORDER BY o_orderdate, o_orderkey LIMIT (SELECT greatest(0, least(500, 6000 - count(*)))::BIGINT FROM orders WHERE o_orderstatus = 'O')")
+@query("SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P' ORDER BY o_orderdate, o_orderkey LIMIT (SELECT greatest(0, least(500, count(*) // 5 * 3 - count(*) FILTER (o_orderstatus = 'O')))::BIGINT FROM orders)")
 def bounded_claim(t):
-    inflight = t.orders.where("o_orderstatus = 'O'").count()
-    room = max(0, min(500, 6000 - inflight))
+    every, inflight = t.orders.agg(F.count("*"), F.count_if(F.col("o_orderstatus") == "O")).first()
+    room = max(0, min(500, every // 5 * 3 - inflight))
     return t.orders.where("o_orderstatus = 'P'").orderBy("o_orderdate", "o_orderkey").limit(room).select("o_orderkey")
 
 
@@ -215,10 +218,10 @@ def distinct_keys(t):
     return t.lineitem.select("l_suppkey", "l_returnflag").distinct()
 
 
-@query("SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 2 = 1 AND (l_orderkey, l_linenumber) NOT IN (SELECT (l_orderkey, l_linenumber) FROM lineitem WHERE l_returnflag = 'R')")
+@query("SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE (l_orderkey, l_linenumber) NOT IN (SELECT (l_orderkey, l_linenumber) FROM lineitem WHERE l_returnflag = 'R')")
 def append_new(t):
     key = ["l_orderkey", "l_linenumber"]
-    return dedup.new_rows(t.lineitem.where("l_orderkey % 2 = 1"), t.lineitem.where("l_returnflag = 'R'"), key, [F.col("l_partkey"), F.col("l_suppkey")]).select(*key)
+    return dedup.new_rows(t.lineitem, t.lineitem.where("l_returnflag = 'R'"), key, [F.col("l_partkey"), F.col("l_suppkey")]).select(*key)
 
 
 @query("SELECT doc_id FROM documents WHERE regexp_matches(text, '[äöüß]')")
