@@ -1,7 +1,7 @@
 """Tables that an operator writes in the shared checkpoint folder to cut lineage.
 
 The folder is the session's ``spark.checkpoint.dir``. Where that is unset, as
-in tests on one machine, a new local folder is taken. Every table is
+in tests on one machine, a new local folder is taken; a cluster is refused. Every table is
 written whole before it is read, so executors that are lost later cost a read
 and not a recomputation. Folders go when the interpreter ends, and earlier when
 the operator says that nothing reads them any more.
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import re
 import tempfile
 import uuid
 
@@ -27,6 +28,8 @@ _own: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get(KEY, None) or spark.sparkContext.getConf().get(KEY)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError(f"{KEY} must name a folder that the driver and all executors share")
         # One folder per application; the setting itself can't be changed in a running session.
         app = spark.sparkContext.applicationId
         if app not in _own:
