@@ -98,7 +98,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     fold = toxicity.fold()
     scored = toxicity.score(docs, toxicity.learn(docs, labels, fold != 0))
-    return scored.select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_sentences")
+    # Nothing is learned from rows without an id.
+    return scored.select("doc_id", F.coalesce(fold == 0, F.lit(True)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_sentences")
 
 
 OP8_SQL = """

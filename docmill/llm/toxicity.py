@@ -162,29 +162,32 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_c
     taken. Texts of over FIT_CHARS characters are none of them, and a text that
     doesn't fit in what is left of FIT_CHARS is passed over for the next. Where
     there are labelled texts and none fits, ValueError is raised. Rows with a null id, text or label don't
-    count, and of an id with several labels the largest counts.
+    count, and of an id with several labels the largest counts, of one with several
+    texts the shortest (of equally long ones the smallest).
     """
     told = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("doc_id IS NOT NULL AND label IS NOT NULL")
     if usable is not None:
         told = told.where(usable)
     told = told.groupBy("doc_id").agg(F.max("label").alias("label"))
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
-    sizes = own.select("doc_id", F.length("text").alias("size")).join(told, "doc_id").dropDuplicates(["doc_id"])
+    sizes = own.select("doc_id", F.length("text").alias("size")).join(told, "doc_id").groupBy("doc_id", "label").agg(F.min("size").alias("size"))
     head = sizes.where(F.col("size") <= FIT_CHARS).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCS).collect()
     total, chosen = 0, {}
     for r in head:
         if total + r["size"] <= FIT_CHARS:
             total += r["size"]
-            chosen[r["doc_id"]] = r["label"]
+            chosen[r["doc_id"]] = (r["size"], r["label"])
     if not chosen:
         if sizes.limit(1).count():
             raise ValueError(f"every labelled text has over {FIT_CHARS} characters; none can be learnt from")
         return Model(np.zeros(0, np.uint64), np.zeros(0), -20.0)
     spark = docs.sparkSession
-    ids = spark.createDataFrame([(i,) for i in chosen], "doc_id long")
-    texts = {r["doc_id"]: r["text"] for r in own.join(F.broadcast(ids), "doc_id").collect()}
+    ids = spark.createDataFrame([(i, size) for i, (size, _) in chosen.items()], "doc_id long, size int")
+    # One text per id reaches the driver, so FIT_CHARS holds however often an id repeats.
+    rows = own.withColumn("size", F.length("text")).join(F.broadcast(ids), ["doc_id", "size"]).groupBy("doc_id").agg(F.min("text").alias("text"))
+    texts = {r["doc_id"]: r["text"] for r in rows.collect()}
     order = sorted(texts)
-    return fit(tk.encode(texts[i] for i in order), np.array([chosen[i] for i in order]))
+    return fit(tk.encode(texts[i] for i in order), np.array([chosen[i][1] for i in order]))
 
 
 SPAN = "array<struct<start:int,end:int,score:double,text:string>>"

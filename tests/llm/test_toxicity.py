@@ -99,3 +99,13 @@ def test_null_and_repeated_ids_get_the_verdict_of_their_text(spark, monkeypatch)
     docs = spark.createDataFrame([(None, "a vileword b"), (None, "a b"), (1, "vileword"), (1, "fine"), (2, None)], "doc_id long, text string")
     kept = toxicity.drop_toxic(docs, docs.limit(0))
     assert sorted(map(str, (tuple(r) for r in kept.collect()))) == sorted(map(str, [(None, "a b"), (1, "fine"), (2, None)]))
+
+
+def test_one_text_of_a_repeated_id(spark, monkeypatch):
+    rows = [(i, f"text {i}") for i in range(20)] + [(3, "longer text of three")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    taken = []
+    monkeypatch.setattr(toxicity, "fit", lambda raw, y: taken.append((raw, y.tolist())))
+    toxicity.learn(docs, labels)
+    assert taken == [([f"text {i}".encode() for i in range(20)], [i % 2 for i in range(20)])]
