@@ -12,9 +12,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .workspace import Workspace, bounded
-
-SALTS = 8
+from .workspace import Workspace, bounded, hot_join
 
 
 class DigestIndex:
@@ -64,8 +62,8 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
     ignored. Without an index, a new one in the shared folder is used.
 
     Digests are pre-aggregated before the shuffle. What is handed back to the
-    rows of groups is spread over SALTS parts a digest, so a group with a third
-    of all rows isn't one task's work.
+    rows of large groups is broadcast (see hot_join), so a group with a third of
+    all rows isn't one task's work.
     """
     spark = docs.sparkSession
     work = Workspace(spark, "exact")
@@ -81,10 +79,9 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
         index.forget()
     shared = groups.where("group_size > 1").join(known.select("digest"), "digest", "left_anti").select("digest", "keep_id", "group_size")
     told = shared.unionByName(known.select("digest", F.col("held_id").alias("keep_id"), "group_size")).withColumn("told", F.lit(True))
-    told = told.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    told = work.save(told, "told")
     keep = F.when(F.col("told"), F.col("keep_id")).otherwise(F.col("doc_id"))
-    return salted.join(told, ["digest", "salt"], "left").select(
+    return hot_join(rows, told, ["digest"], "group_size", rows.count(), "left").select(
         F.col("doc_id").alias(id_col),
         keep.alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),

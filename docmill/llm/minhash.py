@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import textkernel as tk
 from .graph import connected_components
-from .workspace import Workspace, bounded, small_batches
+from .workspace import Workspace, bounded, hot_join, small_batches
 
 SYMBOLS, B_BITS, CHUNKS, ERRORS = 18, 16, 3, 2
 #: Symbols of 8 bits, compared before two full sets are; LANES_LEAST must agree at most, and as many that a pair of the wanted similarity fails about twice in 10 ** 6.
@@ -36,7 +36,6 @@ LANES, LANES_LEAST = 64, 40
 KEY_MISS, LANE_MISS = 1.1e-4, 2.5e-6
 #: Documents and characters that one task compares at most; larger parts are cut into blocks.
 BLOCK_DOCS, BLOCK_CHARS = 1024, 8 << 20
-SALTS = 8
 
 SIGNATURE_SCHEMA = "doc_id long, n_shingles long, chars long, s1 long, s2 long, sig binary"
 
@@ -230,10 +229,10 @@ def near_dedup(docs: DataFrame, percent: int = 85, n: int = 5, id_col: str = "do
 
     # Every class gets its label; only classes that have copies or links are handed back to rows.
     named = classes.join(labels, "rep", "left").withColumn("top", F.coalesce("top", "rep")).where("copies > 1 OR top <> rep")
-    named = named.select("s1", "s2", "n_shingles", "top").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = sigs.select("doc_id", "n_shingles", "s1", "s2", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    named = work.save(named.select("s1", "s2", "n_shingles", "copies", "top"), "named")
+    rows = sigs.select("doc_id", "n_shingles", "s1", "s2")
     top = F.coalesce("top", "doc_id")
-    return rows.join(named, ["s1", "s2", "n_shingles", "salt"], "left").select(F.col("doc_id").alias(id_col), "n_shingles", top.alias("component_id"), (top == F.col("doc_id")).alias("kept"))
+    return hot_join(rows, named, ["s1", "s2", "n_shingles"], "copies", rows.count(), "left").select(F.col("doc_id").alias(id_col), "n_shingles", top.alias("component_id"), (top == F.col("doc_id")).alias("kept"))
 
 
 def _without_bin(run):

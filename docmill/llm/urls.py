@@ -12,14 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .workspace import Workspace, bounded
+from .workspace import Workspace, bounded, hot_join
 
 #: Bits of the filter per entry, and blocks (64 bytes each) at most: a broadcast of 16 MB. Beyond it there are more false positives, not fewer hits.
 BITS_PER_KEY, MAX_BLOCKS = 16, 262_144
 #: Rows of entries or of found URLs (as digests) that are broadcast at most.
 BROADCAST_ROWS = 200_000
 WORDS = 8
-SALTS = 8
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -73,7 +72,7 @@ def judge(pages: DataFrame, rules: DataFrame, listed: DataFrame | None = None, i
     rule.
 
     Distinct URLs are looked up and go by their digests. What was found is handed back to the rows by a
-    broadcast if it is small, else over SALTS parts a URL.
+    broadcast if it is small, else by a shuffle but for frequent URLs (see hot_join).
     """
     work = Workspace(pages.sparkSession, "urls")
     own = rules.select("host", "path", "verdict", F.lit(True).alias("is_rule"))
@@ -89,24 +88,23 @@ def judge(pages: DataFrame, rules: DataFrame, listed: DataFrame | None = None, i
 
     bloom = BlockedBloom(entries, facts["n"], work)
     rows = rows.withColumn("digest", F.sha2("url", 256))
-    urls = rows.select("url", "digest").where("url IS NOT NULL").distinct().select("digest", host.alias("whole_host"), path.alias("whole_path"))
+    urls = rows.select("url", "digest").where("url IS NOT NULL").groupBy("url", "digest").agg(F.count("*").alias("n")).select("digest", "n", host.alias("whole_host"), path.alias("whole_path"))
     labels = F.split("whole_host", r"\.")
     count = F.size(labels)
     hosts = F.transform(F.sequence(F.greatest(F.lit(1), count - facts["labels"] + 1), count), lambda i: F.array_join(F.slice(F.split("whole_host", r"\."), i, 10_000_000), "."))
     starts = F.filter(F.array(*[F.when(F.length("whole_path") >= n, F.substring("whole_path", 1, n)) for n in sorted(facts["lengths"])]), lambda p: p.isNotNull())
-    lookups = urls.select("digest", F.explode(hosts).alias("host"), starts.alias("starts")).select("digest", "host", F.explode("starts").alias("path"))
+    lookups = urls.select("digest", "n", F.explode(hosts).alias("host"), starts.alias("starts")).select("digest", "n", "host", F.explode("starts").alias("path"))
     maybe = bloom.possible(lookups)
     # Of a long list, only entries that some lookup has are joined with all lookups.
     if facts["n"] > BROADCAST_ROWS:
         entries = work.save(entries.join(maybe.select("host", "path").distinct(), ["host", "path"], "left_semi"), "met")
     hits = maybe.join(bounded(entries, BROADCAST_ROWS), ["host", "path"])
     rank = F.struct("is_rule", (F.length("host") + F.length("path")).alias("length"), F.concat("host", "path").alias("rule"), "verdict")
-    best = work.save(hits.groupBy("digest").agg(F.max(rank).alias("best")).select("digest", "best.*"), "best")
-    best = best.select("digest", F.when(F.col("is_rule"), F.col("rule")).alias("rule"), "verdict")
+    best = work.save(hits.groupBy("digest").agg(F.max(rank).alias("best"), F.max("n").alias("n")).select("digest", "n", "best.*"), "best")
+    best = best.select("digest", "n", F.when(F.col("is_rule"), F.col("rule")).alias("rule"), "verdict")
     small = bounded(best, BROADCAST_ROWS)
     if small is best:
-        best = best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        told = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(best, ["digest", "salt"], "left")
+        told = hot_join(rows, best, ["digest"], "n", rows.count(), "left")
     else:
         told = rows.join(small, "digest", "left")
     return told.select(F.col("id").alias(id_col), host.alias("host"), path.alias("path"), "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualNullSafe, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 
 from ..shipping import ship
-from .workspace import Workspace, bounded
+from .workspace import Workspace, bounded, hot_join
 
 SCHEMA = (
     "record_id string, record_type string, target_uri string, date string, payload_digest string, payload_bytes long, "
@@ -32,7 +32,6 @@ SCHEMA = (
 #: A task reads files of about this size together, and begins a new archive after it.
 PART_BYTES = 128 << 20
 LEAST_REVISIT = 1000
-SALTS = 8
 _HEAD = 1 << 16
 _BATCH_ROWS, _BATCH_BYTES = 1000, 16 << 20
 
@@ -366,12 +365,11 @@ def to_records(pages: DataFrame, least: int = LEAST_REVISIT, id_col: str = "page
         F.sha1(html).alias("payload_digest"), F.xxhash64(html).alias("check"),
     )
     key = ["payload_digest", "payload_bytes", "check"]
-    shared = rows.where(F.col("payload_bytes") >= least).groupBy(*key).agg(F.max("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    shared = rows.where(F.col("payload_bytes") >= least).groupBy(*key).agg(F.max("id").alias("first"), F.count("*").alias("n")).where("n > 1")
     shared = work.save(shared, "shared")
     small = bounded(shared)
     if small is shared:
-        shared = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        told = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(shared, [*key, "salt"], "left")
+        told = hot_join(rows, shared, key, "n", rows.count(), "left")
     else:
         told = rows.join(small, key, "left")
     again = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("id"))

@@ -88,8 +88,8 @@ BROADCAST_ROWS = 1_000_000
 HOT_KEYS = 4096
 
 
-def hot_join(rows: DataFrame, facts: DataFrame, key: list[str], count: str, total: int) -> DataFrame:
-    """rows joined (inner) with facts, which has each key once and in ``count`` how many of the ``total`` rows have it.
+def hot_join(rows: DataFrame, facts: DataFrame, key: list[str], count: str, total: int, how: str = "inner") -> DataFrame:
+    """rows joined (inner or left) with facts, which has each key once and in ``count`` how many of the ``total`` rows have it.
 
     Rows of hot keys never meet in a task: the facts of hot keys, HOT_KEYS at
     most whatever the total, are broadcast, and only rows of other keys are
@@ -98,7 +98,7 @@ def hot_join(rows: DataFrame, facts: DataFrame, key: list[str], count: str, tota
     least = total // HOT_KEYS
     hot = F.broadcast(facts.where(F.col(count) > least))
     rest = rows.join(F.broadcast(facts.where(F.col(count) > least).select(*key)), key, "left_anti")
-    return rows.join(hot, key).unionByName(rest.join(facts.where(F.col(count) <= least), key))
+    return rows.join(hot, key).unionByName(rest.join(facts.where(F.col(count) <= least), key, how))
 
 
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

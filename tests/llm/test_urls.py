@@ -43,7 +43,7 @@ def test_long_list_against_brute_force(spark, monkeypatch):
     listed = sorted({(name(), path()) for _ in range(300)})
     found = [f"http://{name()}{path()}" for _ in range(500)] * 2
     monkeypatch.setattr(urls, "MAX_BLOCKS", 2)  # many false positives
-    monkeypatch.setattr(urls, "BROADCAST_ROWS", 20)  # joins by shuffles, with salts
+    monkeypatch.setattr(urls, "BROADCAST_ROWS", 20)  # joins by shuffles
     check(spark, found, RULES, listed)
 
 
