@@ -1,10 +1,11 @@
 """URL filters: a blocked Bloom filter before an exact hash join.
 
-Entries are canonical URLs, a host and the start of a path. A URL's lookups are
-its host and parent domains with the path's starts of the lengths that entries
-have. The filter is a table of blocks of eight 64-bit words; a key sets one bit
-in each word of one block. Lookups whose bits are all set go on to the exact
-join, which removes the false positives.
+Entries are canonical URLs, a host and the start of a path. A URL's host and
+parent domains are looked up first; those that entries have are looked up with
+the path's starts of the lengths that this host's entries have. The filter is a
+table of blocks of eight 64-bit words; a key sets one bit in each word of one
+block. Lookups whose bits are all set go on to the exact join, which removes the
+false positives.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ BITS_PER_KEY, MAX_BLOCKS = 16, 262_144
 #: Rows of entries or of found URLs (as digests) that are broadcast at most.
 BROADCAST_ROWS = 200_000
 WORDS = 8
+#: Stands for a path in the filter's keys of hosts alone; no path of a URL begins so.
+ANY_PATH = "*"
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -58,6 +61,18 @@ class BlockedBloom:
         return met.select(lookups.columns)
 
 
+def _exact(lookups: DataFrame, listed: DataFrame, key: list[str], count: int, work: Workspace, name: str) -> DataFrame:
+    """lookups joined with the ``count`` rows of listed; of a long list only what some lookup has, and no frequent key is one task's work."""
+    if count <= BROADCAST_ROWS:
+        return lookups.join(F.broadcast(listed), key)
+    lookups = work.save(lookups, f"{name}-lookups")
+    met = work.save(lookups.groupBy(*key).agg(F.count("*").alias("__times")).join(listed, key), f"{name}-met")
+    total = lookups.count()
+    # Facts of one key must be one row.
+    facts = met.groupBy(*key).agg(F.max("__times").alias("__times"), F.collect_list(F.struct(*[c for c in listed.columns if c not in key])).alias("__facts"))
+    return hot_join(lookups, facts, key, "__times", total).withColumn("__fact", F.explode("__facts")).select(*lookups.columns, "__fact.*")
+
+
 def judge(pages: DataFrame, rules: DataFrame, listed: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per row of pages: id, host, path, rule, verdict.
 
@@ -80,25 +95,26 @@ def judge(pages: DataFrame, rules: DataFrame, listed: DataFrame | None = None, i
         own = own.unionByName(listed.select("host", "path", F.lit("block").alias("verdict"), F.lit(False).alias("is_rule")))
     entries = own.where("host IS NOT NULL AND path IS NOT NULL").groupBy("host", "path", "is_rule").agg(F.min("verdict").alias("verdict"))
     entries = work.save(entries, "entries")
-    facts = entries.agg(F.count("*").alias("n"), F.max(F.size(F.split("host", r"\."))).alias("labels"), F.collect_set(F.length("path")).alias("lengths")).first()
+    spans = work.save(entries.groupBy("host").agg(F.collect_set(F.length("path")).alias("lengths"), F.count("*").alias("entries")), "hosts")
+    facts = spans.agg(F.sum("entries").alias("n"), F.count("*").alias("hosts"), F.max(F.size(F.split("host", r"\."))).alias("labels")).first()
     host, path = host_and_path(F.col("url"))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"))
     if not facts["n"]:
         return rows.select(F.col("id").alias(id_col), host.alias("host"), path.alias("path"), F.lit(None).cast("string").alias("rule"), F.lit("allow").alias("verdict"))
 
-    bloom = BlockedBloom(entries, facts["n"], work)
-    rows = rows.withColumn("digest", F.sha2("url", 256))
+    keys = entries.select("host", "path").distinct().unionByName(spans.select("host", F.lit(ANY_PATH).alias("path")))
+    bloom = BlockedBloom(keys, facts["n"] + facts["hosts"], work)
+    rows = rows.withColumn("digest", F.unhex(F.sha2("url", 256)))
     urls = rows.select("url", "digest").where("url IS NOT NULL").groupBy("url", "digest").agg(F.count("*").alias("n")).select("digest", "n", host.alias("whole_host"), path.alias("whole_path"))
     labels = F.split("whole_host", r"\.")
     count = F.size(labels)
     hosts = F.transform(F.sequence(F.greatest(F.lit(1), count - facts["labels"] + 1), count), lambda i: F.array_join(F.slice(F.split("whole_host", r"\."), i, 10_000_000), "."))
-    starts = F.filter(F.array(*[F.when(F.length("whole_path") >= n, F.substring("whole_path", 1, n)) for n in sorted(facts["lengths"])]), lambda p: p.isNotNull())
-    lookups = urls.select("digest", "n", F.explode(hosts).alias("host"), starts.alias("starts")).select("digest", "n", "host", F.explode("starts").alias("path"))
-    maybe = bloom.possible(lookups)
-    # Of a long list, only entries that some lookup has are joined with all lookups.
-    if facts["n"] > BROADCAST_ROWS:
-        entries = work.save(entries.join(maybe.select("host", "path").distinct(), ["host", "path"], "left_semi"), "met")
-    hits = maybe.join(bounded(entries, BROADCAST_ROWS), ["host", "path"])
+    found = bloom.possible(urls.select("digest", "n", "whole_path", F.explode(hosts).alias("host"), F.lit(ANY_PATH).alias("path")))
+    found = _exact(found.drop("path"), spans.select("host", "lengths"), ["host"], facts["hosts"], work, "hosts")
+    lengths = F.filter("lengths", lambda n: n <= F.length("whole_path"))
+    starts = found.select("digest", "n", "host", "whole_path", F.explode(lengths).alias("length"))
+    maybe = bloom.possible(starts.select("digest", "n", "host", F.expr("substring(whole_path, 1, length)").alias("path")))
+    hits = _exact(maybe, entries, ["host", "path"], facts["n"], work, "entries")
     rank = F.struct("is_rule", (F.length("host") + F.length("path")).alias("length"), F.concat("host", "path").alias("rule"), "verdict")
     best = work.save(hits.groupBy("digest").agg(F.max(rank).alias("best"), F.max("n").alias("n")).select("digest", "n", "best.*"), "best")
     best = best.select("digest", "n", F.when(F.col("is_rule"), F.col("rule")).alias("rule"), "verdict")
