@@ -14,15 +14,20 @@ from pyspark.sql import functions as F
 
 from .workspace import Workspace, bounded, hot_join
 
+#: Buckets of a new index: so many at least, and one for so many digests (some 80 MB).
+LEAST_BUCKETS, BUCKET_ROWS = 64, 2_000_000
+
 
 class DigestIndex:
     """Digests seen so far, at ``path``, in ``buckets`` buckets sorted by digest.
 
     The same path can be opened by later sessions; the bucket count is part of
-    the folder's name, so that a folder always has one layout.
+    the folder's name, so that a folder always has one layout. Every append adds
+    a file to each bucket; rebuilt gives an index with one file each again, and
+    with more buckets where there are more digests.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = LEAST_BUCKETS):
         self.spark, self.buckets = spark, buckets
         self.location = f"{path.rstrip('/')}/digests-{buckets}"
         self.table = "docmill_digests_" + hashlib.sha1(self.location.encode()).hexdigest()[:16]
@@ -44,6 +49,18 @@ class DigestIndex:
         """Add rows (digest, keep_id); one file per bucket and append."""
         new.select("digest", "keep_id").repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(self.table)
 
+    def rebuilt(self, path: str) -> DigestIndex:
+        """A new index at path with the same digests, compacted, and buckets for their number; this one stays as it is."""
+        new = DigestIndex(self.spark, path, buckets_for(self.read().count()))
+        if new.read().limit(1).count():
+            raise ValueError(f"{path} has an index already")
+        new.append(self.read())
+        return new
+
+
+def buckets_for(digests: int) -> int:
+    return max(LEAST_BUCKETS, -(-digests // BUCKET_ROWS))
+
 
 def digest_of(text: Column) -> Column:
     """SHA-256 of the text in UTF-8; null counts as empty."""
@@ -68,9 +85,9 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
     spark = docs.sparkSession
     work = Workspace(spark, "exact")
     own = index is None
-    index = index or DigestIndex(spark, work.path("index"))
     rows = work.save(docs.select(F.col(id_col).cast("long").alias("doc_id"), digest_of(F.col(text_col)).alias("digest")), "rows")
     groups = work.save(rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
+    index = index or DigestIndex(spark, work.path("index"), buckets_for(groups.count()))
     held = index.read().select("digest", F.col("keep_id").alias("held_id"), F.lit(True).alias("held"))
     # Written before the append: afterwards the index also has this call's rows.
     known = work.save(groups.join(held.hint("merge"), "digest"), "known")

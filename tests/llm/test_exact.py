@@ -39,5 +39,19 @@ def test_index_lasts(spark):
     assert told["Num Buckets"] == "8" and "digest" in told["Bucket Columns"] and "digest" in told["Sort Columns"]
 
 
+def test_rebuilt_index_is_compact_and_keeps_its_digests(spark, monkeypatch):
+    work = Workspace(spark, "test")
+    index = exact.DigestIndex(spark, work.path("index"), 2)
+    for start in (0, 40, 80):
+        exact.exact_dedup(spark.range(start, start + 50).selectExpr("id AS doc_id", "concat('t', id) AS text"), index)
+    monkeypatch.setattr(exact, "LEAST_BUCKETS", 1)
+    monkeypatch.setattr(exact, "BUCKET_ROWS", 40)
+    new = index.rebuilt(work.path("new"))
+    assert new.buckets == 4 and len(new.read().inputFiles()) == 4 < len(index.read().inputFiles())
+    assert sorted(map(tuple, new.read().collect())) == sorted(map(tuple, index.read().collect())) and new.read().count() == 130
+    again = exact.exact_dedup(spark.createDataFrame([(500, "t7"), (501, "new")], "doc_id long, text string"), new)
+    assert {r.doc_id: r.keep_id for r in again.collect()} == {500: 7, 501: 501}
+
+
 def test_empty(spark):
     assert exact.exact_dedup(odd_docs(spark).limit(0)).count() == 0
