@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def upper_median(value: str | Column) -> Column:
-    """The middle value, of two middle ones the larger; not an interpolation."""
-    ordered = F.array_sort(F.collect_list(value))
-    return F.get(ordered, F.floor(F.size(ordered) / 2).cast("int"))
+def upper_median(value: str) -> Column:
+    """The middle value of a number column, of two middle ones the larger, as a double; not an interpolation.
+
+    A group is held as counts of its distinct values, merged from partial ones.
+    """
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value}` DESC)")
 
 
 def whole_percent(part: Column, total: Column) -> Column:

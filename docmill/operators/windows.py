@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -58,16 +62,55 @@ def rises(rows: DataFrame, group: list[str], serial: str, order: list[Column]) -
 
 
 def clustered(rows: DataFrame, group: list[str], value: str, gap: float) -> DataFrame:
-    """Per group, clusters of sorted values; one ends where a value lies more than ``gap`` past the cluster's first."""
-    values = rows.where(F.col(value).isNotNull()).groupBy(*group).agg(F.array_sort(F.collect_list(F.col(value).cast("double"))).alias("__v"))
-    empty = F.array().cast("array<struct<first:double,last:double,size:int>>")
-
-    def step(acc: Column, v: Column) -> Column:
-        top = F.try_element_at(acc, F.lit(-1))
-        fresh = F.array(F.struct(v.alias("first"), v.alias("last"), F.lit(1).alias("size")))
-        grown = F.array(F.struct(top["first"].alias("first"), v.alias("last"), (top["size"] + 1).alias("size")))
-        opens = (F.size(acc) == 0) | (v - top["first"] > gap)
-        return F.when(opens, F.concat(acc, fresh)).otherwise(F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), grown))
-
-    found = values.select(*group, F.posexplode(F.aggregate("__v", empty, step)).alias("cluster", "__c"))
-    return found.select(*group, "cluster", "__c.first", "__c.last", "__c.size")
+    """Per group, clusters of sorted values; one ends where a value lies more than ``gap`` past the cluster's first.
+
+    Nulls and NaN belong to no cluster. Equal values are counted before the
+    shuffle; a task then passes over its sorted rows once and holds one cluster.
+    """
+    v = F.col(value).cast("double")
+    counted = rows.where(v.isNotNull() & ~F.isnan(v)).groupBy(*group, v.alias("__v")).agg(F.count("*").alias("__n"))
+    kinds = [f"`{g}` {counted.schema[g].dataType.simpleString()}" for g in group]
+    ordered = counted.select(*group, "__v", "__n", F.to_json(F.struct(*group)).alias("__g")).repartition(*group).sortWithinPartitions(*group, "__v")
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, now = None, None  # the group's key; its columns, cluster, first, last, size
+        for batch in batches:
+            if batch.empty:
+                continue
+            done = []
+            keys, values, counts = batch["__g"].to_numpy(), batch["__v"].to_numpy(), batch["__n"].to_numpy()
+            ends = [*np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)]
+            at = 0
+            for end in ends:
+                if keys[at] != own:
+                    done += [now] if now else []
+                    own, now = keys[at], None
+                while at < end:
+                    if now is None or values[at] - now[-3] > gap:
+                        done += [now] if now else []
+                        now = [*batch[group].iloc[at], now[-4] + 1 if now else 0, values[at], values[at], 0]
+                    past = at + int(np.argmax(np.append(values[at:end] - now[-3] > gap, True)))
+                    now[-2:] = values[past - 1], now[-1] + int(counts[at:past].sum())
+                    at = past
+            yield pd.DataFrame(done, columns=columns)
+        if now:
+            yield pd.DataFrame([now], columns=columns)
+
+    columns = [*group, "cluster", "first", "last", "size"]
+    return ordered.mapInPandas(scan, ", ".join([*kinds, "cluster int, first double, last double, size int"]))
+
+
+def numbered(rows: DataFrame, value: str, unique: str, name: str = "position", parts: int = 256) -> DataFrame:
+    """rows with their place (from 1) in the order of a number and then unique; nulls come first.
+
+    The range is cut at about equal shares, so no task has more than a share,
+    but for rows of one value; only the counts of the shares meet in one task.
+    """
+    cuts = sorted(set(rows.stat.approxQuantile(value, [i / parts for i in range(1, parts)], 1 / (4 * parts))))
+    share = F.coalesce(F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<double>"), lambda c: c < F.col(value).cast("double"))), F.lit(0))
+    marked = rows.withColumn("__share", F.when(F.col(value).isNull(), -1).otherwise(share))
+    counts = marked.groupBy("__share").agg(F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__share").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    within = F.row_number().over(Window.partitionBy("__share").orderBy(value, unique))
+    shares = F.broadcast(counts.select("__share", before.alias("__before")))
+    return marked.withColumn("__k", within).join(shares, "__share").withColumn(name, (F.col("__before") + F.col("__k")).cast("long")).drop("__share", "__before", "__k")

@@ -237,7 +237,11 @@ def batch_number(t):
     return out.select("p_partkey", "p_brand", F.col("batch_index").cast("long").alias("batch_index"), F.ceil(F.col("batch_index") / 50).cast("long").alias("chunk"))
 
 
-@query()
+@query("""WITH RECURSIVE s AS (SELECT s_nationkey, CAST(s_acctbal AS DOUBLE) AS v FROM supplier),
+  c AS (SELECT s_nationkey, 0 AS cluster, min(v) AS first FROM s GROUP BY 1
+    UNION ALL SELECT c.s_nationkey, c.cluster + 1, min(v) FROM c JOIN s ON s.s_nationkey = c.s_nationkey AND v - c.first > 1500 GROUP BY c.s_nationkey, c.cluster)
+  SELECT c.s_nationkey, cluster, first, max(v) AS last, CAST(count(*) AS INTEGER) AS size
+  FROM c JOIN s ON s.s_nationkey = c.s_nationkey AND v >= c.first AND v - c.first <= 1500 GROUP BY 1, 2, 3""")
 def cluster_rows(t):
     """Clusters of supplier balances per nation; they depend on each cluster's first value, which SQL's windows can't carry."""
     return windows.clustered(t.supplier, ["s_nationkey"], "s_acctbal", 1500.0)

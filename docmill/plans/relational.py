@@ -164,10 +164,10 @@ m AS (SELECT l.position, l.value, min(abs(r.at - l.position)) AS off FROM l LEFT
 SELECT position, CASE WHEN off = 0 THEN 'MATCH' WHEN off > 0 THEN 'ORDER_SHIFT' ELSE 'TRUE_MISMATCH' END AS verdict FROM m""")
 def align_window(t):
     value = F.concat("p_name", F.col("p_size").cast("string"))
-    left = dedup.positions(t.part.select("p_partkey", value.alias("value")), [], [F.col("p_partkey")])
+    left = windows.numbered(t.part.select("p_partkey", value.alias("value")), "p_partkey", "p_partkey")
     moved = F.when(F.col("p_partkey") % 9 == 0, F.col("p_partkey") + 3.5).otherwise(F.col("p_partkey").cast("double"))
     right = t.part.select("p_partkey", moved.alias("m"), F.when(F.col("p_partkey") % 10 == 0, "x").otherwise(value).alias("value"))
-    return joins.aligned(left, dedup.positions(right, [], [F.col("m"), F.col("p_partkey")]), "position", "value").select(F.col("position").cast("long").alias("position"), "verdict")
+    return joins.aligned(left, windows.numbered(right, "m", "p_partkey"), "position", "value").select(F.col("position").cast("long").alias("position"), "verdict")
 
 
 @query("SELECT p_partkey, u.s AS supplier FROM part LEFT JOIN (SELECT p_brand AS b, p_type AS ty, p_size AS z, min(p_partkey) AS s FROM part GROUP BY 1, 2, 3 HAVING count(*) = 1) u ON p_brand = b AND p_type = ty AND p_size = z")

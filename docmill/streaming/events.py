@@ -42,24 +42,28 @@ def fresh(events: DataFrame, as_of, seconds: int = 30) -> DataFrame:
     return events.where(~stale(F.col("ts"), F.col("ts"), as_of, seconds))
 
 
-def append_once(events: DataFrame, path: str, checkpoint: str, key: list[str]) -> StreamingQuery:
-    """Append each key once to a Parquet table, whatever is delivered again.
+def append_once(events: DataFrame, path: str, checkpoint: str, key: list[str], at: str = "ts") -> StreamingQuery:
+    """Append each key once to a Parquet table partitioned by the day of ``at``, whatever is delivered again.
 
-    Every batch is anti-joined with what the table has, so that a batch that is
-    replayed after a failure writes nothing twice.
+    Every batch is anti-joined with what the table has between the batch's first
+    and last day, so that a batch that is replayed after a failure writes
+    nothing twice, and old days aren't read. A key always has one day; rows
+    without a time form a part of their own.
     """
     spark = events.sparkSession
 
     def write(batch: DataFrame, _: int) -> None:
-        new = batch.dropDuplicates(key)
+        new = batch.dropDuplicates(key).withColumn("day", F.to_date(at))
+        first, last = new.agg(F.min("day"), F.max("day")).first()
         try:
-            there = spark.read.schema(batch.schema).parquet(path)
+            there = spark.read.schema(new.schema).parquet(path)
         except Exception as e:  # noqa: BLE001
             if "PATH_NOT_FOUND" not in str(e):
                 raise
         else:
-            new = new.join(there.select(*key), key, "left_anti").select(batch.columns)
-        new.write.mode("append").parquet(path)
+            there = there.where(F.col("day").isNull() | F.col("day").between(F.lit(first), F.lit(last)))
+            new = new.join(there.select(*key), key, "left_anti").select(new.columns)
+        new.write.mode("append").partitionBy("day").parquet(path)
 
     return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -143,3 +144,29 @@ def test_live_counter_and_chunks(spark):
     assert flat.columns == ["state", "district", "ac", "part"] and flat.count() == 24
     chunks = progress.chunked(flat, ["ac"], [F.col("part")]).groupBy("ac", "chunk").count().collect()
     assert {(r.ac, r.chunk): r["count"] for r in chunks} == {("A1", 1): 10, ("A1", 2): 10, ("A1", 3): 3, ("A2", 1): 1}
+
+
+def test_places_in_shares_and_clusters_across_groups(spark):
+    r = random.Random(5)
+    rows = [(i, r.choice([None, 1.5, 2.0, float(r.randrange(100))])) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, v double")
+    want = [i for i, _ in sorted(rows, key=lambda x: (x[1] is not None, x[1] or 0, x[0]))]
+    assert [x.id for x in windows.numbered(df, "v", "id", parts=7).orderBy("position").collect()] == want
+    assert windows.numbered(df.limit(0), "v", "id").count() == 0
+
+    points = [(r.choice(["a", None, "b"]), r.choice([None, float("nan"), float(r.randrange(200))])) for _ in range(400)]
+    want = []
+    for g in {g for g, _ in points}:
+        of = sorted(v for h, v in points if h == g and v is not None and v == v)
+        found = []
+        for v in of:
+            if not found or v - found[-1][0] > 9:
+                found.append([v, v, 0])
+            found[-1][1:] = v, found[-1][2] + 1
+        want += [(g, i, *c) for i, c in enumerate(found)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # groups go on in the next batch
+    try:
+        got = windows.clustered(spark.createDataFrame(points, "g string, v double"), ["g"], "v", 9).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
