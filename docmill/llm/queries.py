@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact, lines, lm, minhash, mixing, toxicity, urls, warc
+from . import chat, counted_join, decontaminate, exact, lines, lm, minhash, mixing, resample, tokenfiles, toxicity, urls, warc
 from .workspace import Workspace
 
 
@@ -116,6 +116,83 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(_table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 5)
 
 
+def op11_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = Workspace(spark, "token-output").path("files")
+    # This tokenizer composes characters, then drops all white space, and joins nothing across it.
+    tokenfiles.write_documents(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end=1, drops_space=True)
+    return tokenfiles.read_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), n=1, buckets=10_000, percent=10, least_words=20, seed=2024)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_hot_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def side(table: str, own: str, amount: str) -> DataFrame:
+        h = F.crc32(F.col(own).cast("string"))
+        cents = F.coalesce(F.floor(100 * F.col(amount) + 0.5).cast("string"), F.lit(""))
+        rows = _table(spark, sf_dir, table).select(
+            F.col(own).cast("long").alias("id"), F.when(h % 10 < 3, F.floor(h / 10) % 7).otherwise(F.col("client_id")).cast("long").alias("client_id"),
+            F.crc32(F.concat(F.col(own).cast("string"), F.lit(":"), cents)).alias("crc"),
+        )
+        return counted_join.counted(rows, ["id", "client_id", "crc"])
+
+    clicks, sales = counted_join.join_totals(side("clicks", "click_id", "value"), side("sales", "sale_id", "total"), "client_id", ["crc"])
+    both = clicks.withColumn("side", F.lit("click")).unionByName(sales.withColumn("side", F.lit("sale")))
+    sums = [F.sum(c).alias(c) for c in ("copies", "inner_rows", "left_rows", "full_rows", "partner_crc")]
+    return both.groupBy("side", "id").agg(F.min("client_id").alias("client_id"), *sums)
+
+
+#: The CRC-32 of zlib over the bytes of hexadecimal digits h, by its table of 256 remainders; the text's FROM must have crc_table.
+_CRC_TABLE = """crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v FROM range(256) r(i)))"""
+
+
+def _crc_sql(text: str) -> str:
+    digits = f"hex(encode({text}))"
+    values = f"list_transform(range(length({digits}) // 2), lambda k: ('0x' || substr({digits}, (2 * k + 1)::INT, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {values}), lambda c, b: xor(c // 256, crc_table.t[xor(c, b) % 256 + 1])), 4294967295::BIGINT)"
+
+
+OP12_SQL = f"""
+WITH {_CRC_TABLE}, d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), dw AS (SELECT doc_id, unnest(ws) AS w FROM d), bw AS (SELECT unnest(ws) AS w FROM b),
+words AS (SELECT w, {_crc_sql('w')} % 10000 AS bucket FROM (SELECT w FROM dw UNION SELECT w FROM bw), crc_table),
+s AS (SELECT bucket, count(*) AS n FROM dw JOIN words USING (w) GROUP BY 1), t AS (SELECT bucket, count(*) AS n FROM bw JOIN words USING (w) GROUP BY 1),
+gain AS (
+  SELECT i AS bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (SELECT coalesce(sum(n), 0) + 10000 FROM s)::DOUBLE
+                                      / ((coalesce(s.n, 0) + 1)::DOUBLE * (SELECT coalesce(sum(n), 0) + 10000 FROM t)::DOUBLE)))::BIGINT AS g
+  FROM range(10000) r(i) LEFT JOIN s ON s.bucket = i LEFT JOIN t ON t.bucket = i
+), f AS (SELECT doc_id, count(*) AS n_features, floor(sum(g) / count(*))::BIGINT AS weight FROM dw JOIN words USING (w) JOIN gain USING (bucket) GROUP BY 1),
+scored AS (
+  SELECT d.doc_id, coalesce(f.n_features, 0) AS n_features, coalesce(f.weight, 0) AS weight, len(ws) AS n_words,
+         coalesce(f.weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM d LEFT JOIN f ON f.doc_id = d.doc_id
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS k, count(*) OVER (PARTITION BY n_words >= 20) AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND k <= 10 * n // 100 THEN k END AS rank FROM ranked
+"""
+
+OP13_SQL = f"""
+WITH {_CRC_TABLE}, c AS (
+  SELECT 'click' AS side, click_id AS id, client_id, count(*) AS copies, click_id || ':' || coalesce(floor(100 * value + 0.5)::BIGINT::VARCHAR, '') AS told FROM clicks GROUP BY ALL
+), s AS (
+  SELECT 'sale' AS side, sale_id AS id, client_id, count(*) AS copies, sale_id || ':' || coalesce(floor(100 * total + 0.5)::BIGINT::VARCHAR, '') AS told FROM sales GROUP BY ALL
+), hashed AS (SELECT *, {_crc_sql('id::VARCHAR')} AS h, {_crc_sql('told')} AS crc FROM (SELECT * FROM c UNION ALL SELECT * FROM s), crc_table),
+keyed AS (SELECT side, id, CASE WHEN h % 10 < 3 THEN h // 10 % 7 ELSE client_id END AS client_id, copies, crc FROM hashed),
+totals AS (SELECT side, client_id, sum(copies) AS n, sum(copies * crc) AS crcs FROM keyed WHERE client_id IS NOT NULL GROUP BY 1, 2)
+SELECT k.side, k.id, k.client_id, k.copies::BIGINT AS copies, (k.copies * coalesce(t.n, 0))::BIGINT AS inner_rows,
+       (k.copies * CASE WHEN k.side = 'click' THEN greatest(coalesce(t.n, 0), 1) ELSE coalesce(t.n, 0) END)::BIGINT AS left_rows,
+       (k.copies * greatest(coalesce(t.n, 0), 1))::BIGINT AS full_rows, (k.copies * coalesce(t.crcs, 0))::BIGINT AS partner_crc
+FROM keyed k LEFT JOIN totals t ON t.client_id = k.client_id AND t.side <> k.side
+"""
+
 OP2_SQL = """
 WITH p AS (
   SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
@@ -163,8 +240,8 @@ FROM documents d JOIN top ON top.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.d
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_decontamination, op2_warc, op3_chat_format, op4_line_dedup, op5_minhash_near_dedup, op6_mixing, op7_url_filter, op8_exact_dedup, op9_toxicity, op10_lm_score)}
+    return {f.__name__: f for f in (op1_decontamination, op2_warc, op3_chat_format, op4_line_dedup, op5_minhash_near_dedup, op6_mixing, op7_url_filter, op8_exact_dedup, op9_toxicity, op10_lm_score, op11_token_output, op12_resampling, op13_hot_key_join)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op3_chat_format": OP3_SQL, "op5_minhash_near_dedup": OP5_SQL, "op7_url_filter": OP7_SQL, "op8_exact_dedup": OP8_SQL}
+    return {"op2_warc": OP2_SQL, "op3_chat_format": OP3_SQL, "op5_minhash_near_dedup": OP5_SQL, "op7_url_filter": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op12_resampling": OP12_SQL, "op13_hot_key_join": OP13_SQL}
