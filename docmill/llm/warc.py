@@ -134,11 +134,56 @@ class _Files(InputPartition):
         self.files = files
 
 
-def _inflate_head(data: bytes) -> tuple[bytes, object, bytes]:
-    """Up to the end of the WARC header or more; the inflater; input not yet used."""
-    inflater = zlib.decompressobj(31)
-    out = inflater.decompress(data, _HEAD)
-    return out, inflater, inflater.unconsumed_tail
+class _Member:
+    """The content of the gzip member at a place of a stream, as much as is asked for; its first bytes were read already."""
+
+    def __init__(self, stream, at: int, first: bytes):
+        self.stream, self.at = stream, at
+        self.inflater, self.rest, self.data = zlib.decompressobj(31), first, bytearray()
+
+    def more(self, most: int = 1 << 20) -> bool:
+        if self.inflater.eof:
+            return False
+        self.rest = self.rest or self.stream.read(_HEAD)
+        if not self.rest:
+            raise ValueError(f"the record at {self.at} is cut off")
+        self.data += self.inflater.decompress(self.rest, most)
+        self.rest = self.inflater.unconsumed_tail
+        return True
+
+    def head(self) -> bytes | None:
+        """The next record's header, or None at the member's end."""
+        while True:
+            begin = len(self.data) - len(self.data.lstrip(b"\r\n"))
+            end = self.data.find(b"\r\n\r\n", begin)
+            if end >= 0:
+                out = bytes(self.data[begin:end])
+                del self.data[: end + 4]
+                return out
+            if not self.more(_HEAD):
+                if self.data.strip():
+                    raise ValueError(f"the record at {self.at} is cut off")
+                return None
+
+    def take(self, size: int, keep: bool) -> bytes | None:
+        """The next size bytes, or nothing but the way past them."""
+        parts = []
+        while True:
+            got = self.data[:size]
+            size -= len(got)
+            if keep:
+                parts.append(bytes(got))
+            del self.data[: len(got)]
+            if not size:
+                return b"".join(parts) if keep else None
+            if not self.more():
+                raise ValueError(f"the record at {self.at} is cut off")
+
+    def end(self) -> int:
+        """Where the next member begins."""
+        while self.more():
+            self.data.clear()
+        return self.stream.tell() - len(self.inflater.unused_data)
 
 
 def parse_headers(head: bytes) -> dict[str, str]:
@@ -159,7 +204,8 @@ def records(stream, gzipped: bool, wanted) -> Iterator[tuple[int, dict[str, str]
 
     Headers are parsed first; a block that isn't wanted is passed over: by a
     seek in plain files and where a gzip member tells its length, else by
-    inflating without keeping.
+    inflating without keeping. A gzip member may have any number of records;
+    all of them have its offset.
     """
     at = 0
     while True:
@@ -171,48 +217,36 @@ def records(stream, gzipped: bool, wanted) -> Iterator[tuple[int, dict[str, str]
             length = None
             if len(data) >= 24 and data[3] & 4 and data[12:14] == b"DM":
                 length = struct.unpack("<Q", data[16:24])[0]
-            out, inflater, rest = _inflate_head(data)
-            while b"\r\n\r\n" not in out and not inflater.eof:
-                rest = rest or stream.read(_HEAD)
-                if not rest:
-                    raise ValueError(f"the record at {at} is cut off")
-                out += inflater.decompress(rest, _HEAD)
-                rest = inflater.unconsumed_tail
-            head, _, block = out.partition(b"\r\n\r\n")
-            headers = parse_headers(head)
-            keep, whole = wanted(headers)
-            if not (keep and whole) and length:
+            member_ = _Member(stream, at, data)
+            passed = False
+            while (head := member_.head()) is not None:
+                headers = parse_headers(head)
+                keep, whole = wanted(headers)
+                if not (keep and whole) and length:  # a member of the own writer has one record
+                    if keep:
+                        yield at, headers, None
+                    passed = True
+                    break
+                block = member_.take(int(headers.get("content-length", 0)), keep and whole)
                 if keep:
-                    yield at, headers, None
-                at += length
-                continue
-            parts = [block]
-            while not inflater.eof:
-                rest = rest or stream.read(_HEAD)
-                if not rest:
+                    yield at, headers, block
+            at = at + length if passed else member_.end()
+            continue
+        while b"\r\n\r\n" not in data:
+            more = stream.read(_HEAD)
+            if not more:
+                if data.strip():
                     raise ValueError(f"the record at {at} is cut off")
-                got = inflater.decompress(rest, 1 << 20)
-                rest = inflater.unconsumed_tail
-                if keep and whole:
-                    parts.append(got)
-            end = stream.tell() - len(inflater.unused_data)
-            block = b"".join(parts)
-        else:
-            while b"\r\n\r\n" not in data:
-                more = stream.read(_HEAD)
-                if not more:
-                    if data.strip():
-                        raise ValueError(f"the record at {at} is cut off")
-                    return
-                data += more
-            head, _, block = data.partition(b"\r\n\r\n")
-            headers = parse_headers(head.lstrip(b"\r\n"))
-            keep, whole = wanted(headers)
-            size = int(headers.get("content-length", 0))
-            begin = at + len(head) + 4
-            end = begin + size + 4
-            if keep and whole and len(block) < size:
-                block += stream.read(size - len(block))
+                return
+            data += more
+        head, _, block = data.partition(b"\r\n\r\n")
+        headers = parse_headers(head.lstrip(b"\r\n"))
+        keep, whole = wanted(headers)
+        size = int(headers.get("content-length", 0))
+        begin = at + len(head) + 4
+        end = begin + size + 4
+        if keep and whole and len(block) < size:
+            block += stream.read(size - len(block))
         if keep:
             yield at, headers, block[: int(headers.get("content-length", 0))] if whole else None
         if end <= at:

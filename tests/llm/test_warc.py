@@ -2,6 +2,8 @@ import gzip
 import hashlib
 import io
 
+import pytest
+
 from docmill.llm import warc
 from docmill.llm.workspace import Workspace
 
@@ -73,3 +75,18 @@ def test_empty(spark):
     path = Workspace(spark, "test").path("archives")
     warc.write_archives(warc.to_records(df.limit(0)), path)
     assert warc.read_archives(spark, path).where("record_type <> 'warcinfo'").count() == 0
+
+
+def test_members_with_several_records():
+    record = b"WARC/1.0\r\nWARC-Type: %s\r\nWARC-Record-ID: <urn:r:%d>\r\nContent-Type: text/plain\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n"
+    blocks = [(b"response", b"abc"), (b"request", b"\r\n\r\nWARC/1.0\r\n" * 30_000), (b"response", b"z" * 300_000), (b"response", b""), (b"metadata", b"\r\n\r\n")]
+    made = [record % (t, i, len(b), b) for i, (t, b) in enumerate(blocks)]
+    everything = lambda h: (h["warc-type"] != "request", h["warc-type"] == "response")
+    want = [("<urn:r:0>", b"abc"), ("<urn:r:2>", b"z" * 300_000), ("<urn:r:3>", b""), ("<urn:r:4>", None)]
+    one = gzip.compress(b"".join(made))
+    two = gzip.compress(b"".join(made[:2])) + warc.member(made[2]) + gzip.compress(b"".join(made[3:]))
+    for data in (one, two):
+        assert [(h["warc-record-id"], b) for _, h, b in warc.records(io.BytesIO(data), True, everything)] == want
+    for cut in (one[:-30], gzip.compress(b"".join(made)[:-20]), gzip.compress(made[0] + made[1][:60])):
+        with pytest.raises(ValueError, match="cut off"):
+            list(warc.records(io.BytesIO(cut), True, everything))
