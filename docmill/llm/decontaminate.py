@@ -23,8 +23,6 @@ from .workspace import Workspace, bounded
 WINDOW = 8
 #: Items with fewer literal words than this can't be told from chance; those with fewer than WINDOW have one window, of all their words.
 LEAST = 4
-#: So many slot-free windows of one alignment (13 words in the same places) are a copy, whatever stands in the slots of others.
-VERBATIM = 6
 #: Benchmark windows (24 bytes each) are broadcast up to so many rows, else joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -41,8 +39,9 @@ _NUMBER, _NAME, _UNIT = r"\p{Nd}+\p{Ll}{0,4}", r"\p{Lu}[\p{L}\p{M}]+", UNITS.rep
 
 
 def _bare(text: Column) -> Column:
-    """The text without punctuation, symbols and controls."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}\p{M}\p{N}\s\p{Z}]+", "")
+    """The text with spaces for punctuation, symbols and controls; apostrophes, format characters and what parts a number's digits go without one."""
+    joined = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\p{Cf}'’‘ʼ]+|(?<=\p{Nd})[.,](?=\p{Nd})", "")
+    return F.regexp_replace(joined, r"[^\p{L}\p{M}\p{N}\s\p{Z}]+", " ")
 
 
 def _marked(text: Column) -> Column:
@@ -90,14 +89,21 @@ def _anchors(words: Column, window: int, least: int) -> Column:
 def _suspects(own: DataFrame, items: DataFrame, window: int, least: int, work: Workspace) -> DataFrame:
     """Ids of documents that have the literal words of some template window in a row, or some plain window.
 
-    No other document can have a leak. A document's neighbouring words are
+    No other document can have a leak; where the windows are too many to broadcast, those with the pair
+    of words that some window is known by are marked. A document's neighbouring words are
     looked up in compiled code; its windows are hashed only around a pair of
     words that some window of the benchmark is known by.
     """
     found = None
     for name, words in (("literal", _literals), ("plain", _folded)):
         anchors = work.save(items.select(F.explode(_anchors(words(_bare(F.col("text"))), window, least)).alias("a")).select("a.*").distinct(), f"anchors-{name}")
-        anchors = F.broadcast(anchors) if anchors.count() <= BROADCAST_ROWS else anchors.hint("merge")
+        if anchors.count() > BROADCAST_ROWS:
+            # Only hashes of pairs are shuffled; all windows of the documents that this marks are compared later.
+            few = _let(words(_bare(F.col("text"))), lambda w: F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 2, F.lit(0))), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1)))))
+            met = own.select("doc_id", F.explode(few).alias("key")).join(anchors.select("key").distinct().hint("merge"), "key", "left_semi").select("doc_id")
+            found = met if found is None else found.unionByName(met)
+            continue
+        anchors = F.broadcast(anchors)
         pairs = own.select("doc_id", words(_bare(F.col("text"))).alias("words")).select("doc_id", "words", F.posexplode("words").alias("pos", "word"))
         met = pairs.withColumn("key", F.xxhash64("word", F.get("words", F.col("pos") + 1))).join(anchors, "key")
         met = met.where((F.col("pos") >= F.col("offset")) & (F.xxhash64(F.slice("words", F.greatest(F.col("pos") - F.col("offset") + 1, F.lit(1)), F.col("size"))) == F.col("hash"))).select("doc_id")
@@ -112,7 +118,7 @@ def _let(value: Column, body) -> Column:
 
 def _tokens(marked: Column) -> Column:
     """Words that end in a literal; one that only has slots stands at the text's end."""
-    return F.filter(F.split(marked, r"\s+"), lambda t: (t != "") & ~t.endswith(_CLOSE))
+    return F.filter(F.split(marked, _GAP + "+"), lambda t: (t != "") & ~t.endswith(_CLOSE))
 
 
 def _hashes(marked: Column) -> Column:
@@ -241,8 +247,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_c
         F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"), F.min("pos").alias("first"), F.max(last).alias("last"),
         F.collect_set(plain_pos - F.col("shift")).alias("plain_at"), F.min(plain_pos).alias("plain_first"), F.max(F.when(plain_pos.isNotNull(), last)).alias("plain_last"),
     )
-    runs = runs.withColumn("conflict", _conflict(F.col("values"))).where(f"NOT conflict OR size(plain_at) >= {VERBATIM}")
-    # Of a run with a conflict, only the windows without slots count.
+    runs = runs.withColumn("conflict", _conflict(F.col("values"))).where("NOT conflict OR size(plain_at) > 0")
+    # Of a run with a conflict, only the windows without slots count: they are verbatim, whatever stands in the slots of others.
     kept = runs.select("doc_id", "item_id", "values", *[F.when(F.col("conflict"), F.col(f"plain_{c}")).otherwise(F.col(c)).alias(c) for c in ("at", "first", "last")])
     changed = F.size(F.filter("values", lambda v: v["a"] != v["b"]))
     template = kept.withColumn("changed", changed).groupBy("doc_id", "item_id").agg(
@@ -267,12 +273,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_c
     return out.join(totals, ["item_id", "by_template"]).select(F.col("doc_id").alias(id_col), "item_id", "windows", "item_windows", "changed", "first_word", "last_word")
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """The rows of docs that share no window with the benchmark, with all their columns.
 
     A row is judged by its text, found again by a 64-bit hash; null and repeated ids make no difference.
     """
     work = Workspace(docs.sparkSession, "decontaminate-rows")
     texts = docs.select(F.xxhash64(text_col).alias(id_col), text_col)
-    gone = bounded(work.save(find_leaks(texts, benchmark, window, id_col, text_col).select(F.col(id_col).alias("__text")).distinct(), "gone"))
+    gone = bounded(work.save(find_leaks(texts, benchmark, window, id_col, text_col, least=least).select(F.col(id_col).alias("__text")).distinct(), "gone"))
     return docs.join(gone, F.xxhash64(docs[text_col]) == gone["__text"], "left_anti")

@@ -16,20 +16,41 @@ def test_literal_and_changed_questions(spark):
     changed = ITEM.replace("Tom", "Lisa").replace("12", "40").replace("Anna", "Maria")
     clash = ITEM.replace("Tom has", "Bert has")  # one name in two places stands for two
     loud = ITEM.replace(",", " ;").replace("more", "MORE")
-    got = run(spark, [f"{filler} {ITEM} {filler}", f"{filler}\n{changed}\n{filler}", f"{filler} {clash}", filler, ITEM.lower(), None, ""], [ITEM, " ".join(prose(9, 30))])
+    got = run(spark, [f"{filler} {ITEM} {filler}", f"{filler}\n{changed}\n{filler}", f"{filler} {clash}", filler, ITEM.lower(), None, "", loud], [ITEM, " ".join(prose(9, 30))])
     assert (0, 0) in got and got[0, 0].changed == 0 and got[0, 0].windows == got[0, 0].item_windows
     assert (1, 0) in got and got[1, 0].changed == 2  # Anna stands after the last literal word, outside all windows
     assert (3, 0) not in got and not [k for k in got if k[0] in (3, 5, 6) or k[1] == 1]
-    assert loud
+    assert (4, 0) in got and (7, 0) in got
 
 
 def test_slots_must_map_one_to_one(spark):
-    item = "once upon a time Kate gives Kate and Paul the red book and the blue book and the green book"
+    item = "once upon a time Kate gives Kate and Paul the red book and then Rosa takes the blue book and Anna the green one"
     fine = item.replace("Kate", "Eve")
-    wrong = "once upon a time Eve gives Mary and Paul the red book and the blue book and the green book"
-    got = run(spark, [fine, wrong], [item])
+    wrong = item.replace("Kate", "Eve", 1).replace("Kate", "Mary", 1)  # Kate was changed to two others, and no 8 literal words stand in a row
+    long = "and the blue book and the green book and the small old house"
+    got = run(spark, [fine, wrong, f"{wrong} {long}"], [item, f"{item} {long}"])
     assert got[0, 0].windows == got[0, 0].item_windows
-    assert (1, 0) not in got
+    assert (1, 0) not in got and (1, 1) not in got and (2, 0) not in got
+    # Windows without a slot are verbatim, whatever the slots of others are.
+    assert 0 < got[2, 1].windows < got[2, 1].item_windows
+
+
+def test_any_space_and_any_joint_between_words(spark):
+    words = "while seven heavy boxes stand behind the old barn every farmer counts them twice before the long winter night begins again near quiet hills".split()
+    item = " ".join(words)
+    joints = ["\u00a0", "\u2009", "\u3000", "\u2014", "/", "-", " \u2013 ", "_", "\u2003\n", "*", "\u2028"]
+    mixed = [" ".join(words[:6]) + "\u00a0" + " ".join(words[6:]), item.replace("heavy boxes", "heavy/boxes").replace("old barn", "old\u2014barn"), item.replace("heavy", "hea\u00advy").replace("old", "\u200bold")]
+    got = run(spark, [j.join(words) for j in joints] + mixed, [item])
+    assert set(got) == {(i, 0) for i in range(len(joints) + len(mixed))}
+    assert {r.windows for r in got.values()} == {len(words) - 7}
+    back = run(spark, [item], [j.join(words) for j in joints])
+    assert len(back) == len(joints)
+
+
+def test_apostrophes_and_numbers_stay_one_word(spark):
+    item = "the farmer's 1,250 sheep don't cross the river that's 3.5 km wide unless the shepherd's dog isn't near"
+    got = run(spark, [item.replace("'", "’").replace("1,250", "1250"), item.replace("'", "").replace("1,250", "7")], [item])
+    assert {k: r.changed for k, r in got.items()} == {(0, 0): 0, (1, 0): 1}
 
 
 def test_one_conflict_leaves_the_rest_of_a_copy(spark):
@@ -57,7 +78,7 @@ def test_copies_in_another_case(spark):
 def test_units_and_numbers_are_typed(spark):
     item = "a train drives 30 km through the long valley and then 45 km along the wide river bank"
     got = run(spark, [item.replace("30 km", "99 miles").replace("45 km", "8 miles"), item.replace("30 km", "red"), item.replace("km", "miles", 1)], [item])
-    assert set(got) == {(0, 0)} or set(got) == {(0, 0), (1, 0)}
+    assert set(got) == {(0, 0), (1, 0)}  # (1, 0): eight words from "long valley" on, with their slot
     assert got[0, 0].changed == 3
 
 
@@ -67,10 +88,10 @@ def test_short_items(spark):
 
 
 def test_shuffled_join_gives_the_same(spark, monkeypatch):
-    docs = [" ".join(prose(i, 30)) + " " + ITEM for i in range(5)]
+    docs = [" ".join(prose(i, 30)) + " " + ITEM for i in range(5)] + [" ".join(prose(8, 20_000)) + " " + ITEM.upper(), "one", "", None, "one two"]
     one = run(spark, docs, [ITEM])
     monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
-    assert run(spark, docs, [ITEM]) == one and len(one) == 5
+    assert run(spark, docs, [ITEM]) == one and len(one) == 6
 
 
 def test_odd_rows(spark):
