@@ -18,6 +18,7 @@ import numpy as np
 
 #: Ids in a block: a number and its confidence fill 16 bits.
 BLOCK = 4096
+#: Blocks that are coded together.
 LANES = 1024
 _SCALE, _BITS = np.float32(65000), np.uint64(16)
 _LOW, _WORD = np.uint64(0xFFFFFFFF), np.uint64(32)
@@ -33,11 +34,6 @@ _STEPS = _STEPS.view(np.uint64)
 _TOP = np.uint64(56)
 
 
-def lanes(vocab: int) -> int:
-    """Blocks that are coded together; the encoder holds a number for every id of the vocabulary in each."""
-    return max(16, min(LANES, (128 << 20) // (2 * vocab)))
-
-
 class _Model:
     """What both sides know of each lane's block so far."""
 
@@ -118,12 +114,26 @@ def _parts(vocab: int) -> list[tuple[int, int]]:
     return [(0, vocab)] if vocab <= 1 << 16 else [(16, (vocab - 1 >> 16) + 1), (0, 1 << 16)]
 
 
+def _numbers(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row: each id's number by first appearance in the row, and whether it appears for the first time."""
+    numbers, first = np.zeros(ids.shape, np.int16), np.zeros(ids.shape, bool)
+    small = ids.astype(np.uint16) if ids.size and int(ids.max()) < 1 << 16 else ids  # sorted by digits
+    for row, out, new in zip(small, numbers, first):
+        order = np.argsort(row, kind="stable")
+        key = row[order]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        where = order[starts]
+        new[where] = True
+        out[order] = np.repeat((np.cumsum(new) - 1)[where], np.diff(np.append(starts, len(row))))
+    return numbers, first
+
+
 def encode(ids: np.ndarray, vocab: int) -> list[bytes]:
     """The code of each row of ids (all of one length, at most BLOCK)."""
     n, steps = ids.shape
     model, lane = _Model(n), np.arange(n)
-    ids = np.ascontiguousarray(ids.T).astype(np.int64)
-    number = np.zeros(vocab * n, np.uint16)
+    numbers, news = (np.ascontiguousarray(x.T) for x in _numbers(ids))
+    ids = np.ascontiguousarray(ids.T)
     low, span = np.zeros(n, np.uint64), np.full(n, ~np.uint64(0))
     out, at = np.zeros((n, 2 * steps + 8), np.uint32), np.zeros(n, np.int64)
 
@@ -139,19 +149,16 @@ def encode(ids: np.ndarray, vocab: int) -> list[bytes]:
             low[need], span[need] = lo << _WORD, s << _WORD
 
     for t in range(steps):
-        where = ids[t] * n + lane
-        x = number.take(where).astype(np.int64) - 1
-        new = x < 0
+        x, new = numbers[t].astype(np.int64), news[t]
         first, second = model.predict()
-        event = np.where(x == model.n2, 0, np.where(x == model.n1, 1, 2))
+        event = np.where((x == model.n2) & ~new, 0, np.where((x == model.n1) & ~new, 1, 2))
         r = span >> _BITS
         begin = np.where(event == 0, np.uint64(0), np.where(event == 1, first, second))
         low += r * begin
         span = r * (np.where(event == 0, first, np.where(event == 1, second, np.uint64(65536))) - begin)
         rows = np.flatnonzero(event == 2)
         if len(rows):
-            fresh, distinct, known = new[rows], model.distinct[rows], model.total[rows]
-            y = np.where(fresh, distinct, x[rows])
+            fresh, distinct, known, y = new[rows], model.distinct[rows], model.total[rows], x[rows]
             places = model.places(rows, y)
             r = span[rows] // (known + distinct + 1).astype(np.uint64)
             low[rows] += r * np.where(fresh, known, model.below(places)).astype(np.uint64)
@@ -162,13 +169,11 @@ def encode(ids: np.ndarray, vocab: int) -> list[bytes]:
             some = rows[fresh]
             if len(some):
                 for shift, total in _parts(vocab):
-                    part = (ids[t, some] >> shift) & 0xFFFF
+                    part = (ids[t, some].astype(np.int64) >> shift) & 0xFFFF
                     r = span[some] // np.uint64(total)
                     low[some] += r * part.astype(np.uint64)
                     span[some] = r
                     normalise(some)
-                number[where[some]] = y[fresh] + 1
-                x[rows] = y
             model.add(rows, places, fresh)
         model.learn(event, x)
     for shift in (_WORD, np.uint64(0)):

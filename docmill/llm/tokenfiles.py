@@ -51,7 +51,7 @@ class FileWriter:
     """Ids of one document after the other into a stream; holds one group of blocks."""
 
     def __init__(self, stream, vocab: int):
-        self.stream, self.vocab, self.group = stream, vocab, idcoder.lanes(vocab) * idcoder.BLOCK
+        self.stream, self.vocab, self.group = stream, vocab, idcoder.LANES * idcoder.BLOCK
         self.waiting: list[np.ndarray] = []
         self.held = self.n_ids = 0
         self.doc_ids: list[int | None] = []
@@ -130,7 +130,7 @@ def documents(stream, name: str, wanted=None) -> Iterator[tuple[int | None, int,
     some = index.lengths[chosen] > 0
     change = np.bincount(first[some], minlength=n_blocks + 1) - np.bincount(last[some] + 1, minlength=n_blocks + 1)
     needed = np.flatnonzero(np.cumsum(change)[:n_blocks] > 0)
-    group = idcoder.lanes(index.vocab)
+    group = idcoder.LANES
     have: dict[int, np.ndarray] = {}
     at = 0
     for lo in range(0, max(len(needed), 1), group):
@@ -310,29 +310,59 @@ def write_files(rows: DataFrame, path: str, vocab: int) -> None:
 
 
 class _Words:
-    """Ids of words that were met before; when there are too many, all are forgotten before the next text."""
+    """Ids of words that were met before; when there are too many, all are forgotten before the next text.
 
-    MOST, LONGEST = 1 << 18, 64
+    New words of a text go to the tokenizer in one call, with a special token
+    between them, so each is taken for itself; a word that holds this token goes alone.
+    """
 
-    def __init__(self, tokenizer):
-        self.tokenizer, self.known = tokenizer, {}
+    MOST, LONGEST = 1 << 19, 64
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def __init__(self, tokenizer):
+        self.tokenizer, self.known = tokenizer, {"": b""}
+        marks = [(i, t) for i, t in tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)]
+        self.mark_id, self.mark = (marks[-1][0], marks[-1][1].content) if marks else (-1, "")
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _new(self, words: list[str]) -> None:
+        alone = [w for w in words if not self.mark or self.mark in w]
+        words = [w for w in words if self.mark not in w] if self.mark else []
+        self.known.update((w, self._ids(w).tobytes()) for w in alone)
+        if words:
+            ids = self._ids(self.mark + self.mark.join(words) + self.mark)
+            cuts = (4 * np.flatnonzero(ids == self.mark_id)).tolist()
+            raw = ids.tobytes()
+            self.known.update(zip(words, [raw[i + 4 : j] for i, j in zip(cuts, cuts[1:])]))
 
     def encode(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
         if len(self.known) > self.MOST:
-            self.known = {}
-        rare = list({w for w in words if w not in self.known})
-        self.known.update(zip(rare, self._ids(rare)))
-        out = b"".join([self.known[w] for w in words])
+            self.known = {"": b""}
+        rare = list(set(words).difference(self.known))
+        if rare:
+            self._new(rare)
+        out = b"".join(map(self.known.__getitem__, words))
         for w in rare:
             if len(w) > self.LONGEST:
                 del self.known[w]
         return out
 
 
+#: Of this worker process, by the tokenizer's text: tasks that come later find the words of those before.
+_words: dict[str, _Words] = {}
+
+
+def _words_of(model: str) -> _Words:
+    from tokenizers import Tokenizer
+
+    if model not in _words:
+        _words.clear()
+        _words[model] = _Words(Tokenizer.from_str(model))
+    return _words[model]
+
+
 def tokenized(docs: DataFrame, tokenizer: str, end: int | None = 1, drops_space: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and ids (binary, 32 bits each) of every whole text, and after them ``end``; rows keep their order and partition.
 
@@ -350,14 +380,11 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int | None = 1, drops_space:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
-
-        own = Tokenizer.from_str(model.value)
-        words = _Words(own)
+        words = _words_of(model.value)
         for batch in batches:
             # One text after the other: their ids take more room than they do.
             texts = (t.as_py() or "" for t in batch.column(1))
-            made = [(words.encode(t) if drops_space else words._ids([t])[0]) + tail for t in texts]
+            made = [(words.encode(t) if drops_space else words._ids(t).tobytes()) + tail for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["doc_id", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(encode, "doc_id long, ids binary")

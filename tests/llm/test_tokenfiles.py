@@ -64,7 +64,6 @@ def opened(raw):
 
 def test_file_holds_documents_across_blocks(monkeypatch):
     monkeypatch.setattr(idcoder, "LANES", 2)
-    monkeypatch.setattr(idcoder, "lanes", lambda vocab: 2)
     r = random.Random(1)
     docs = [(None, [3]), (-5, []), (1, [r.randrange(300) for _ in range(5000)]), (2, []), (3, [r.randrange(300) for _ in range(23000)]), (3, [7]), (9, [])]
     raw = stream_of(docs)
@@ -151,3 +150,4 @@ def test_many_words_are_forgotten_and_looked_up_again(monkeypatch):
     texts = ["one two three four five", "one six " + "y" * 100, "", "seven one two"]
     assert [own.encode(t) for t in texts] == [x[:-1].tobytes() for x in whole_ids(texts)]
     assert "y" * 100 not in own.known
+    assert own.encode("a<|endoftext|>b c<|startoftext|> <|endoftext|>") == whole_ids(["a<|endoftext|>b c<|startoftext|> <|endoftext|>"])[0][:-1].tobytes()
