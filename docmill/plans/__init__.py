@@ -1,6 +1,6 @@
 """Named queries and the SQL that says the same."""
 
-from . import analytics, documents, records, relational, scalars
+from . import analytics, documents, placed, records, relational, scalars
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "analytics", "documents", "records", "relational", "scalars"]
+__all__ = ["ORACLES", "QUERIES", "analytics", "documents", "placed", "records", "relational", "scalars"]
