@@ -32,6 +32,12 @@ ERRORS = {"EXTRACTION_TIMEOUT": "Took too long", "MODEL_TIMEOUT": "Took too long
           "INVALID_CONFIGURATION": "The system is not set up correctly", "EXTRACTOR_HTTP_ERROR": "The reading service had a problem"}
 
 
+# What events are called.
+EVENTS = {"DOCUMENT_DISCOVERED": "New PDF found", "SESSION_CREATED": "Started work on the PDF", "SESSION_STARTED": "Work started", "SESSION_FAILED": "Work stopped with an error", "UNITS_CREATED": "PDF split into batches",
+          "UNIT_STARTED": "Started a batch of pages", "UNIT_COMPLETED": "Finished a batch of pages", "UNIT_FAILED": "A batch of pages failed", "UNIT_RETRY": "Retrying a batch of pages",
+          "RAW_RESPONSE_SAVED": "Saved the reading result", "RECORDS_SAVED": "Saved voter records", "RECORDS_SKIPPED": "Some records were skipped"}
+
+
 def code_word(code: Column, words: dict[str, str]) -> Column:
     """What a code stands for; one without an entry in lower case, with spaces and a capital letter."""
     known = F.create_map(*[F.lit(x) for p in words.items() for x in p])

@@ -20,6 +20,18 @@ def _clamp(x: Column) -> Column:
     return F.when(x < 0, 0.0).when(x > 1, 1.0).otherwise(x)
 
 
+def field_score(value: Column) -> Column:
+    """A field's score (text) from 0 to 1; 0 where it is unusable."""
+    return F.coalesce(_clamp(_finite(value.try_cast("double"))), F.lit(0.0))
+
+
+def confidence_of(word_mean: Column, field_mean: Column, coverage: Column) -> Column:
+    """Struct of confidence and coverage from a word mean (0 to 100) and the mean of field scores, either null; for where both are aggregated before."""
+    words = _clamp(_finite(word_mean.cast("double")) / 100)
+    both = F.when(words.isNotNull() & field_mean.isNotNull(), (words + field_mean) / 2).otherwise(F.coalesce(words, field_mean))
+    return F.struct(both.alias("confidence"), coverage.alias("coverage"))
+
+
 def confidence(word_mean: Column, fields: Column) -> Column:
     """Struct of confidence and coverage (0 to 1) from a word mean (0 to 100) and a map of field scores as text.
 
@@ -27,12 +39,15 @@ def confidence(word_mean: Column, fields: Column) -> Column:
     stands alone, none gives null. Coverage is the share of fields above 0,
     null without fields.
     """
-    words = _clamp(_finite(word_mean.cast("double")) / 100)
-    scores = F.transform(F.map_values(fields), lambda v: F.coalesce(_clamp(_finite(v.try_cast("double"))), F.lit(0.0)))
-    n = F.when(F.size(scores) > 0, F.size(scores))
-    mean = F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) / n
-    both = F.when(words.isNotNull() & mean.isNotNull(), (words + mean) / 2).otherwise(F.coalesce(words, mean))
-    return F.struct(both.alias("confidence"), (F.size(F.filter(scores, lambda x: x > 0)) / n).alias("coverage"))
+
+    def of(scores: Column) -> Column:
+        n = F.when(F.size(scores) > 0, F.size(scores))
+        sums = F.aggregate(scores, F.struct(F.lit(0.0).alias("a"), F.lit(0).alias("b")), lambda s, x: F.struct((s["a"] + x).alias("a"), (s["b"] + (x > 0).cast("int")).alias("b")))
+        return F.transform(F.array(sums), lambda s: F.struct((s["a"] / n).alias("mean"), (s["b"] / n).alias("coverage")))[0]
+
+    # Scores, and then their sums, are made once and used several times.
+    made = F.transform(F.array(F.transform(F.map_values(fields), field_score)), of)[0]
+    return F.transform(F.array(made), lambda m: confidence_of(word_mean, m["mean"], m["coverage"]))[0]
 
 
 def stored_confidence(raw: Column) -> Column:

@@ -22,7 +22,7 @@ FUNCTIONS: dict[str, tuple[str, Callable[..., Column]]] = {
     "has_devanagari": ("value STRING", text.has_devanagari), "cut_80": ("value STRING", text.cut), "squash": ("value STRING", text.squash), "label_key": ("value STRING", text.label),
     "edits_up_to_4": ("a STRING, b STRING", lambda a, b: text.distance_within(a, b, 4)), "label_matches": ("have STRING, want STRING", text.label_matches), "safe_file_name": ("value STRING", text.safe_file_name),
     "gender_bucket": ("value STRING", names.gender_bucket), "relation_key": ("value STRING", names.relation_key), "state_word": ("state STRING", display.state_word),
-    "error_word": ("code STRING", lambda c: display.code_word(c, display.ERRORS)), "duration_words": ("ms BIGINT", display.duration), "file_size": ("size BIGINT", display.file_size),
+    "error_word": ("code STRING", lambda c: display.code_word(c, display.ERRORS)), "event_word": ("code STRING", lambda c: display.code_word(c, display.EVENTS)), "duration_words": ("ms BIGINT", display.duration), "file_size": ("size BIGINT", display.file_size),
     "local_time": ("ts TIMESTAMP", display.local_time), "backoff_seconds": ("attempt INT", lambda a: display.backoff(a, 30.0)), "near_point": ("lat DOUBLE, lon DOUBLE, lat0 DOUBLE, lon0 DOUBLE", geo.near_point),
     "record_hash": ("session STRING, page INT, line INT", scoring.record_hash), "repaired_id": ("value STRING", scoring.repaired_id),
 }

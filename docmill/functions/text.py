@@ -34,8 +34,12 @@ def fold_digits(value: Column) -> Column:
     return F.translate(value, DEVANAGARI_DIGITS, "0123456789")
 
 
-# Letters of another alphabet that are read for Devanagari ones.
-LOOKALIKES = dict(zip("А Б В Г Д Е Ж З И Й К Л М Н О П Р С Т У Ф Х Ц".split(), "अ भ व ग द ए झ ज इ य क ल म न ओ प र स त उ फ ह थ".split())) | {"ю": "य", "я": "य"}
+# Capital letters of another alphabet, and the Devanagari letters and signs that they are read for; small letters are read like them.
+LOOKALIKES = {
+    "А": "अ", "Б": "भ", "В": "व", "Г": "ग", "Д": "द", "Е": "ए", "Ж": "झ", "З": "ज", "И": "इ", "Й": "य", "К": "क", "Л": "ल", "М": "म", "Н": "न", "О": "ओ", "П": "प",
+    "Р": "र", "С": "स", "Т": "त", "У": "उ", "Ф": "फ", "Х": "ह", "Ц": "थ", "Ч": "च", "Ш": "ष", "Щ": "श", "Ъ": "\u094d", "Ы": "\u094f", "Ь": "\u094d", "Э": "ए", "Ю": "य", "Я": "य",
+}
+LOOKALIKES |= {capital.lower(): letter for capital, letter in LOOKALIKES.items()}
 STRESS_MARKS, ANUSVARA = "\u0951\u0952", "\u0902"
 
 

@@ -20,7 +20,7 @@ def accepted_pages(hits: DataFrame, page: list[str], leading: Column, least: int
 
 
 def layouts(words: DataFrame, page: list[str]) -> DataFrame:
-    """Per page: hits, columns, rows and kind (none, single, column, sparse, grid) of its ID words at x and y."""
+    """Per page with ID words: hits, columns, rows and kind (single, column, sparse, grid) of their places at x and y; ``placed.layout_kinds`` knows pages without any."""
     columns = clustered(words, page, "x", COLUMN_GAP).groupBy(*page).agg(F.count("*").alias("columns"))
     rows = clustered(words, page, "y", ROW_GAP).groupBy(*page).agg(F.count("*").alias("rows"))
     out = words.groupBy(*page).agg(F.count("*").alias("hits")).join(columns, page, "left").join(rows, page, "left")

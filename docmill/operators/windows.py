@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 from pyspark.sql.window import Window
 
 
@@ -33,10 +34,15 @@ def rank_with_ties_low(order: str, group: list[str]) -> Column:
 def places(rows: DataFrame, value: str, unique: str) -> DataFrame:
     """rows with their place (from 1) in the order of value, nulls last, and then unique.
 
-    Only the counts of distinct values meet in one task; rows are numbered
-    among those of their value.
+    Numbers are numbered by shares of their range (see ``numbered``). Of other
+    values, the counts of distinct ones meet in one task, and rows are numbered among those of their value.
     """
     nulls = F.col(value).isNull()
+    if all(isinstance(rows.schema[c].dataType, NumericType) for c in (value, unique)):
+        n = rows.agg(F.count(value).alias("__n"))
+        first = numbered(rows.where(~nulls), value, unique, "place")
+        last = numbered(rows.where(nulls), unique, unique, "place").crossJoin(F.broadcast(n)).withColumn("place", F.col("place") + F.col("__n")).drop("__n")
+        return first.unionByName(last)
     counts = rows.groupBy(value).agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.orderBy(nulls, value).rowsBetween(Window.unboundedPreceding, -1))
     base = counts.select(F.col(value).alias("__v"), F.coalesce(before, F.lit(0)).alias("__base"))

@@ -211,10 +211,11 @@ WITH f AS (SELECT l_orderkey, list(least(1.0, l_discount * 10)) AS s, avg(least(
 SELECT o_orderkey, round(CASE WHEN o_orderkey % 3 = 0 AND m IS NOT NULL THEN m WHEN m IS NULL AND o_orderkey % 3 = 0 THEN NULL WHEN m IS NULL THEN w ELSE (w + m) / 2 END, 6) AS confidence, round(c, 6) AS coverage
 FROM (SELECT o_orderkey, (o_custkey % 101) / 100.0 AS w FROM orders) LEFT JOIN f ON l_orderkey = o_orderkey""")
 def confidence_score(t):
-    scores = t.lineitem.groupBy("l_orderkey").agg(F.collect_list((F.col("l_discount") * 10).cast("string")).alias("s"))
-    as_map = F.map_from_arrays(F.transform(F.sequence(F.lit(1), F.size("s")), lambda i: i.cast("string")), F.col("s"))
-    rows = t.orders.join(scores, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    got = scoring.confidence(F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey") % 101), F.when(F.col("s").isNotNull(), as_map))
+    # The scores of an order are aggregated where they are; only three numbers of it are joined.
+    scored = t.lineitem.select("l_orderkey", scoring.field_score((F.col("l_discount") * 10).cast("string")).alias("s"))
+    fields = scored.groupBy("l_orderkey").agg(F.avg("s").alias("mean"), (F.count_if(F.col("s") > 0) / F.count("*")).alias("share"))
+    rows = t.orders.join(fields, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    got = scoring.confidence_of(F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey") % 101), F.col("mean"), F.col("share"))
     return rows.select("o_orderkey", got.alias("g")).select("o_orderkey", F.round("g.confidence", 6).alias("confidence"), F.round("g.coverage", 6).alias("coverage"))
 
 
@@ -254,9 +255,11 @@ def page_accept(t):
     return accepted_pages(t.lineitem.where("l_returnflag <> 'R'"), ["l_orderkey"], F.col("l_linenumber") == 1).select("l_orderkey", "hits", "accepted")
 
 
-@query()
+@query("""
+WITH w AS (SELECT l_orderkey AS page, (l_linenumber - 1) % 3 AS c, (l_linenumber - 1) // 3 AS r FROM lineitem), g AS (SELECT page, count(*) AS hits, count(DISTINCT c) AS columns, count(DISTINCT r) AS rows FROM w GROUP BY 1)
+SELECT page, hits, columns, rows, CASE WHEN hits = 1 THEN 'single' WHEN columns = 1 THEN 'column' WHEN hits >= 6 AND hits / (columns * rows) >= 0.6 THEN 'grid' ELSE 'sparse' END AS kind FROM g""")
 def classify_layout(t):
-    """Layout kinds of pages of invented ID boxes; the rule runs over clusters, which tests hold against plain Python."""
+    """Layout kinds of pages of invented ID boxes, which stand so far apart that each place is a cluster."""
     from ..operators.layout import layouts
 
     words = t.lineitem.select(F.col("l_orderkey").alias("page"), ((F.col("l_linenumber") - 1) % 3 * 190.0 + 40).alias("x"), (F.floor((F.col("l_linenumber") - 1) / 3) * 90.0 + 60).alias("y"))

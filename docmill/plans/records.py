@@ -82,10 +82,10 @@ def delete_children(t):
     return changes.without(t.orders, chosen.where("NOT refused"), "c_custkey", "o_custkey").select("o_orderkey")
 
 
-@query("SELECT event_id, CASE WHEN event_type = 'error' THEN 'Could not read the PDF' WHEN event_type = 'click' THEN 'Unit started' ELSE concat(upper(event_type[1]), event_type[2:]) END AS word FROM events")
+@query("SELECT event_id, CASE WHEN event_type = 'error' THEN 'Could not read the PDF' WHEN event_type = 'click' THEN 'Started a batch of pages' ELSE concat(upper(event_type[1]), event_type[2:]) END AS word FROM events")
 def code_words(t):
     code = F.when(F.col("event_type") == "error", "EXTRACTION_FAILED").when(F.col("event_type") == "click", "UNIT_STARTED").otherwise(F.upper("event_type"))
-    return t.events.select("event_id", display.code_word(code, display.ERRORS).alias("word"))
+    return t.events.select("event_id", display.code_word(code, display.ERRORS | display.EVENTS).alias("word"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_size END AS lenient, p_partkey % 5 = 0 AND p_partkey % 2 = 0 AS bad, CASE WHEN p_partkey % 5 <> 0 THEN p_size::VARCHAR WHEN p_partkey % 2 = 0 THEN 'x' || p_size END AS trimmed FROM part")
