@@ -107,29 +107,68 @@ def cover_facts(text: Column) -> Column:
     )
 
 
+def _fold(name: Column) -> Column:
+    return F.regexp_replace(F.translate(F.coalesce(name, F.lit("")), "ँ", ""), "[^ऀ-ॿ0-9]", "")
+
+
+def _grams(text: Column, n: int, kind: str) -> Column:
+    """Runs of n characters after a letter for their kind, each with the number of equal ones before it, so that common ones count as often as both texts have them."""
+    runs = F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substr(text, i, F.lit(n)))
+    every = F.when(F.length(text) >= n, runs).otherwise(F.array().cast("array<string>"))
+    return F.transform(F.array(every), lambda e: F.transform(e, lambda g, i: F.concat(F.lit(kind), g, F.size(F.filter(F.slice(e, F.lit(1), i), lambda h: h == g)).cast("string"))))[0]
+
+
+#: Folded names of more characters than this are long: two of them that are alike share pairs of characters.
+SHORT = 3
+
+
+def alike_names(reads: DataFrame, listed: DataFrame, group: str, least: float = 0.82) -> DataFrame:
+    """Pairs (group, read, name, sure) of distinct texts of reads (group, read) and listed (group, name) that can be equal, contained or alike to ``least``.
+
+    Texts meet through an inverted index of their characters and pairs of them, not all with all.
+    Where the ratio 2 * m / t of m matched characters to t in both is ``least`` or
+    more, t - 2 * m characters at most aren't matched, and so many and one more
+    blocks can have been matched, which hold 3 * m - t - 1 pairs of neighbours or more; pairs of
+    texts with fewer, or of too unlike lengths, aren't kept. A text that holds the other
+    is ``sure``. Nothing that is alike is lost.
+    """
+    long = lambda c: F.length(c) > SHORT
+    one, two = F.col("read"), F.col("name")
+    mine = reads.where(F.length("read") > 0).distinct().withColumn("__g", F.when(long(one), F.concat(_grams(one, 2, "p"), _grams(one, 1, "s"))).otherwise(_grams(one, 1, "c")))
+    theirs = listed.where(F.length("name") > 0).distinct().withColumn("__g", F.concat(_grams(two, 2, "p"), _grams(two, 1, "c"), F.when(~long(two), _grams(two, 1, "s")).otherwise(F.array().cast("array<string>"))))
+    met = mine.select(group, "read", F.explode("__g").alias("__g")).join(theirs.select(group, "name", F.explode("__g").alias("__g")), [group, "__g"])
+    shared = met.groupBy(group, "read", "name").agg(F.count_if(F.col("__g").startswith("p")).alias("__n"))
+    t, sure = F.length("read") + F.length("name"), F.contains(two, one) | F.contains(one, two)
+    sized = 2 * F.least(F.length("read"), F.length("name")) >= least * t
+    enough = (F.col("__n") >= F.ceil((1.5 * least - 1) * t - 1 - 1e-9)) | ~long(one) | ~long(two)
+    return shared.where(sure | (sized & enough)).select(group, "read", "name", sure.alias("sure"))
+
+
 def page_sections(pages: DataFrame, entries: DataFrame, document: str, least: float = 0.82) -> DataFrame:
     """Pages (document, page, code, name) with the section of the cover's list (document, code, name).
 
     A page's code counts if the list has it. Else the name does, folded to
     Devanagari letters and digits, where exactly one entry equals it, contains
     it, is contained in it, or is alike to ``least``. Else the name stays as
-    read, with a reason.
+    read, with a reason. Each name that a document has is matched once, however
+    many pages have it, and the ratio is made only for pairs that ``alike_names`` leaves open.
     """
-    fold = lambda c: F.regexp_replace(F.translate(F.coalesce(c, F.lit("")), "ँ", ""), "[^ऀ-ॿ0-9]", "")
-    listed = entries.where(F.trim(F.coalesce("name", F.lit(""))) != "").select(document, F.col("code").alias("__code"), F.col("name").alias("__name"), fold(F.col("name")).alias("__fold"))
-    keyed = pages.withColumn("__read", fold(F.col("name")))
-    both = keyed.join(listed, document, "left")
-    close = (F.col("__read") != "") & (F.contains("__fold", "__read") | F.contains("__read", "__fold") | (ratio(F.col("__fold"), F.col("__read")) >= least))
-    found = both.groupBy(document, "page", "code", "name").agg(
-        F.max(F.when(F.col("__code") == F.col("code"), F.col("__name"))).alias("__by_code"),
-        F.count_if(F.coalesce(close, F.lit(False))).alias("__n"), F.max(F.when(close, F.struct("__code", "__name"))).alias("__near"),
-    )
-    one = F.col("__n") == 1
+    listed = entries.where(F.trim(F.coalesce("name", F.lit(""))) != "").select(document, F.col("code").alias("__code"), F.col("name").alias("__name"), _fold(F.col("name")).alias("__fold"))
+    by_code = listed.groupBy(document, F.col("__code").alias("code")).agg(F.max("__name").alias("__by_code"))
+    keyed = pages.withColumn("__read", _fold(F.col("name"))).join(by_code, [document, "code"], "left")
+    open_ = keyed.where("__by_code IS NULL").select(document, F.col("__read").alias("read"))
+    pairs = alike_names(open_, listed.select(document, F.col("__fold").alias("name")), document, least)
+    sure = pairs.where("sure")
+    rated = pairs.where("NOT sure").where(ratio(F.col("name"), F.col("read")) >= least)
+    alike = sure.unionByName(rated).select(document, F.col("read").alias("__read"), F.col("name").alias("__fold"))
+    near = alike.join(listed, [document, "__fold"]).groupBy(document, "__read").agg(F.count("*").alias("__n"), F.max(F.struct("__code", "__name")).alias("__near"))
+    found = keyed.join(near, [document, "__read"], "left")
+    known, one = F.col("__by_code").isNotNull(), F.coalesce(F.col("__n") == 1, F.lit(False))
     return found.select(
         document, "page",
-        F.when(F.col("__by_code").isNotNull(), F.col("code")).when(one, F.col("__near.__code")).otherwise("").alias("code"),
-        F.when(F.col("__by_code").isNotNull(), F.col("__by_code")).when(one, F.col("__near.__name")).otherwise(F.col("name")).alias("name"),
-        F.when(F.col("__by_code").isNull() & ~one, "not_in_the_cover_list").alias("reason"),
+        F.when(known, F.col("code")).when(one, F.col("__near.__code")).otherwise("").alias("code"),
+        F.when(known, F.col("__by_code")).when(one, F.col("__near.__name")).otherwise(F.col("name")).alias("name"),
+        F.when(~known & ~one, "not_in_the_cover_list").alias("reason"),
     )
 
 
