@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import scratch
 from ..functions import display, geo, names, rolls, scoring, text
 from ..operators import browse, changes, header_fill, progress
 from ..sources import files
@@ -75,6 +76,17 @@ def update_by_keys(t):
     return changes.updated(t.orders, cut, ["o_custkey"], ["o_orderstatus"]).select("o_orderkey", "o_orderstatus")
 
 
+@query("SELECT o_orderkey, o_orderstatus, CASE WHEN c_custkey IS NULL THEN o_totalprice ELSE 0 END AS o_totalprice FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_acctbal < 0 AND o_orderstatus <> 'F'")
+def rewrite_changed(t):
+    """Orders by status, where prices of some customers' orders change; partitions without such orders keep their files."""
+    path = scratch.new_path(t.spark, "orders")
+    t.orders.write.partitionBy("o_orderstatus").parquet(path)
+    cut = t.customer.where("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
+    changed = t.orders.where("o_orderstatus <> 'F'").join(cut, "o_custkey").select("o_orderkey", F.lit(0.0).alias("o_totalprice"))
+    changes.rewrite_changed(t.spark, path, changed, ["o_orderkey"], ["o_totalprice"], "o_orderstatus")
+    return t.spark.read.parquet(path).select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
 @query("""WITH p AS (SELECT c_custkey, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P') AS refused FROM customer WHERE c_nationkey < 5)
 SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM p WHERE NOT refused)""")
 def delete_children(t):
