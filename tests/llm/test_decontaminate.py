@@ -1,3 +1,7 @@
+import random
+
+import regex
+
 from docmill.llm import decontaminate
 
 from .helpers import odd_docs, prose
@@ -132,3 +136,85 @@ def test_suspects_lose_nothing(spark, monkeypatch):
     some = run(spark, docs, items)
     monkeypatch.setattr(decontaminate, "_suspects", lambda own, *a: a[-1].save(own.select("doc_id").distinct(), "suspects"))
     assert run(spark, docs, items) == some and len(some) > 40
+
+
+def plain_words(text):
+    joined = regex.sub(r"[\p{Cf}'’‘ʼ]|(?<=\p{Nd})[.,](?=\p{Nd})", "", text or "")
+    return regex.sub(r"[^\p{L}\p{M}\p{N}\s\p{Z}]+", " ", joined).split()
+
+
+def plain_template(text):
+    """(slots before it, literal word) for each literal word."""
+    out, slots = [], []
+    for w in plain_words(text):
+        if regex.fullmatch(r"\p{Nd}+\p{Ll}{0,4}", w):
+            slots.append("n" + w)
+        elif slots and slots[-1][0] == "n" and w in decontaminate.UNITS.split():
+            slots.append("u" + w)
+        elif regex.fullmatch(r"\p{Lu}[\p{L}\p{M}]+", w):
+            slots.append("p" + w)
+        else:
+            out.append(([x.lower() for x in slots], w.lower()))
+            slots = []
+    return out
+
+
+def plain_windows(words, least=4, item=False):
+    n = len(words)
+    size = min(n, 8) if item else 8
+    return [] if n < least or size > n else [(i, size) for i in range(n - size + 1)]
+
+
+def plain_leak(doc, item):
+    """Whether a document has a window of the item with consistent slots, or a plain one in another case; by comparing every two windows."""
+    d, t = plain_template(doc), plain_template(item)
+    kind = lambda w: (w[0][1], *[(tuple(s[0] for s in slots), x) for slots, x in w[1:]])
+    runs = {}
+    for i, size in plain_windows(t, item=True):
+        for j in range(len(d) - size + 1):
+            a, b = t[i : i + size], d[j : j + size]
+            if kind(a) == kind(b):
+                values = [(x, y) for (sa, _), (sb, _) in zip(a[1:], b[1:]) for x, y in zip(sa, sb)]
+                runs.setdefault(j - i, []).append(values)
+    for found in runs.values():
+        pairs = {v for values in found for v in values}
+        bound = [(x, y) for x, y in pairs if x[0] == "u" or (x[0] == "p" and x != y)]
+        if len(bound) == len({x for x, _ in bound}) or any(not values for values in found):
+            return True
+    d, t = plain_words(doc), plain_words(item)
+    fold = lambda ws: [w.lower().replace("ß", "ss") for w in ws]
+    return any(fold(t[i : i + size]) == fold(d[j : j + size]) and t[i : i + size] != d[j : j + size] for i, size in plain_windows(t, item=True) for j in range(len(d) - size + 1))
+
+
+def test_against_every_two_windows(spark):
+    r = random.Random(9)
+    names, units = ["Tom", "Anna", "Ärzte", "McKay", "Bo"], ["km", "miles", "kg", "percent"]
+
+    def prose_of(k, n):
+        out = []
+        while len(out) < n:
+            out += r.choices([[f"v{chr(97 + r.randrange(k))}"], [r.choice(names)], [str(r.randrange(30)), r.choice(units)], [f"{r.randrange(9)},{r.randrange(100, 999)}"], ["straße"], ["don't"]], [12, 3, 2, 1, 1, 1])[0]
+        return out
+
+    items = [prose_of(12, r.choice([3, 5, 7, 9, 14, 25])) for _ in range(14)]
+    joint = ["%s %s", "%s\u00a0%s", "%s — %s", "%s/%s", "%s, %s"]
+    docs = []
+    for _ in range(160):
+        own = prose_of(12, 10)
+        part = list(r.choice(items))
+        how = r.random()
+        if how < 0.35:  # other names, numbers and units, some of them in contradiction
+            change = {x: r.choice(names + units) if r.random() < 0.5 else x for x in set(part)}
+            part = [change[x] if x in names and change[x] in names or x in units and change[x] in units else x for x in part]
+            part = [r.choice(names) if x in names and r.random() < 0.2 else r.choice(units) if x in units and r.random() < 0.2 else str(r.randrange(50)) if x.isdigit() else x for x in part]
+        elif how < 0.5:
+            part = [x.upper() if r.random() < 0.7 else x.title() for x in part]
+        elif how < 0.7:
+            part = part[: r.randrange(len(part) + 1)]
+        text = " ".join(own[:5]) + " "
+        for x in part:
+            text = r.choice(joint) % (text.rstrip(" "), x)
+        docs.append(text + " " + " ".join(own[5:]))
+    items = [" ".join(x) for x in items]
+    want = {(i, k) for i, d in enumerate(docs) for k, t in enumerate(items) if plain_leak(d, t)}
+    assert set(run(spark, docs, items)) == want and 60 < len(want) < len(docs) * len(items) / 4

@@ -1,4 +1,6 @@
+import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -109,3 +111,78 @@ def test_one_text_of_a_repeated_id(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "fit", lambda raw, y: taken.append((raw, y.tolist())))
     toxicity.learn(docs, labels)
     assert taken == [([f"text {i}".encode() for i in range(20)], [i % 2 for i in range(20)])]
+
+
+def plain_sentences(text):
+    """Sets of features (k, bytes) of the sentences of a text that have words."""
+    out = []
+    for part in re.split(rb"[.!?\n]", (text or "").encode()):
+        words = re.findall(rb"[0-9a-z\x80-\xff]+", bytes(b + 32 if 65 <= b <= 90 else b for b in part))
+        if words:
+            out.append({(k, w[:h]) for w in words for k, h in enumerate((None, *toxicity.HEADS))})
+    return out
+
+
+def plain_fit(texts, labels):
+    """The fit of word weights in plain Python: features that count, then the gradient of the documents' log loss under noisy-or."""
+    docs = [plain_sentences(t) for t in texts]
+    share = sum(labels) / len(labels)
+    every = sorted({f for d in docs for s in d for f in s})
+    in_sentences = {f: sum(f in s for d in docs for s in d) for f in every}
+    seen = {f: [y for d, y in zip(docs, labels) if any(f in s for s in d)] for f in every}
+    vocabulary = [f for f in every if in_sentences[f] >= toxicity.LEAST_SENTENCES and sum(seen[f]) >= 2 and sum(seen[f]) >= toxicity.LIFT * len(seen[f]) * share]
+    x, bias = dict.fromkeys(vocabulary, 0.0), -6.0
+    m1, m2 = dict.fromkeys([*vocabulary, None], 0.0), dict.fromkeys([*vocabulary, None], 0.0)
+    for step in range(1, toxicity.STEPS + 1):
+        g = dict.fromkeys([*vocabulary, None], 0.0)
+        for d, y in zip(docs, labels):
+            p = [1 / (1 + math.exp(-bias - sum(x[f] for f in s if f in x))) for s in d]
+            clean = math.prod(1 - q for q in p)
+            for s, q in zip(d, p):
+                # d loss / d z: q where the document is clean, and -q * clean / (1 - clean) where it is toxic.
+                dz = (q if not y else -q * clean / max(1 - clean, 1e-9)) / len(labels)
+                g[None] += dz
+                for f in s:
+                    if f in x:
+                        g[f] += dz
+        rate = toxicity.RATE * min(1.0, 3 * (1 - step / (toxicity.STEPS + 1)))
+        for f in g:
+            g[f] += toxicity.DECAY * x[f] if f is not None else 0
+            m1[f], m2[f] = 0.9 * m1[f] + 0.1 * g[f], 0.999 * m2[f] + 0.001 * g[f] ** 2
+            scale = math.sqrt(m2[f] / (1 - 0.999**step)) + 1e-8
+            move = rate * (m1[f] / (1 - 0.9**step)) / scale
+            if f is None:
+                bias -= move
+            else:
+                w = x[f] - move
+                x[f] = math.copysign(max(abs(w) - rate * toxicity.SPARSITY / scale, 0), w)
+    return {f: w for f, w in x.items() if abs(w) > 1e-3}, bias
+
+
+def hash_of(feature):
+    k, value = feature
+    h = tk.hash_runs(np.frombuffer(value, np.uint8), np.array([0]), np.array([len(value)]))[0]
+    return int(h ^ np.uint64(k))
+
+
+def test_weights_and_scores_equal_plain_python(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "STEPS", 60)
+    monkeypatch.setattr(toxicity, "FIT_SLICE", 500)  # many slices
+    rows = corpus(80, seed=4) + [(80, "", 0), (81, "...!", 1), (82, "Ärger über NASTYISH word. Vileword!\nVileword again", 1)]
+    texts, labels = [t for _, t, _ in rows], [y for *_, y in rows]
+    model = toxicity.fit(tk.encode(texts), np.array(labels))
+    weights, bias = plain_fit(texts, labels)
+    assert weights and math.isclose(model.bias, bias, rel_tol=1e-6)
+    got = dict(zip(model.vocabulary.tolist(), model.weights.tolist()))
+    want = {hash_of(f): w for f, w in weights.items()}
+    assert set(got) == set(want) and all(math.isclose(got[h], want[h], rel_tol=1e-5, abs_tol=1e-7) for h in want)
+
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(90, None)], "doc_id long, text string")
+    scored = {r.doc_id: r for r in toxicity.score(docs, model, spans=True, least=0.3).collect()}
+    for i, t, _ in [*rows, (90, None, 0)]:
+        own = plain_sentences(t)
+        p = [1 / (1 + math.exp(-bias - sum(weights.get(f, 0.0) for f in s))) for s in own]
+        assert math.isclose(scored[i].score, 1 - math.prod(1 - q for q in p), rel_tol=1e-6, abs_tol=1e-9)
+        located = [q for q in p if q >= 0.3]
+        assert scored[i].n_sentences == len(own) and len(located) == len(scored[i].spans)
+        assert all(math.isclose(q, s.score, rel_tol=1e-6) for q, s in zip(located, scored[i].spans))
