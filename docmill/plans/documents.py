@@ -219,11 +219,13 @@ def confidence_score(t):
     return rows.select("o_orderkey", got.alias("g")).select("o_orderkey", F.round("g.confidence", 6).alias("confidence"), F.round("g.coverage", 6).alias("coverage"))
 
 
-@query("SELECT 'Kate Ann Bell' AS name, 'Kate' AS first, 'Ann' AS middle, 'Bell' AS last UNION ALL SELECT 'Kate', 'Kate', '—', '—' UNION ALL SELECT ' Kate  Bell ', 'Kate', '—', 'Bell' UNION ALL SELECT '', '—', '—', '—'")
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN '—' ELSE p_brand END AS first, CASE WHEN p_partkey % 4 = 3 THEN p_type || ' x' ELSE '—' END AS middle, CASE WHEN p_partkey % 4 >= 2 THEN 'Bell' || p_size ELSE '—' END AS last FROM part""")
 def split_names(t):
-    rows = t.spark.createDataFrame([("Kate Ann Bell",), ("Kate",), (" Kate  Bell ",), ("",)], "name string")
-    parts = rows.select("name", names.parts(F.col("name")).alias("p"))
-    return parts.select("name", *[names.cell(F.col(f"p.{c}")).alias(c) for c in ("first", "middle", "last")])
+    k = F.col("p_partkey") % 4
+    last = F.concat(F.lit("Bell"), F.col("p_size").cast("string"))
+    name = F.when(k == 0, "  ").when(k == 1, F.concat(F.lit(" "), F.col("p_brand"))).when(k == 2, F.concat_ws("   ", "p_brand", last)).otherwise(F.concat_ws(" ", "p_brand", "p_type", F.lit(" x"), last))
+    parts = t.part.select("p_partkey", names.parts(name).alias("p"))
+    return parts.select("p_partkey", *[names.cell(F.col(f"p.{c}")).alias(c) for c in ("first", "middle", "last")])
 
 
 @query("""SELECT * FROM (VALUES ('ok', NULL, NULL), ('refused', 'MODEL_TIMEOUT', true), ('refused_final', 'BAD_FILE', false), ('server', 'EXTRACTION_SERVICE_UNAVAILABLE', true), ('client', 'INVALID_RESPONSE', false),

@@ -10,8 +10,16 @@ from .registry import query
 from .relational import AS_OF
 
 
-def _rows(t, schema: str, *rows):
-    return t.spark.createDataFrame([r if isinstance(r, tuple) else (r,) for r in rows], schema)
+def _dealt(t, names: str, rows: list[tuple]):
+    """Each customer with one of the rows, by its key."""
+    own = t.spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "__i int, " + ", ".join(f"{n} string" for n in names.split()))
+    return t.customer.select("c_custkey").join(F.broadcast(own), F.col("c_custkey") % len(rows) == F.col("__i")).drop("__i")
+
+
+def _dealt_sql(names: str, rows: list[tuple]) -> str:
+    text = lambda x: "NULL" if x is None else "'" + x.replace("'", "''") + "'"
+    values = ", ".join(f"({i}, {', '.join(map(text, r))})" for i, r in enumerate(rows))
+    return f"SELECT c_custkey, {', '.join(names.split())} FROM customer JOIN (VALUES {values}) v(i, {', '.join(names.split())}) ON i = c_custkey % {len(rows)}"
 
 
 @query("SELECT event_id, strftime(ts + INTERVAL 330 MINUTE, '%d %b %Y, %H:%M:%S') || ' IST' AS shown FROM events")
@@ -121,49 +129,77 @@ def location_scores(t):
     return t.customer.select("c_custkey", geo.location_score(k % 2 == 0, F.when(k % 3 == 0, True), F.col("c_mktsegment") == "BUILDING").alias("score"))
 
 
-@query("SELECT * FROM (VALUES ('ABC12S45', 'ABC12545'), ('up/79/389/0654035', 'UP/79/389/0654035'), ('UP793890654035', 'UP/79/389/0654035'), ('AB', 'AB'), ('HR-1234567', 'HR1234567')) v(raw, repaired)")
+@query("""SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'ABC' || lpad(c_custkey::VARCHAR, 7, '0') ELSE 'UP/79/389/' || lpad(c_custkey::VARCHAR, 7, '0') END AS repaired FROM customer""")
 def repaired_ids(t):
-    return _rows(t, "raw string", "ABC12S45", "up/79/389/0654035", "UP793890654035", "AB", "HR-1234567").select("raw", scoring.repaired_id(F.col("raw")).alias("repaired"))
+    digits = F.lpad(F.col("c_custkey").cast("string"), 7, "0")
+    k = F.col("c_custkey") % 3
+    read = F.when(k == 0, F.concat(F.lit("ABC"), F.translate(digits, "5", "S"))).when(k == 1, F.concat(F.lit(" up/79/389/"), digits)).otherwise(F.concat(F.lit("UP79389"), digits))
+    return t.customer.select("c_custkey", scoring.repaired_id(read).alias("repaired"))
 
 
-@query("SELECT * FROM (VALUES ('2,4-6', '2 4 5 6'), ('6-4', NULL), ('x', NULL), ('3, 3', '3')) v(spec, pages)")
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 11 <> 0 THEN concat_ws(' ', c_custkey % 7 + 20, c_custkey % 5 + 1, c_custkey % 5 + 2, c_custkey % 5 + 3) END AS pages FROM customer""")
 def page_lists(t):
-    return _rows(t, "spec string", "2,4-6", "6-4", "x", "3, 3").select("spec", F.array_join(F.transform(display.pages(F.col("spec")), lambda p: p.cast("string")), " ").alias("pages"))
+    k = F.col("c_custkey")
+    spec = F.concat_ws(",", (k % 7 + 20).cast("string"), F.concat((k % 5 + 1).cast("string"), F.lit(" - "), (k % 5 + 3).cast("string")), F.when(k % 11 == 0, "6-4").otherwise((k % 7 + 20).cast("string")))
+    return t.customer.select("c_custkey", F.array_join(F.transform(display.pages(spec), lambda p: p.cast("string")), " ").alias("pages"))
+
 
+_GENDERS = [("तृतीय लिंग", "third", "Third Gender"), ("महिला", "female", "Female"), ("पुरुष", "male", "Male"), ("?", None, None)]
 
-@query("SELECT * FROM (VALUES ('तृतीय लिंग', 'third', 'Third Gender'), ('महिला', 'female', 'Female'), ('पुरुष', 'male', 'Male'), ('?', NULL, NULL)) v(word, bucket, english)")
+
+@query(_dealt_sql("word bucket english", _GENDERS))
 def gender_words(t):
-    return _rows(t, "word string", "तृतीय लिंग", "महिला", "पुरुष", "?").select("word", names.gender_bucket(F.col("word")).alias("bucket"), names.gender_english(F.col("word")).alias("english"))
+    return _dealt(t, "word", [(r[0],) for r in _GENDERS]).select("c_custkey", "word", names.gender_bucket(F.col("word")).alias("bucket"), names.gender_english(F.col("word")).alias("english"))
+
 
+_RELATIONS = [("पिता", "father"), ("Husband", "husband"), ("कुछ", None)]
 
-@query("SELECT * FROM (VALUES ('पिता', 'father'), ('Husband', 'husband'), ('कुछ', NULL)) v(word, key)")
+
+@query(_dealt_sql("word key", _RELATIONS))
 def relation_words(t):
-    return _rows(t, "word string", "पिता", "Husband", "कुछ").select("word", names.relation_key(F.col("word")).alias("key"))
+    return _dealt(t, "word", [(r[0],) for r in _RELATIONS]).select("c_custkey", "word", names.relation_key(F.col("word")).alias("key"))
+
 
+_LATIN = [("कल्पना", "Kalpana"), ("रोहित", "Rohit"), ("चन्द्र", "Chandra"), ("सिंह", "Singh"), ("Ramesh", "Ramesh"), ("64", "64"), ("", None)]
 
-@query("SELECT * FROM (VALUES ('कल्पना', 'Kalpana'), ('रोहित', 'Rohit'), ('चन्द्र', 'Chandra'), ('सिंह', 'Singh'), ('Ramesh', 'Ramesh'), ('64', '64'), ('', NULL)) v(hindi, latin)")
+
+@query(_dealt_sql("hindi latin", _LATIN))
 def transliterated_names(t):
-    return _rows(t, "hindi string", "कल्पना", "रोहित", "चन्द्र", "सिंह", "Ramesh", "64", "").select("hindi", transliterate.transliterate(F.col("hindi")).alias("latin"))
+    return _dealt(t, "hindi", [(r[0],) for r in _LATIN]).select("c_custkey", "hindi", transliterate.transliterate(F.col("hindi")).alias("latin"))
+
 
+_ANSWERS = [("राम", "Ram", ""), ("राम", "", "empty"), ("गली 8", "Gali", "digits lost"), ("आकाश", "The sky", "meaning drift")]
 
-@query("SELECT * FROM (VALUES ('राम', 'Ram', ''), ('राम', '', 'empty'), ('गली 8', 'Gali', 'digits lost'), ('आकाश', 'The sky', 'meaning drift')) v(source, answer, reasons)")
+
+@query(_dealt_sql("source answer reasons", _ANSWERS))
 def model_guards(t):
-    rows = _rows(t, "source string, answer string", ("राम", "Ram"), ("राम", ""), ("गली 8", "Gali"), ("आकाश", "The sky"))
-    return rows.select("source", "answer", F.array_join(guards.reasons(F.col("source"), F.col("answer")), ",").alias("reasons"))
+    rows = _dealt(t, "source answer", [r[:2] for r in _ANSWERS])
+    return rows.select("c_custkey", "source", "answer", F.array_join(guards.reasons(F.col("source"), F.col("answer")), ",").alias("reasons"))
+
 
+_HEADINGS = [("Google Map", "google_location_map"), ("Key map", "key_location_map"), ("CAD", "cad_layout"), ("hall", "visual_image")]
 
-@query("SELECT * FROM (VALUES ('Google Map', 'google_location_map'), ('Key map', 'key_location_map'), ('CAD', 'cad_layout'), ('hall', 'visual_image')) v(heading, category)")
+
+@query(_dealt_sql("heading category", _HEADINGS))
 def panel_categories(t):
-    return _rows(t, "heading string", "Google Map", "Key map", "CAD", "hall").select("heading", locations.category(F.col("heading")).alias("category"))
+    return _dealt(t, "heading", [(r[0],) for r in _HEADINGS]).select("c_custkey", "heading", locations.category(F.col("heading")).alias("category"))
 
 
-@query("SELECT 'नाम : राम लाल' AS line, 'राम लाल' AS name, NULL AS age UNION ALL SELECT 'Name: Kate Age: 30', 'Kate', '30'")
+@query("SELECT c_custkey, c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN (c_custkey % 90 + 1)::VARCHAR END AS age, 'H' || c_nationkey AS house FROM customer")
 def card_lines(t):
-    rows = _rows(t, "line string", "नाम : राम लाल", "Name: Kate Age: 30").withColumn("f", cards.card_fields(F.array("line")))
-    return rows.select("line", F.try_element_at("f", F.lit("name")).alias("name"), F.try_element_at("f", F.lit("age")).alias("age"))
+    k = F.col("c_custkey")
+    line = F.concat(F.when(k % 3 == 0, "नाम : ").otherwise("Name: "), F.col("c_name"), F.when(k % 2 == 0, F.concat(F.lit("  Age: "), (k % 90 + 1).cast("string"))).otherwise(""))
+    rows = t.customer.select("c_custkey", cards.card_fields(F.array(line, F.concat(F.lit("मकान संख्या : H"), F.col("c_nationkey").cast("string")))).alias("f"))
+    return rows.select("c_custkey", *[F.try_element_at("f", F.lit(c)).alias(c) for c in ("name", "age", "house")])
 
 
-@query("SELECT 107 AS part_number, 'गाजियाबाद' AS district, '201102' AS pin_code, '01-01-2026' AS qualifying_date")
+@query("""SELECT c_custkey, (c_custkey % 900 + 1)::INTEGER AS part_number, c_mktsegment AS district, '2011' || lpad((c_custkey % 100)::VARCHAR, 2, '0') AS pin_code,
+  CASE WHEN c_custkey % 4 <> 0 THEN '01-01-' || (2020 + c_custkey % 7) END AS qualifying_date FROM customer""")
 def cover_facts(t):
-    cover = "भाग संख्या : 107\nअर्हता तिथि : 01-01-2026\nजिला : गाजियाबाद पिन कोड : 201102"
-    return _rows(t, "t string", cover).select(cards.cover_facts(F.col("t")).alias("c")).select("c.part_number", "c.district", "c.pin_code", "c.qualifying_date")
+    k = F.col("c_custkey")
+    text_ = lambda c: c.cast("string")
+    cover = F.concat(
+        F.lit("भाग संख्या : "), text_(k % 900 + 1), F.when(k % 4 != 0, F.concat(F.lit("\nअर्हता तिथि : 01-01-"), text_(2020 + k % 7))).otherwise(""),
+        F.lit("\nजिला : "), F.col("c_mktsegment"), F.lit(" पिन कोड : 2011"), F.lpad(text_(k % 100), 2, "0"),
+    )
+    return t.customer.select("c_custkey", cards.cover_facts(cover).alias("c")).select("c_custkey", "c.part_number", "c.district", "c.pin_code", "c.qualifying_date")
