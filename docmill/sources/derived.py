@@ -27,7 +27,6 @@ from pyspark.sql.window import Window
 from ..shipping import ship
 
 SCHEMA = "source_hash string, page int, name string, key string, length long, sha256 string, committed long, content binary"
-LISTED = "source_hash string, page int, name string, key string, length long, sha256 string"
 
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
