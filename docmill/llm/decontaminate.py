@@ -35,12 +35,14 @@ UNITS = (
 )
 _OPEN, _CLOSE = "\u0001", "\u0002"
 _GAP, _START = r"[\s\p{Z}]", r"(?<![^\s\p{Z}])"
+#: Apostrophes, format characters, and a point or comma between digits; each alternative begins with a plain class, which is passed over fast.
+_JOINT = r"['’‘ʼ\u00ad\u061c\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]|[.,](?<=\p{Nd}.)(?=\p{Nd})"
 _NUMBER, _NAME, _UNIT = r"\p{Nd}+\p{Ll}{0,4}", r"\p{Lu}[\p{L}\p{M}]+", UNITS.replace(" ", "|")
 
 
 def _bare(text: Column) -> Column:
     """The text with spaces for punctuation, symbols and controls; apostrophes, format characters and what parts a number's digits go without one."""
-    joined = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\p{Cf}'’‘ʼ]+|(?<=\p{Nd})[.,](?=\p{Nd})", "")
+    joined = F.regexp_replace(F.coalesce(text, F.lit("")), _JOINT, "")
     return F.regexp_replace(joined, r"[^\p{L}\p{M}\p{N}\s\p{Z}]+", " ")
 
 
@@ -104,7 +106,8 @@ def _suspects(own: DataFrame, items: DataFrame, window: int, least: int, work: W
             found = met if found is None else found.unionByName(met)
             continue
         anchors = F.broadcast(anchors)
-        pairs = own.select("doc_id", words(_bare(F.col("text"))).alias("words")).select("doc_id", "words", F.posexplode("words").alias("pos", "word"))
+        # An inner explode would have the words made once more, for a filter of empty arrays.
+        pairs = own.select("doc_id", words(_bare(F.col("text"))).alias("words")).select("doc_id", "words", F.posexplode_outer("words").alias("pos", "word"))
         met = pairs.withColumn("key", F.xxhash64("word", F.get("words", F.col("pos") + 1))).join(anchors, "key")
         met = met.where((F.col("pos") >= F.col("offset")) & (F.xxhash64(F.slice("words", F.greatest(F.col("pos") - F.col("offset") + 1, F.lit(1)), F.col("size"))) == F.col("hash"))).select("doc_id")
         found = met if found is None else found.unionByName(met)
