@@ -41,7 +41,8 @@ def points_in_spans(points: DataFrame, spans: DataFrame, at: str, start: str, en
     on = on or []
     binned = points.withColumn("__bin", F.floor(F.col(at) / width))
     touched = spans.withColumn("__bin", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))))
-    return binned.join(touched, [*on, "__bin"]).where((F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end))).drop("__bin")
+    # The size of spans that are dealt to bins is guessed from that of their file, so they aren't broadcast by it.
+    return binned.join(touched.hint("merge"), [*on, "__bin"]).where((F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end))).drop("__bin")
 
 
 def difference(old: DataFrame, new: DataFrame, key: list[str], fields: list[str]) -> DataFrame:
@@ -54,9 +55,18 @@ def difference(old: DataFrame, new: DataFrame, key: list[str], fields: list[str]
 
 
 def aligned(left: DataFrame, right: DataFrame, position: str, value: str, reach: int = 5) -> DataFrame:
-    """Per position of left: MATCH, ORDER_SHIFT (the value is within ``reach`` positions), or TRUE_MISMATCH."""
-    a = left.select(F.col(position).alias("position"), F.col(value).alias("value"))
-    b = right.select(F.col(position).alias("__at"), F.col(value).alias("value")).where("value IS NOT NULL")
-    near = b.withColumn("position", F.explode(F.sequence(F.col("__at") - reach, F.col("__at") + reach)))
-    found = a.join(near, ["position", "value"], "left").groupBy("position", "value").agg(F.min(F.abs(F.col("__at") - F.col("position"))).alias("off"))
+    """Per position of left: MATCH, ORDER_SHIFT (the value is within ``reach`` positions), or TRUE_MISMATCH.
+
+    Rows meet in blocks of positions; a row of right is dealt to each block, one
+    or two, that has positions within its reach. Spark guesses the size of the
+    dealt rows from that of the file, so it is told not to broadcast them.
+    """
+    width = 4 * reach + 1
+    block = lambda c: F.floor(c / width)
+    a = left.select(F.col(position).alias("position"), F.col(value).alias("value")).withColumn("__block", block(F.col("position")))
+    b = right.select(F.col(position).alias("__at"), F.col(value).alias("__value")).where("__value IS NOT NULL")
+    near = b.withColumn("__near", F.explode(F.sequence(block(F.col("__at") - reach), block(F.col("__at") + reach))))
+    off = F.abs(F.col("__at") - F.col("position"))
+    both = a.join(near.hint("merge"), (F.col("__block") == F.col("__near")) & (F.col("value") == F.col("__value")) & (off <= reach), "left")
+    found = both.groupBy("position", "value").agg(F.min(off).alias("off"))
     return found.select("position", "value", F.when(F.col("off") == 0, "MATCH").when(F.col("off") > 0, "ORDER_SHIFT").otherwise("TRUE_MISMATCH").alias("verdict"))
