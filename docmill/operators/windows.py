@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -71,39 +71,73 @@ def clustered(rows: DataFrame, group: list[str], value: str, gap: float) -> Data
     """Per group, clusters of sorted values; one ends where a value lies more than ``gap`` past the cluster's first.
 
     Nulls and NaN belong to no cluster. Equal values are counted before the
-    shuffle; a task then passes over its sorted rows once and holds one cluster.
+    shuffle; a task then passes over its sorted rows once, batch by batch, and holds one cluster.
     """
     v = F.col(value).cast("double")
     counted = rows.where(v.isNotNull() & ~F.isnan(v)).groupBy(*group, v.alias("__v")).agg(F.count("*").alias("__n"))
     kinds = [f"`{g}` {counted.schema[g].dataType.simpleString()}" for g in group]
-    ordered = counted.select(*group, "__v", "__n", F.to_json(F.struct(*group)).alias("__g")).repartition(*group).sortWithinPartitions(*group, "__v")
+    # The window leaves the rows sorted by group and value.
+    ordered = counted.select(*group, "__v", "__n", (F.row_number().over(Window.partitionBy(*group).orderBy("__v")) == 1).alias("__new"))
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, now = None, None  # the group's key; its columns, cluster, first, last, size
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None  # the last cluster so far: its group, number, first, last, size
         for batch in batches:
-            if batch.empty:
+            if not batch.num_rows:
                 continue
-            done = []
-            keys, values, counts = batch["__g"].to_numpy(), batch["__v"].to_numpy(), batch["__n"].to_numpy()
-            ends = [*np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)]
-            at = 0
-            for end in ends:
-                if keys[at] != own:
-                    done += [now] if now else []
-                    own, now = keys[at], None
-                while at < end:
-                    if now is None or values[at] - now[-3] > gap:
-                        done += [now] if now else []
-                        now = [*batch[group].iloc[at], now[-4] + 1 if now else 0, values[at], values[at], 0]
-                    past = at + int(np.argmax(np.append(values[at:end] - now[-3] > gap, True)))
-                    now[-2:] = values[past - 1], now[-1] + int(counts[at:past].sum())
-                    at = past
-            yield pd.DataFrame(done, columns=columns)
-        if now:
-            yield pd.DataFrame([now], columns=columns)
-
-    columns = [*group, "cluster", "first", "last", "size"]
-    return ordered.mapInPandas(scan, ", ".join([*kinds, "cluster int, first double, last double, size int"]))
+            own = batch.columns[: len(group)]
+            first, size, new = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("__v", "__n", "__new"))
+            last, base = first, 0
+            if held:  # it goes before the batch like a row
+                base = held[1]
+                first, last, size, new = np.append(held[2], first), np.append(held[3], last), np.append(held[4], size), np.append(True, new)
+            starts = cluster_starts(first, last, new, gap)
+            of_group = np.cumsum(new)[starts]
+            fresh = np.flatnonzero(np.append(True, of_group[1:] != of_group[:-1]))
+            number = np.arange(len(starts)) - fresh[np.cumsum(np.append(False, of_group[1:] != of_group[:-1]))]
+            number[of_group == 1] += base
+            if held:
+                own = [pa.concat_arrays([h, c.take(pa.array(starts[1:] - 1))]) for h, c in zip(held[0], own)]
+            else:
+                own = [c.take(pa.array(starts)) for c in own]
+            facts = number, first[starts], last[np.append(starts[1:], len(first)) - 1], np.add.reduceat(size, starts)
+            held = ([c.slice(len(starts) - 1) for c in own], *(x[-1] for x in facts))
+            yield table([c.slice(0, len(starts) - 1) for c in own], [x[:-1] for x in facts])
+        if held:
+            yield table(held[0], [np.array([x]) for x in held[1:]])
+
+    def table(own: list, facts: list) -> pa.RecordBatch:
+        types = pa.int32(), pa.float64(), pa.float64(), pa.int32()
+        return pa.RecordBatch.from_arrays([*own, *(pa.array(x.astype(t.to_pandas_dtype()), t) for x, t in zip(facts, types))], names=[*group, "cluster", "first", "last", "size"])
+
+    return ordered.mapInArrow(scan, ", ".join([*kinds, "cluster int, first double, last double, size int"]))
+
+
+def cluster_starts(first: np.ndarray, last: np.ndarray, new: np.ndarray, gap: float) -> np.ndarray:
+    """Where clusters start in sorted values; ``new`` marks the first of a group, and a value may stand for those from first to last.
+
+    A step of more than ``gap`` always starts a cluster. What lies between two such steps
+    is mostly no wider than ``gap``, so one cluster; only the others are gone through one by one.
+    """
+    step = new.copy()
+    step[0] = True
+    step[1:] |= first[1:] - last[:-1] > gap
+    starts = np.flatnonzero(step)
+    ends = np.append(starts[1:], len(first))
+    more = []
+    for k in np.flatnonzero(last[ends - 1] - first[starts] > gap).tolist():
+        at, end = int(starts[k]), int(ends[k])
+        while True:
+            past = at + max(1, int(np.searchsorted(first[at:end], first[at] + gap, "right")))
+            # The sum may be rounded another way than the difference that counts.
+            while past < end and first[past] - first[at] <= gap:
+                past += 1
+            while past > at + 1 and first[past - 1] - first[at] > gap:
+                past -= 1
+            if past >= end:
+                break
+            more.append(past)
+            at = past
+    return np.union1d(starts, np.array(more, starts.dtype)) if more else starts
 
 
 def numbered(rows: DataFrame, value: str, unique: str, name: str = "position", parts: int = 256) -> DataFrame:

@@ -31,3 +31,16 @@ def test_aligned_against_plain_python(spark):
         got = {x.position: x.verdict for x in joins.aligned(*frames, "p", "v", reach).collect()}
         offs = {p: [abs(p - q) for q, w in right if w == v and v is not None and abs(p - q) <= reach] for p, v in left}
         assert got == {p: "TRUE_MISMATCH" if not o else "ORDER_SHIFT" if min(o) else "MATCH" for p, o in offs.items()}
+
+
+def test_cluster_starts_against_plain_python():
+    r = np.random.default_rng(2)
+    for k in range(200):
+        values = np.sort(r.uniform(0, 50, 60)) if k % 2 else np.sort(r.integers(0, 400, 60) / 10)
+        new = r.random(60) < 0.1
+        want, first = [], None
+        for i, v in enumerate(values):
+            if first is None or new[i] or v - first > 3.3:
+                want.append(i)
+                first = v
+        assert windows.cluster_starts(values, values, new, 3.3).tolist() == want
