@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import lru_cache, reduce
 from itertools import combinations
+from operator import and_
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.geo import LEAST_CONTROLS, METRES_PER_DEGREE, MOST_RESIDUAL, MOST_RMSE
 
@@ -19,6 +23,7 @@ SCHEMA = "status string, reason string, controls int, inliers int, rmse double,
 NO_PIN, FEW, APART, OUTSIDE, COARSE = "red_pin_not_detected", "fewer_than_four_landmarks", "landmarks_not_geometrically_consistent", "pin_outside_landmark_coverage", "residual_exceeds_accuracy_gate"
 
 
+@lru_cache(maxsize=4096)
 def _triples(n: int) -> np.ndarray:
     if n * (n - 1) * (n - 2) // 6 <= TRIPLES:
         return np.array(list(combinations(range(n), 3)))
@@ -29,15 +34,22 @@ def _triples(n: int) -> np.ndarray:
 def agreeing(pixels: np.ndarray, metres: np.ndarray) -> np.ndarray:
     """Which controls agree with the affine map, through three of them, that most agree with; of equal counts the smallest sum of squares within AGREES."""
     t = _triples(len(pixels))
-    m = np.concatenate([pixels[t], np.ones((*t.shape, 1))], axis=2)
-    fit = np.abs(np.linalg.det(m)) > 1e-9  # three controls on a line fix no map
+    px, py = pixels.T
+    # Two sides of each triangle, and the affine map that takes them from pixels to metres, by Cramer's rule.
+    ax, ay, bx, by = (c[t[:, k]] - c[t[:, 0]] for k in (1, 2) for c in (px, py))
+    det = ax * by - ay * bx
+    fit = np.abs(det) > 1e-9  # three controls on a line fix no map
     if not fit.any():
         return np.zeros(len(pixels), bool)
-    maps = np.linalg.solve(m[fit], metres[t[fit]])
-    every = np.column_stack([pixels, np.ones(len(pixels))])
-    off = np.linalg.norm(every @ maps - metres, axis=2)
-    near = off <= AGREES
-    count, error = near.sum(axis=1), np.where(near, off**2, 0).sum(axis=1)
+    t, ax, ay, bx, by, det = t[fit], ax[fit], ay[fit], bx[fit], by[fit], det[fit]
+    squares = np.zeros((len(t), len(pixels)))
+    for m in metres.T:
+        a, b = m[t[:, 1]] - m[t[:, 0]], m[t[:, 2]] - m[t[:, 0]]
+        u, v = (by * a - ay * b) / det, (ax * b - bx * a) / det
+        base = m[t[:, 0]] - u * px[t[:, 0]] - v * py[t[:, 0]]
+        squares += (np.outer(u, px) + np.outer(v, py) + base[:, None] - m) ** 2
+    near = squares <= AGREES**2
+    count, error = near.sum(axis=1), np.where(near, squares, 0).sum(axis=1)
     return near[np.lexsort((np.round(error, 6), -count))[0]]
 
 
@@ -84,18 +96,28 @@ def placed_pins(controls: DataFrame, pins: DataFrame, key: str) -> DataFrame:
     left out; of several pins of one key the smallest counts; null keys are one
     of their own. A wrong control is left out if LEAST_CONTROLS others agree within AGREES
     metres. A pin outside the hull of all controls isn't placed, since nothing
-    measures the error there. A key's controls, the landmarks of one map, meet in one task.
+    measures the error there. A key's controls, the landmarks of one map, meet in one row.
     """
     kind = controls.schema[key].dataType.simpleString()
 
-    def place(own: pd.DataFrame, pin: pd.DataFrame) -> pd.DataFrame:
-        value = (own if len(own) else pin)[key].iloc[0]
-        own, pin = own.dropna(subset=["x", "y", "lat", "lon"]).sort_values(["x", "y", "lat", "lon"]), pin.dropna(subset=["x", "y"]).sort_values(["x", "y"])
-        at = pin[["x", "y"]].to_numpy(float)[0] if len(pin) else None
-        row = _place(own[["x", "y"]].to_numpy(float), own["lat"].to_numpy(float), own["lon"].to_numpy(float), at)
-        # Plain objects: text of pandas' own type can come as several pieces, which Spark doesn't take.
-        return pd.DataFrame([{key: value} | row], columns=[key, *columns]).astype({"status": object, "reason": object})
+    def known(*names: str):
+        values = [F.col(c).cast("double") for c in names]
+        full = [v.isNotNull() & ~F.isnan(v) for v in values]
+        return F.when(reduce(and_, full), F.array(*values))
+
+    one = controls.select(key, known("x", "y", "lat", "lon").alias("control"), F.lit(None).cast("array<double>").alias("pin"))
+    two = pins.select(key, F.lit(None).cast("array<double>").alias("control"), known("x", "y").alias("pin"))
+    maps = one.unionByName(two).groupBy(key).agg(F.sort_array(F.collect_list("control")).alias("controls"), F.min("pin").alias("pin"))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for own, pin in zip(batch.column("controls"), batch.column("pin")):
+                c = own.values.flatten().to_numpy(zero_copy_only=False).reshape(-1, 4)
+                out.append(_place(c[:, :2], c[:, 2], c[:, 3], pin.values.to_numpy(zero_copy_only=False) if pin.is_valid else None))
+            facts = [pa.array([r.get(c) for r in out], t) for c, t in zip(columns, types)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *facts], names=[key, *columns])
 
     columns = [c.split()[0] for c in SCHEMA.split(", ")]
-    sides = controls.select(key, "x", "y", "lat", "lon").groupBy(key), pins.select(key, "x", "y").groupBy(key)
-    return sides[0].cogroup(sides[1]).applyInPandas(place, f"`{key}` {kind}, {SCHEMA}")
+    types = [{"string": pa.string(), "int": pa.int32(), "double": pa.float64()}[c.split()[1]] for c in SCHEMA.split(", ")]
+    return maps.mapInArrow(place, f"`{key}` {kind}, {SCHEMA}")
