@@ -81,15 +81,16 @@ def card_boxes(words: DataFrame, page: list[str], sizes: DataFrame, least: int =
     """
     rows = with_cluster(ids(words), page, "y0", ROW_GAP, "__band")
     in_band = Window.partitionBy(*page, "__band").orderBy("x0", "y0", "id")
-    stepped = rows.withColumn("__dx", F.col("x0") - F.lag("x0").over(in_band))
-    wide = F.when(F.col("__dx") > LEAST_PITCH_X, F.col("__dx"))
-    across = stepped.withColumn("__dx", wide).groupBy(*page).agg(upper_median("__dx").alias("__px"), F.count("*").alias("__ids"))
-    tops = rows.groupBy(*page, "__band").agg(F.min("y0").alias("__top"))
-    step = F.col("__top") - F.lag("__top").over(Window.partitionBy(*page).orderBy("__band"))
-    down = tops.withColumn("__dy", step).withColumn("__dy", F.when(F.col("__dy") > LEAST_PITCH_Y, F.col("__dy"))).groupBy(*page).agg(upper_median("__dy").alias("__py"))
-    facts = across.where(F.col("__ids") >= least).join(down, page).join(sizes, page)
+    in_page = Window.partitionBy(*page)
+    # Rows are together by page from their bands on: windows take it from there without another shuffle. Tops rise from band to band.
+    dx = F.col("x0") - F.lag("x0").over(in_band)
+    rows = rows.withColumns({"__dx": F.when(dx > LEAST_PITCH_X, dx), "__first": F.row_number().over(in_band) == 1, "__top": F.min("y0").over(Window.partitionBy(*page, "__band"))})
+    dy = F.col("__top") - F.max("__top").over(in_page.orderBy("__band").rangeBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("__dy", F.when(F.col("__first") & (dy > LEAST_PITCH_Y), dy))
+    rows = rows.withColumns({"__px": upper_median("__dx").over(in_page), "__py": upper_median("__dy").over(in_page), "__ids": F.count("*").over(in_page)})
+    every = rows.where(F.col("__ids") >= least).join(sizes, page)
     one = lambda c: F.bround(c, 1)
-    every = rows.join(facts, page).withColumn("width", F.when(F.col("__px").isNotNull(), one(F.col("__px") * WIDTH_SHARE)).otherwise(one(F.greatest(F.lit(LEAST_WIDTH), F.col("page_width") - F.col("x0") - EDGE))))
+    every = every.withColumn("width", F.when(F.col("__px").isNotNull(), one(F.col("__px") * WIDTH_SHARE)).otherwise(one(F.greatest(F.lit(LEAST_WIDTH), F.col("page_width") - F.col("x0") - EDGE))))
     height = F.when(F.col("__py").isNotNull(), one(F.col("__py") * HEIGHT_SHARE)).otherwise(F.lit(HEIGHT))
     left = one(F.greatest(F.lit(0.0), F.col("x0") - F.least(F.lit(BEFORE), F.col("width") * BEFORE_SHARE)))
     return every.select(*page, "id", left.alias("left"), one(F.greatest(F.lit(0.0), F.col("y0") - ABOVE)).alias("top"), "width", height.alias("height"))

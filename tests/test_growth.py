@@ -55,3 +55,9 @@ def test_triples_are_drawn_once_and_fit_as_by_solving():
         metres[: n // 4] += 5000
         good = georeference.agreeing(pixels, metres)
         assert good.tolist() == [i >= n // 4 for i in range(n)] or n == 4
+
+
+def test_boxes_and_lines_read_their_words_few_times(spark):
+    words = spark.createDataFrame([(1, 10.0 + 200 * k, 10.0, 80.0 + 200 * k, 20.0, f"ABC000000{k}") for k in range(3)], "page long, x0 double, y0 double, x1 double, y1 double, word string")
+    sizes = spark.createDataFrame([(1, 600.0, 800.0)], "page long, page_width double, page_height double")
+    assert plan(placed.card_boxes(words, ["page"], sizes)).count("Scan ExistingRDD") <= 3
