@@ -110,7 +110,7 @@ def words_in_boxes(words: DataFrame, boxes: DataFrame, page: list[str], cell: fl
     x, y = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2
     placed = words.withColumns({"__x": x, "__y": y}).withColumns({"__cx": at(F.col("__x")), "__cy": at(F.col("__y"))})
     inside = F.col("__x").between(F.col("left"), right) & F.col("__y").between(F.col("top"), bottom)
-    return placed.join(cells, [*page, "__cx", "__cy"]).where(inside).drop("__x", "__y", "__cx", "__cy")
+    return placed.join(cells.hint("merge"), [*page, "__cx", "__cy"]).where(inside).drop("__x", "__y", "__cx", "__cy")
 
 
 def card_lines(words: DataFrame, boxes: DataFrame, page: list[str]) -> DataFrame:
@@ -122,11 +122,19 @@ def card_lines(words: DataFrame, boxes: DataFrame, page: list[str]) -> DataFrame
     """
     box = [*page, "id", "left", "top"]
     named = words.select(*page, "x0", "y0", "x1", "y1", strip(F.coalesce("word", F.lit(""))).alias("word"))
-    held = with_cluster(words_in_boxes(named, boxes.dropDuplicates(box), page), box, "y0", LINE_GAP, "__line").where("word <> ''")
-    ordered = F.sort_array(F.collect_list(F.struct("x0", "y0", "word")))
-    lines = held.groupBy(*box, "__line").agg(F.array_join(F.transform(ordered, lambda w: w["word"]), " ").alias("__text"))
-    top_down = F.sort_array(F.collect_list(F.struct("__line", "__text")))
-    return lines.groupBy(*box).agg(F.transform(top_down, lambda x: x["__text"]).alias("lines"))
+    # Only what the lines need is shuffled, and a box's words, few or many, become one row as its lines do.
+    held = words_in_boxes(named, boxes.dropDuplicates(box), page).select(*box, F.struct("y0", "x0", "word").alias("__w"))
+    words_ = held.groupBy(*box).agg(F.sort_array(F.collect_list("__w")).alias("__words"))
+    # Where lines begin: words are sorted by y0, so a pass over them tells it.
+    none = F.array().cast("array<double>")
+    starts = F.aggregate("__words", none, lambda f, w: F.when((F.size(f) == 0) | (w["y0"] - F.element_at(f, -1) > LINE_GAP), F.concat(f, F.array(w["y0"].cast("double")))).otherwise(f))
+    placed = words_.withColumn("__starts", starts)
+    full = F.filter("__words", lambda w: w["word"] != "")
+    by_x = lambda ws: F.array_sort(F.transform(ws, lambda w: F.struct(w["x0"], w["y0"], w["word"])))
+    within = lambda f, i: lambda w: (w["y0"] >= f) & F.coalesce(w["y0"] < F.get("__starts", i + 1), F.lit(True))
+    texts = F.transform("__starts", lambda f, i: F.array_join(F.transform(by_x(F.filter("__full", within(f, i))), lambda w: w["word"]), " "))
+    out = placed.withColumn("__full", full).where(F.size("__full") > 0).withColumn("lines", F.filter(texts, lambda x: x != ""))
+    return out.select(*box, "lines")
 
 
 def compiled_template(cards: DataFrame, layout: list[str], labels: DataFrame, near: float = 30.0) -> DataFrame:

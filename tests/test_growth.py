@@ -61,3 +61,6 @@ def test_boxes_and_lines_read_their_words_few_times(spark):
     words = spark.createDataFrame([(1, 10.0 + 200 * k, 10.0, 80.0 + 200 * k, 20.0, f"ABC000000{k}") for k in range(3)], "page long, x0 double, y0 double, x1 double, y1 double, word string")
     sizes = spark.createDataFrame([(1, 600.0, 800.0)], "page long, page_width double, page_height double")
     assert plan(placed.card_boxes(words, ["page"], sizes)).count("Scan ExistingRDD") <= 3
+    boxes = spark.createDataFrame([(1, "i", 0.0, 0.0, 500.0, 500.0)], "page long, id string, left double, top double, width double, height double")
+    lines = placed.card_lines(words, boxes, ["page"])
+    assert plan(lines).count("Scan ExistingRDD") == 2 and "MapIn" not in plan(lines)
