@@ -35,6 +35,11 @@ TOTALS = ("start_serial", "end_serial", "male", "female", "third_gender", "total
 _OPEN, _CLOSE = "\u0001", "\u0002"
 
 
+def _let(value: Column, body) -> Column:
+    """body(value) with value computed once, however often body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _labelled(text: Column, labels: dict[str, str]) -> Column:
     """The text with each label as OPEN kind CLOSE; where labels overlap, the one that is listed first counts."""
     out = F.translate(text, _OPEN + _CLOSE, "  ")
@@ -51,9 +56,8 @@ def _fields(marked: Column) -> Column:
     """Map from kind to the first value that isn't blank."""
     pieces = F.filter(F.split(marked, _OPEN), lambda p, i: i > 0)
     pairs = F.transform(pieces, lambda p: F.struct(F.substring_index(p, _CLOSE, 1).alias("key"), _value(F.substring_index(p, _CLOSE, -1)).alias("value")))
-    full = F.filter(pairs, lambda p: p["value"] != "")
-    first = F.filter(full, lambda p, i: ~F.exists(F.slice(full, F.lit(1), i), lambda q: q["key"] == p["key"]))
-    return F.map_from_entries(first)
+    first = lambda full: F.filter(full, lambda p, i: F.array_position(F.transform(full, lambda q: q["key"]), p["key"]) == i + 1)
+    return F.map_from_entries(_let(F.filter(pairs, lambda p: p["value"] != ""), first))
 
 
 def card_fields(lines: Column) -> Column:
@@ -89,18 +93,23 @@ def cover_facts(text: Column) -> Column:
     """Struct of a cover's labelled facts; a value ends at the next label or line end."""
     clean = F.translate(text, "‌‍", "")
     marked = F.regexp_replace(_labelled(clean, COVER_LABELS), r"\n", f"{_OPEN}end{_CLOSE}")
-    fields = _fields(marked)
+    made = F.struct(_fields(marked).alias("fields"), fold_digits(clean).alias("clean"))
+    return _let(made, _cover_struct)
+
+
+def _cover_struct(made: Column) -> Column:
+    fields, clean = made["fields"], made["clean"]
     get = lambda k: F.try_element_at(fields, F.lit(k))
     number = lambda c: F.regexp_extract(fold_digits(c), r"\d+", 0).try_cast("int")
     date = lambda k: F.regexp_replace(F.regexp_extract(fold_digits(get(k)), r"\d{1,2}\s*[-/.]\s*\d{1,2}\s*[-/.]\s*\d{4}", 0), r"\s", "")
-    ac = F.regexp_extract(fold_digits(clean), r"विधानसभा[^\n:]*:\s*([^\n]*)", 1)
+    ac = F.regexp_extract(clean, r"विधानसभा[^\n:]*:\s*([^\n]*)", 1)
     pin = F.regexp_replace(fold_digits(get("pin_code")), r"\D", "")
-    station = F.regexp_extract(fold_digits(clean), r"मतदान\s*(?:स्थल|केंद्र|केन्द्र)\s*की\s*संख्या[^\n]*?(\d{1,4}\s*[-–—]\s*[^\n]+)", 1)
+    station = F.regexp_extract(clean, r"मतदान\s*(?:स्थल|केंद्र|केन्द्र)\s*की\s*संख्या[^\n]*?(\d{1,4}\s*[-–—]\s*[^\n]+)", 1)
     return F.struct(
         number(get("revision_year")).alias("revision_year"), F.nullif(date("qualifying_date"), F.lit("")).alias("qualifying_date"), F.nullif(date("publication_date"), F.lit("")).alias("publication_date"),
         get("revision_type").alias("revision_type"), F.nullif(F.regexp_extract(ac, r"^(\d+)", 1), F.lit("")).alias("ac_code"),
         F.nullif(strip(F.regexp_extract(ac, r"^\d+\s*[-–—]?\s*([^(\n]*)", 1)), F.lit("")).alias("ac_name"), F.nullif(F.regexp_extract(ac, r"\(([^)]*)\)", 1), F.lit("")).alias("ac_reservation"),
-        F.regexp_extract(fold_digits(clean), r"भाग\s*संख्या[ \t:：]*(\d+)", 1).try_cast("int").alias("part_number"), F.regexp_extract(fold_digits(clean), r"कुल\s*पृष्ठ[ \t:：]*(\d+)", 1).try_cast("int").alias("total_pages"),
+        F.regexp_extract(clean, r"भाग\s*संख्या[ \t:：]*(\d+)", 1).try_cast("int").alias("part_number"), F.regexp_extract(clean, r"कुल\s*पृष्ठ[ \t:：]*(\d+)", 1).try_cast("int").alias("total_pages"),
         F.nullif(F.regexp_extract(station, r"^(\d+)", 1), F.lit("")).alias("polling_station_number"), F.nullif(strip(F.regexp_extract(station, r"[-–—]\s*(.+)$", 1)), F.lit("")).alias("polling_station_name"),
         F.when(F.length(pin) >= 6, F.right(pin, F.lit(6))).alias("pin_code"),
         *[get(k).alias(k) for k in ("village", "ward", "post_office", "police_station", "panchayat", "block", "tehsil", "district")],

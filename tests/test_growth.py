@@ -64,3 +64,8 @@ def test_boxes_and_lines_read_their_words_few_times(spark):
     boxes = spark.createDataFrame([(1, "i", 0.0, 0.0, 500.0, 500.0)], "page long, id string, left double, top double, width double, height double")
     lines = placed.card_lines(words, boxes, ["page"])
     assert plan(lines).count("Scan ExistingRDD") == 2 and "MapIn" not in plan(lines)
+
+
+def test_labels_are_found_once(spark):
+    out = spark.createDataFrame([("x",)], "t string").select(cards.cover_facts(F.col("t")).alias("c")).select("c.district", "c.pin_code", "c.qualifying_date", "c.village")
+    assert plan(out, "optimizedPlan").count(cards.COVER_LABELS["panchayat"]) == 1
