@@ -9,6 +9,7 @@ change nothing; ``replayed`` says the same of a table, with windows only.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -32,36 +33,53 @@ def use_state_store(spark: SparkSession) -> None:
 
 
 class _Leases(StatefulProcessor):
-    """State of a unit: its lease, and events that wait until the watermark says that none before them can come."""
+    """State of a unit: its lease, and events that wait until the watermark says that none before them can come.
+
+    Each call reads the state once and writes it once, and sets one timer at
+    most, for the first event or end of a lease that waits: what a unit costs is in its batches, not in its events.
+    """
 
     def __init__(self, key: str, seconds: float):
         self.key, self.length = key, int(seconds * 1_000_000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.lease = handle.getValueState("lease", "worker string, claimed long, beat long")
-        self.waiting = handle.getListState("waiting", "at long, rank int, worker string")
-        self.seen = handle.getValueState("seen", "until long")
+        # ``until``: what is behind was told; ``timer``: the earliest one that is set; no ``worker``: no lease.
+        self.unit = handle.getValueState("unit", "until long, timer long, worker string, claimed long, beat long, waiting binary")
+
+    def _read(self) -> tuple[int, int | None, tuple | None, list[tuple]]:
+        found = self.unit.get() if self.unit.exists() else None
+        if found is None:
+            return -(1 << 62), None, None, []
+        until, timer, worker, claimed, beat, waiting = found
+        return until, timer, None if worker is None else (worker, claimed, beat), [tuple(e) for e in json.loads(bytes(waiting))]
+
+    def _write(self, until: int, timer: int | None, lease: tuple | None, waiting: list[tuple]) -> None:
+        """Keep the state; ``timer`` is the one that is set already."""
+        ends = [e[0] for e in waiting] + ([lease[2] + self.length + 1] if lease else [])
+        due = _up(min(ends)) if ends else None
+        if due is not None and (timer is None or due < timer):
+            self.handle.registerTimer(due)
+            timer = due
+        self.unit.update((until, timer, *(lease or (None, None, None)), json.dumps(waiting).encode()))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        until = self.seen.get()[0] if self.seen.exists() else -(1 << 62)
+        until, timer, lease, waiting = self._read()
         for batch in rows:
             if batch.empty:  # it may have no columns then
                 continue
-            some = [(int(a), int(r), w) for a, r, w in zip(batch["lease_at"], batch["lease_rank"], batch["lease_worker"]) if a > until]
-            for event in some:
-                self.waiting.appendValue(event)
-            for at in {_up(e[0]) for e in some}:
-                self.handle.registerTimer(at)
+            waiting += [(int(a), int(r), w) for a, r, w in zip(batch["lease_at"], batch["lease_rank"], batch["lease_worker"]) if a > until]
+        self._write(until, timer, lease, sorted(set(waiting)))  # a repeated delivery counts once
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         # All that the watermark has passed, as a timer that is set here for before it would wait for another batch.
-        until = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        until = max(fired, timerValues.getCurrentWatermarkInMs()) * 1000
+        before, timer, lease, waiting = self._read()
+        until = max(until, before)
         out: list[tuple] = []
-        waiting = sorted(set(self.waiting.get())) if self.waiting.exists() else []  # a repeated delivery counts once
         now, later = [e for e in waiting if e[0] <= until], [e for e in waiting if e[0] > until]
-        lease = self.lease.get() if self.lease.exists() else None
         for at, rank, worker in now:
             if lease and at > lease[2] + self.length:
                 out.append(lease)
@@ -73,16 +91,7 @@ class _Leases(StatefulProcessor):
         if lease and until >= lease[2] + self.length + 1:
             out.append(lease)
             lease = None
-        if lease:
-            self.lease.update(lease)
-            self.handle.registerTimer(_up(lease[2] + self.length + 1))
-        else:
-            self.lease.clear()
-        if later:
-            self.waiting.put(later)
-        else:
-            self.waiting.clear()
-        self.seen.update((until,))
+        self._write(until, None if timer is None or timer <= until // 1000 else timer, lease, later)
         if out:
             when = lambda k: pd.to_datetime([k(x) for x in out], unit="us")
             yield pd.DataFrame({self.key: [key[0]] * len(out), "worker": [x[0] for x in out], "claimed_at": when(lambda x: x[1]), "last_beat": when(lambda x: x[2]), "expired_at": when(lambda x: x[2] + self.length)})

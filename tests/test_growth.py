@@ -69,3 +69,43 @@ def test_boxes_and_lines_read_their_words_few_times(spark):
 def test_labels_are_found_once(spark):
     out = spark.createDataFrame([("x",)], "t string").select(cards.cover_facts(F.col("t")).alias("c")).select("c.district", "c.pin_code", "c.qualifying_date", "c.village")
     assert plan(out, "optimizedPlan").count(cards.COVER_LABELS["panchayat"]) == 1
+
+
+class Handle:
+    """A state store of one unit that counts calls."""
+
+    def __init__(self):
+        self.value, self.calls, self.timers = None, 0, []
+
+    def getValueState(self, name, schema):
+        return self
+
+    getListState = getValueState
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def appendValue(self, value):
+        self.calls += 1
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+
+def test_a_unit_costs_few_calls_however_many_events():
+    import pandas as pd
+
+    handle, unit = Handle(), leases._Leases("u", 30)
+    unit.init(handle)
+    rows = pd.DataFrame({"lease_at": [k * 1_000_000 for k in range(1, 500)], "lease_rank": 0, "lease_worker": "a"})
+    assert list(unit.handleInputRows((1,), iter([rows]), None)) == []
+    assert handle.timers == [1000] and handle.calls <= 3
