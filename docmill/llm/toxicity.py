@@ -9,6 +9,8 @@ score high can then be located.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +27,7 @@ from .workspace import Workspace, bounded, small_batches
 FIT_DOCS, FIT_CHARS = 6000, 24_000_000
 #: Besides the words, their first so many bytes are features, for words of one stem.
 HEADS = (4, 5, 6)
-FIT_SLICE = SCORE_SLICE = 1 << 20
+FIT_SLICE, SCORE_SLICE = 1 << 18, 1 << 20
 LEAST_SENTENCES, LIFT, STEPS, RATE, DECAY, SPARSITY = 4, 1.5, 400, 0.1, 2e-5, 5e-6
 
 _BREAK = np.zeros(256, dtype=bool)
@@ -127,12 +129,12 @@ def fit(raw: list[bytes], labels: np.ndarray) -> Model:
     for a, b in tk.slices(raw, FIT_SLICE):
         hashes, sentence, owner, _ = sentences(raw[a:b])
         at, own = known(vocabulary, hashes, sentence)
-        rows.append(own + base)
-        cols.append(at)
+        rows.append((own + base).astype(np.int32))
+        cols.append(at.astype(np.int32))
         owners.append(owner + a)
         base += len(owner)
-    row, col = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, cols))
-    owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
+    row, col, owner = (np.concatenate([[], *x], dtype=np.int64, casting="unsafe") for x in (rows, cols, owners))
+    del rows, cols, owners
     y = labels.astype(float)
     n, v = len(owner), len(vocabulary)
     x = np.zeros(v + 1)
@@ -155,6 +157,12 @@ def fit(raw: list[bytes], labels: np.ndarray) -> Model:
     return Model(vocabulary[used], x[used], float(x[v]))
 
 
+def _trim() -> None:
+    """Give what this process has freed back to the machine; glibc keeps it otherwise, and other C libraries have no such call."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on labelled rows of docs for which ``usable`` (over the id) holds.
 
@@ -185,9 +193,12 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_c
     ids = spark.createDataFrame([(i, size) for i, (size, _) in chosen.items()], "doc_id long, size int")
     # One text per id reaches the driver, so FIT_CHARS holds however often an id repeats.
     rows = own.withColumn("size", F.length("text")).join(F.broadcast(ids), ["doc_id", "size"]).groupBy("doc_id").agg(F.min("text").alias("text"))
-    texts = {r["doc_id"]: r["text"] for r in rows.collect()}
-    order = sorted(texts)
-    return fit(tk.encode(texts[i] for i in order), np.array([chosen[i][1] for i in order]))
+    # Partition by partition, and held as bytes only: a driver keeps what its process has once taken.
+    raw = {r["doc_id"]: r["text"].encode("utf-8", "replace") for r in rows.toLocalIterator()}
+    order = sorted(raw)
+    model = fit([raw.pop(i) for i in order], np.array([chosen[i][1] for i in order]))
+    _trim()
+    return model
 
 
 SPAN = "array<struct<start:int,end:int,score:double,text:string>>"

@@ -186,3 +186,25 @@ def test_weights_and_scores_equal_plain_python(spark, monkeypatch):
         located = [q for q in p if q >= 0.3]
         assert scored[i].n_sentences == len(own) and len(located) == len(scored[i].spans)
         assert all(math.isclose(q, s.score, rel_tol=1e-6) for q, s in zip(located, scored[i].spans))
+
+
+def resident():
+    with open("/proc/self/smaps_rollup") as f:
+        return sum(int(x.split()[1]) for x in f if x.startswith("Pss_Anon")) / 1024
+
+
+def test_the_driver_keeps_nothing_of_the_fit(spark, monkeypatch):
+    pinned = []
+
+    def fit(raw, y):
+        held = [bytes([k % 256]) * 4000 for k in range(30_000)]
+        pinned.append(bytes([len(y)]) * 4000)  # lies behind what is freed
+        del held
+        return toxicity.Model(np.zeros(0, np.uint64), np.zeros(0), -20.0)
+
+    monkeypatch.setattr(toxicity, "fit", fit)
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    before = resident()
+    toxicity.learn(docs, labels)
+    assert resident() - before < 40
