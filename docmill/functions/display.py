@@ -59,12 +59,12 @@ def _two(big: Column, big_word: str, small: Column, small_word: str) -> Column:
     return F.when(small > 0, F.concat(text, F.lit(" "), small.cast("string"), F.lit(f" {small_word}"))).otherwise(text)
 
 
-def duration(ms: Column) -> Column:
-    """'2 min 5 sec'; null for null and 0."""
+def duration(ms: Column, zero: str | None = None) -> Column:
+    """'2 min 5 sec'; null for null, and ``zero`` for 0."""
     s = F.floor(ms / 1000).cast("long")
     m = F.floor(s / 60).cast("long")
     return (
-        F.when(F.coalesce(ms, F.lit(0)) == 0, F.lit(None).cast("string"))
+        F.when(F.coalesce(ms, F.lit(0)) == 0, F.when(ms == 0, F.lit(zero).cast("string")))
         .when(s < 60, F.concat(s.cast("string"), F.lit(" sec")))
         .when(m < 60, _two(m, "min", s % 60, "sec"))
         .otherwise(_two(F.floor(m / 60).cast("long"), "hr", m % 60, "min"))

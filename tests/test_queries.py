@@ -37,6 +37,22 @@ def test_against_sql(spark, con, name):
     assert rows(df.columns, df.collect()) == rows(names, cur.fetchall())
 
 
+def against_sql(spark, con, folder, name, table, values, schema):
+    """The query's and its SQL's rows over one table of these rows."""
+    spark.createDataFrame(values, schema).coalesce(1).write.parquet(f"{folder}/{table}.parquet")
+    cur = con.cursor().execute(f"CREATE OR REPLACE TEMP VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet/*.parquet'").execute(ORACLES[name])
+    names = [c[0] for c in cur.description]
+    df = QUERIES[name](spark, str(folder))
+    return rows(df.columns, df.collect()), rows(names, cur.fetchall())
+
+
+@pytest.mark.parametrize("name", ["duration_words", "eta_words"])
+def test_odd_lengths(spark, tmp_path, name):
+    lengths = [None, 0, 1, 61, 62, 3684, 3685, 16384, 368_475, 20_000_000, 3_000_000_000]
+    got, want = against_sql(spark, duckdb.connect(), tmp_path, name, "documents", list(enumerate(lengths)), "doc_id long, n_chars long")
+    assert got == want and len(got) == len(lengths)
+
+
 def test_clusters_against_plain_python(spark):
     got = {}
     for r in QUERIES["cluster_rows"](spark, SF).collect():
