@@ -106,14 +106,14 @@ def ago(ts: Column, as_of: Column) -> Column:
     )
 
 
-def file_size(size: Column) -> Column:
-    """'4.6 MB'; null for null and 0."""
+def file_size(size: Column, zero: str | None = None, gigabytes: bool = True) -> Column:
+    """'4.6 MB'; null for null, and ``zero`` for 0. Without ``gigabytes`` the largest unit is MB."""
     one = lambda x, unit: F.concat(F.format_string("%.1f", F.bround(x, 1)), F.lit(f" {unit}"))
     return (
-        F.when(F.coalesce(size, F.lit(0)) == 0, F.lit(None).cast("string"))
+        F.when(F.coalesce(size, F.lit(0)) == 0, F.when(size == 0, F.lit(zero).cast("string")))
         .when(size < 1024, F.concat(size.cast("long").cast("string"), F.lit(" bytes")))
         .when(size < 1024**2, one(size / 1024, "KB"))
-        .when(size < 1024**3, one(size / 1024**2, "MB"))
+        .when((size < 1024**3) | F.lit(not gigabytes), one(size / 1024**2, "MB"))
         .otherwise(one(size / 1024**3, "GB"))
     )
 

@@ -46,9 +46,9 @@ def against_sql(spark, con, folder, name, table, values, schema):
     return rows(df.columns, df.collect()), rows(names, cur.fetchall())
 
 
-@pytest.mark.parametrize("name", ["duration_words", "eta_words"])
+@pytest.mark.parametrize("name", ["duration_words", "eta_words", "file_sizes"])
 def test_odd_lengths(spark, tmp_path, name):
-    lengths = [None, 0, 1, 61, 62, 3684, 3685, 16384, 368_475, 20_000_000, 3_000_000_000]
+    lengths = [None, 0, 1, 15, 16, 61, 62, 3684, 3685, 16383, 16384, 368_475, 16_777_215, 16_777_216, 20_000_000, 3_000_000_000]
     got, want = against_sql(spark, duckdb.connect(), tmp_path, name, "documents", list(enumerate(lengths)), "doc_id long, n_chars long")
     assert got == want and len(got) == len(lengths)
 
