@@ -16,6 +16,8 @@ from ..functions.geo import LEAST_CONTROLS, METRES_PER_DEGREE, MOST_RESIDUAL, MO
 
 #: Metres within which a landmark agrees with a map.
 AGREES = 75.0
+#: Times that a map's scale in one direction may be its scale in another.
+STRETCH = 10.0
 #: Triples that are tried: all of them up to so many, else so many drawn with a fixed seed.
 TRIPLES = 1000
 SCHEMA = "status string, reason string, controls int, inliers int, rmse double, worst double, lat double, lon double"
@@ -31,23 +33,34 @@ def _triples(n: int) -> np.ndarray:
     return np.sort(np.array([r.choice(n, 3, replace=False) for _ in range(TRIPLES)]), axis=1)
 
 
-def agreeing(pixels: np.ndarray, metres: np.ndarray) -> np.ndarray:
-    """Which controls agree with the affine map, through three of them, that most agree with; of equal counts the smallest sum of squares within AGREES."""
+def agreeing(pixels: np.ndarray, lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+    """Which controls agree with the affine map, through three of them, that most agree with; of equal counts the smallest sum of squares within AGREES.
+
+    Maps that are stretched more than STRETCH are left out: through two right controls and a wrong one there is
+    a map that agrees with all others near the line through the two, and it pulls one direction out to where the wrong one says.
+    Metres are those at the latitude of the three, so wrong controls don't change what right ones measure.
+    """
     t = _triples(len(pixels))
     px, py = pixels.T
     # Two sides of each triangle, and the affine map that takes them from pixels to metres, by Cramer's rule.
     ax, ay, bx, by = (c[t[:, k]] - c[t[:, 0]] for k in (1, 2) for c in (px, py))
     det = ax * by - ay * bx
     fit = np.abs(det) > 1e-9  # three controls on a line fix no map
-    if not fit.any():
-        return np.zeros(len(pixels), bool)
     t, ax, ay, bx, by, det = t[fit], ax[fit], ay[fit], bx[fit], by[fit], det[fit]
-    squares = np.zeros((len(t), len(pixels)))
-    for m in metres.T:
-        a, b = m[t[:, 1]] - m[t[:, 0]], m[t[:, 2]] - m[t[:, 0]]
-        u, v = (by * a - ay * b) / det, (ax * b - bx * a) / det
-        base = m[t[:, 0]] - u * px[t[:, 0]] - v * py[t[:, 0]]
-        squares += (np.outer(u, px) + np.outer(v, py) + base[:, None] - m) ** 2
+    maps = []
+    for degrees, scale in ((lat, METRES_PER_DEGREE), (lon, METRES_PER_DEGREE * np.cos(np.radians(lat[t].mean(axis=1))))):
+        a, b = (degrees[t[:, 1]] - degrees[t[:, 0]]) * scale, (degrees[t[:, 2]] - degrees[t[:, 0]]) * scale
+        maps.append((degrees, np.broadcast_to(scale, len(t)), (by * a - ay * b) / det, (ax * b - bx * a) / det))
+    (_, _, u, v), (_, _, w, z) = maps
+    # The largest scale of a map over its smallest, and the inverse, add up to this share.
+    even = u * u + v * v + w * w + z * z <= (STRETCH + 1 / STRETCH) * np.abs(u * z - v * w)
+    if not even.any():
+        return np.zeros(len(pixels), bool)
+    first, squares = t[even, 0], 0.0
+    for degrees, scale, u, v in maps:
+        scale, u, v = scale[even], u[even], v[even]
+        base = scale * degrees[first] - u * px[first] - v * py[first]
+        squares = squares + (np.outer(u, px) + np.outer(v, py) + base[:, None] - np.outer(scale, degrees)) ** 2
     near = squares <= AGREES**2
     count, error = near.sum(axis=1), np.where(near, squares, 0).sum(axis=1)
     return near[np.lexsort((np.round(error, 6), -count))[0]]
@@ -70,14 +83,14 @@ def _place(pixels: np.ndarray, lat: np.ndarray, lon: np.ndarray, pin: np.ndarray
         return out | {"reason": NO_PIN}
     if len(pixels) < LEAST_CONTROLS:
         return out | {"reason": FEW}
-    lat0, lon0 = lat.mean(), lon.mean()
-    east = METRES_PER_DEGREE * np.cos(np.radians(lat0))
-    metres = np.column_stack([(lon - lon0) * east, (lat - lat0) * METRES_PER_DEGREE])
-    good = agreeing(pixels, metres)
+    good = agreeing(pixels, lat, lon)
     if good.sum() < LEAST_CONTROLS:
         return out | {"reason": APART}
     if not inside_hull(pixels, pin):
         return out | {"reason": OUTSIDE}
+    lat0, lon0 = lat[good].mean(), lon[good].mean()
+    east = METRES_PER_DEGREE * np.cos(np.radians(lat0))
+    metres = np.column_stack([(lon - lon0) * east, (lat - lat0) * METRES_PER_DEGREE])
     m = np.column_stack([pixels, np.ones(len(pixels))])
     fit = np.linalg.lstsq(m[good], metres[good], rcond=None)[0]
     off = np.linalg.norm(m[good] @ fit - metres[good], axis=1)
@@ -95,7 +108,7 @@ def placed_pins(controls: DataFrame, pins: DataFrame, key: str) -> DataFrame:
     controls has key, x, y (pixels), lat and lon; pins key, x and y. Rows with a null are
     left out; of several pins of one key the smallest counts; null keys are one
     of their own. A wrong control is left out if LEAST_CONTROLS others agree within AGREES
-    metres. A pin outside the hull of all controls isn't placed, since nothing
+    metres on a map that isn't stretched more than STRETCH. A pin outside the hull of all controls isn't placed, since nothing
     measures the error there. A key's controls, the landmarks of one map, meet in one row.
     """
     kind = controls.schema[key].dataType.simpleString()

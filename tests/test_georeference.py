@@ -43,6 +43,15 @@ def test_rules(spark):
     assert got["edge"].status == "verified"
 
 
+def test_wrong_control_beside_others_on_a_line(spark):
+    line = [(907, 321), (907, 218), (907, 434)]
+    rows = controls("three on a line", [*line, (862, 494), (981, 636)], [4], 53) + controls("one twice", [(891, 339), (891, 339), (235, 75), (178, 213)], [3], 59) + controls("no more", [*line, (981, 636)], [3], 53)
+    got = placed(spark, rows, [("three on a line", 895.0, 366.0), ("one twice", 549.0, 241.0), ("no more", 925.0, 402.0)])
+    r = got["three on a line"]
+    assert (r.status, r.inliers) == ("verified", 4) and (r.lat, r.lon) == pytest.approx(at(895, 366), abs=2e-6)
+    assert got["one twice"].reason == g.APART and got["no more"].reason == g.APART
+
+
 def test_noise_and_large_sets(spark):
     r = random.Random(3)
     points = [(r.uniform(0, 1000), r.uniform(0, 800)) for _ in range(60)]
