@@ -113,6 +113,32 @@ def words_in_boxes(words: DataFrame, boxes: DataFrame, page: list[str], cell: fl
     return placed.join(cells.hint("merge"), [*page, "__cx", "__cy"]).where(inside).drop("__x", "__y", "__cx", "__cy")
 
 
+def _held(words: DataFrame, boxes: DataFrame, page: list[str], cell: float = CELL) -> DataFrame:
+    """The words (x0, y0, x1, y1, word) that boxes hold, as ``words_in_boxes`` says: page, id, left, top and w, a struct of y0, x0 and word.
+
+    Words and boxes are shuffled once, by page, before boxes are dealt to cells. Cells and
+    boxes are then groups of rows that are together already, so neither cells nor pairs are shuffled.
+    """
+    double = lambda *names: [F.col(c).cast("double") for c in names]
+    x, y = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2
+    facts = ["__a", "__b", "__c", "__d", "__text", "__box"]
+    # Of a word its centre and x0 and y0, of a box left, top, width and height.
+    one = words.where(x.isNotNull() & y.isNotNull()).select(*page, x.cast("double"), y.cast("double"), *double("x0", "y0"), "word", F.lit(False))
+    two = boxes.where((F.col("width") >= 0) & (F.col("height") >= 0)).select(*page, *double("left", "top", "width", "height"), "id", F.lit(True))
+    names = [*page, *facts]
+    both = one.toDF(*names).unionByName(two.toDF(*names)).dropna(subset=page).repartition(*page)
+    at = lambda c: F.floor(c / cell)
+    end = lambda a, size: at(F.when(F.col("__box"), F.col(a) + F.col(size)).otherwise(F.col(a)))
+    cells = both.withColumn("__cx", F.explode(F.sequence(at(F.col("__a")), end("__a", "__c")))).withColumn("__cy", F.explode(F.sequence(at(F.col("__b")), end("__b", "__d"))))
+    near = F.collect_list(F.when(F.col("__box"), F.struct(F.col("__a").alias("left"), F.col("__b").alias("top"), F.col("__c").alias("width"), F.col("__d").alias("height"), F.col("__text").alias("id"))))
+    met = cells.withColumn("__near", near.over(Window.partitionBy(*page, "__cx", "__cy"))).where("NOT __box")
+    inside = lambda b: F.col("__a").between(b["left"], b["left"] + b["width"]) & F.col("__b").between(b["top"], b["top"] + b["height"])
+    word = F.struct(F.col("__d").alias("y0"), F.col("__c").alias("x0"), F.col("__text").alias("word"))
+    held = met.select(*page, F.explode(F.filter("__near", inside)).alias("__b"), word.alias("w"))
+    kinds = {c: boxes.schema[c].dataType for c in ("id", "left", "top")}
+    return held.select(*page, *[F.col(f"__b.{c}").cast(k).alias(c) for c, k in kinds.items()], "w")
+
+
 def card_lines(words: DataFrame, boxes: DataFrame, page: list[str]) -> DataFrame:
     """Per box with words: page, id, left, top, and lines, an array of texts from top to bottom.
 
@@ -122,9 +148,8 @@ def card_lines(words: DataFrame, boxes: DataFrame, page: list[str]) -> DataFrame
     """
     box = [*page, "id", "left", "top"]
     named = words.select(*page, "x0", "y0", "x1", "y1", strip(F.coalesce("word", F.lit(""))).alias("word"))
-    # Only what the lines need is shuffled, and a box's words, few or many, become one row as its lines do.
-    held = words_in_boxes(named, boxes.dropDuplicates(box), page).select(*box, F.struct("y0", "x0", "word").alias("__w"))
-    words_ = held.groupBy(*box).agg(F.sort_array(F.collect_list("__w")).alias("__words"))
+    # A box's words, few or many, become one row as its lines do.
+    words_ = _held(named, boxes.dropDuplicates(box), page).groupBy(*box).agg(F.sort_array(F.collect_list("w")).alias("__words"))
     # Where lines begin: words are sorted by y0, so a pass over them tells it.
     none = F.array().cast("array<double>")
     starts = F.aggregate("__words", none, lambda f, w: F.when((F.size(f) == 0) | (w["y0"] - F.element_at(f, -1) > LINE_GAP), F.concat(f, F.array(w["y0"].cast("double")))).otherwise(f))

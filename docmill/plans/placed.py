@@ -8,15 +8,19 @@ from ..operators import placed
 from .registry import query
 
 # Each row of an order is a card of the order's page: an ID and four words, a little off their places; some pages have one column only.
-_WORDS = """
-WITH c AS (SELECT l_orderkey AS page, 40.0 + (l_linenumber - 1) % (CASE WHEN l_orderkey % 5 = 0 THEN 1 ELSE 3 END) * 190.0 + l_partkey % 5 AS x,
+_CARDS = """SELECT l_orderkey AS page, 40.0 + (l_linenumber - 1) % (CASE WHEN l_orderkey % 5 = 0 THEN 1 ELSE 3 END) * 190.0 + l_partkey % 5 AS x,
   60.0 + floor((l_linenumber - 1) / (CASE WHEN l_orderkey % 5 = 0 THEN 1 ELSE 3 END)) * 90.0 + l_suppkey % 3 AS y,
-  lpad(CAST(l_partkey AS VARCHAR), 7, '0') AS k, l_partkey AS p, CAST(l_quantity AS BIGINT) AS q, l_returnflag AS r, l_linestatus AS s FROM lineitem),
-w AS (SELECT page, x AS x0, y AS y0, x + 70 AS x1, y + 10 AS y1, CASE WHEN p % 11 = 0 THEN 'x' ELSE ' abc' END || k || '.' AS word FROM c
-  UNION ALL SELECT page, x + 5, y + 20 + q % 4, x + 35, y + 30 + q % 4, 'q' || q FROM c
-  UNION ALL SELECT page, x + 60, y + 22, x + 90, y + 32, r FROM c
-  UNION ALL SELECT page, x + 5, y + 45, x + 35, y + 55, s || p % 7 FROM c
-  UNION ALL SELECT page, x + 60, y + 300, x + 90, y + 310, 'low' FROM c)
+  lpad(CAST(l_partkey AS VARCHAR), 7, '0') AS k, l_partkey AS p, CAST(l_quantity AS BIGINT) AS q, l_returnflag AS r, l_linestatus AS s FROM lineitem"""
+_PLACES = [
+    ("x", "y", "x + 70", "y + 10", "CASE WHEN p % 11 = 0 THEN 'x' ELSE ' abc' END || k || '.'"), ("x + 5", "y + 20 + q % 4", "x + 35", "y + 30 + q % 4", "'q' || q"),
+    ("x + 60", "y + 22", "x + 90", "y + 32", "r"), ("x + 5", "y + 45", "x + 35", "y + 55", "s || p % 7"), ("x + 60", "y + 300", "x + 90", "y + 310", "'low'"),
+]
+_NAMES = ("x0", "y0", "x1", "y1", "word")
+_FIRST = "SELECT page, " + ", ".join(f"{v} AS {n}" for v, n in zip(_PLACES[0], _NAMES)) + " FROM c"
+_WORDS = f"""
+WITH c AS ({_CARDS}),
+w AS ({_FIRST}
+  {chr(10).join(f"  UNION ALL SELECT page, {', '.join(p)} FROM c" for p in _PLACES[1:]).strip()})
 """
 _SIZES = "SELECT DISTINCT l_orderkey AS page, CAST(600 AS DOUBLE) AS page_width, CAST(800 AS DOUBLE) AS page_height FROM lineitem"
 
@@ -24,7 +28,9 @@ _SIZES = "SELECT DISTINCT l_orderkey AS page, CAST(600 AS DOUBLE) AS page_width,
 def _pages(t):
     t.lineitem.createOrReplaceTempView("placed_lineitem")
     sql = lambda text: t.spark.sql(text.replace("FROM lineitem", "FROM placed_lineitem").replace("VARCHAR", "STRING").replace("40.0", "40D").replace("190.0", "190D").replace("60.0", "60D").replace("90.0", "90D"))
-    words = sql(_WORDS + "SELECT * FROM w")
+    # All words of a row are made in one pass over it, so they are together in what is shuffled.
+    each = ", ".join(f"named_struct({', '.join(f"'{n}', {v}" for n, v in zip(_NAMES, p))})" for p in _PLACES)
+    words = sql(f"WITH c AS ({_CARDS}) SELECT page, w.* FROM c LATERAL VIEW inline(array({each})) w AS {', '.join(_NAMES)}")
     return words, sql(_SIZES)
 
 

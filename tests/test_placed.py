@@ -72,6 +72,16 @@ def test_lines_equal_all_pairs(spark):
     assert "__cx" in plan.split("Join")[1].split("\n")[0]  # cells, and not the page alone, are joined on
 
 
+def test_lines_are_shuffled_by_page_only(spark):
+    words = frame(spark, card(1, 50, 100, 1, [(5, 20, "a"), (9, 2, "b")]) + [(None, 1.0, 1.0, 2.0, 2.0, "no page")])
+    boxes = spark.createDataFrame([(1, "i", 0, 90, 300, 100), (1, "j", 40, 0, 300, 400), (None, "k", 0, 0, 9, 9)], "page int, id string, left int, top int, width int, height int")
+    lines = placed.card_lines(words, boxes, ["page"])
+    shuffles = [x for x in lines._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in x]
+    # One for equal boxes, and one for words and boxes; cells, and words with their boxes, aren't shuffled.
+    assert sum("REPARTITION_BY_COL" in x for x in shuffles) == 1 and len(shuffles) == 2 and not any("__cx" in x for x in shuffles)
+    assert sorted(map(tuple, lines.collect())) == [(1, i, left, top, ["ABC0000001 b", "a"]) for i, left, top in (("i", 0, 90), ("j", 40, 0))]
+
+
 def test_clusters_of_rows(spark):
     r = random.Random(2)
     df = spark.createDataFrame([(r.randrange(5), r.uniform(0, 300)) for _ in range(300)] + [(1, None)], "g int, v double")
